@@ -188,6 +188,14 @@ def top_value(df: DataFrame, cols: Sequence[str], exclude_value: str | None = No
     return {x: res.get(x) for x in cols}
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Pairwise-complete Pearson r; NULL (not an error) when a side is constant."""
+    both = a.isNotNull() & b.isNotNull()
+    x = F.when(both, a)
+    y = F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def sample_skew_from_pop(g1: Column, n: Column) -> Column:
     """pandas ``Series.skew`` (adjusted G1) from Spark's population skewness."""
     return F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.stats import (agg_row, c, clean_double, numeric_columns,
-                                      quantiles_of, sample_skew_from_pop, top_value)
+                                      pearson, quantiles_of, sample_skew_from_pop, top_value)
 
 # ---------------------------------------------------------------- fixed values
 IDENTIFIERS_6G = ["Flow ID", "Source IP", "Destination IP", "Timestamp", "External IP",
@@ -272,7 +272,7 @@ def fit_corr_matrix(df: DataFrame, cols: Sequence[str], chunk: int = 300) -> dic
     out = {}
     for s in range(0, len(pairs), chunk):
         part = pairs[s:s + chunk]
-        res = agg_row(df, {p: F.corr(clean_double(c(p[0])), clean_double(c(p[1]))) for p in part})
+        res = agg_row(df, {p: pearson(clean_double(c(p[0])), clean_double(c(p[1]))) for p in part})
         for p in part:
             v = res[p]
             out[p] = None if v is None or (isinstance(v, float) and math.isnan(v)) else v
