@@ -341,35 +341,53 @@ def winsorize_report(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> D
 
 
 # C20 / C21 / C22 -----------------------------------------------------------
-BOXCOX_GRID = [round(-2.0 + 0.01 * i, 2) for i in range(401)]
+# Box-Cox lambda search: three stages of 21 points (step 0.2, 0.02, 0.002 around
+# the previous best), lambdas held as integer thousandths so every engine
+# evaluates the same points.  Each stage is one aggregation over all columns.
+BOXCOX_STAGES = (200, 20, 2)
+BOXCOX_POINTS = 21
 
 
 def boxcox_expr(x: Column, lam: float) -> Column:
-    if abs(lam) < 1e-12:
+    if lam == 0:
         return F.log(x)
     return (F.pow(x, F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
 
 
-def boxcox_llf_exprs(x: Column, grid: Sequence[float] = BOXCOX_GRID) -> dict[float, Column]:
-    """Box-Cox profile log-likelihood for every lambda of the grid, as aggregates:
+def boxcox_llf_expr(x: Column, lam: float) -> Column:
+    """Box-Cox profile log-likelihood as an aggregate:
     llf(l) = (l - 1) * sum(ln x) - n/2 * ln(var_pop(y_l))."""
-    n = F.count(x)
-    sl = F.sum(F.log(x))
-    return {lam: (F.lit(lam - 1.0) * sl - n / 2.0 * F.log(F.var_pop(boxcox_expr(x, lam))))
-            for lam in grid}
+    return (F.lit(lam - 1.0) * F.sum(F.log(x))
+            - F.count(x) / 2.0 * F.log(F.var_pop(boxcox_expr(x, lam))))
 
 
-def fit_boxcox_lambda(df: DataFrame, col: str, eps: float = BOXCOX_EPS_NOTEBOOK,
-                      grid: Sequence[float] = BOXCOX_GRID) -> float:
-    """Maximum-likelihood lambda on a fixed grid, computed in ONE aggregation."""
-    x = clean_double(c(col)) + F.lit(eps)
-    res = agg_row(df, boxcox_llf_exprs(x, grid))
-    best, arg = -math.inf, 1.0
-    for lam in grid:
-        v = res[lam]
-        if v is not None and not math.isnan(v) and v > best:
-            best, arg = v, lam
-    return arg
+def boxcox_stage_points(center_k: int, step_k: int) -> list[int]:
+    half = BOXCOX_POINTS // 2
+    return [center_k + step_k * (j - half) for j in range(BOXCOX_POINTS)]
+
+
+def fit_boxcox_lambdas(df: DataFrame, inputs: dict[str, Column]) -> dict[str, float]:
+    """Maximum-likelihood lambda per input expression (values must be > 0)."""
+    centers = {k: 0 for k in inputs}
+    for step in BOXCOX_STAGES:
+        exprs = {(name, k): boxcox_llf_expr(x, k / 1000.0)
+                 for name, x in inputs.items() for k in boxcox_stage_points(centers[name], step)}
+        res = agg_row(df, exprs)
+        for name in inputs:
+            best, arg = -math.inf, centers[name]
+            for k in boxcox_stage_points(centers[name], step):
+                v = res[(name, k)]
+                if v is not None and not math.isnan(v) and v > best:
+                    best, arg = v, k
+            centers[name] = arg
+    return {name: k / 1000.0 for name, k in centers.items()}
+
+
+def boxcox_llf_table(df: DataFrame, x: Column, lambdas_k: Sequence[int]) -> DataFrame:
+    """llf for the given lambdas (thousandths) as a (lambda, llf) table, one aggregation."""
+    res = agg_row(df, {k: boxcox_llf_expr(x, k / 1000.0) for k in lambdas_k})
+    return df.sparkSession.createDataFrame([(k / 1000.0, res[k]) for k in lambdas_k],
+                                           "lambda double, llf double")
 
 
 def _skews(df: DataFrame, exprs: dict[str, Column]) -> dict[str, float | None]:
@@ -401,7 +419,7 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
 
     Returns one plan entry per examined column: skew_before (pandas sample
     skew), skew_log, method ('none', 'log1p', 'log1p + BoxCox') and lambda.
-    Three aggregate jobs at most: skew before, skew after log1p, Box-Cox grid.
+    At most five aggregate jobs: skew before, skew after log1p, three Box-Cox stages.
     """
     full = _present(df, cols)
     only = _present(df, log1p_only)
@@ -420,19 +438,10 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
         plan.append(e)
     bc = [e for e in plan if e["method"] == "log1p + BoxCox"]
     if bc:
-        exprs = {}
-        for e in bc:
-            xx = log1p_clip(c(e["column"])) + F.lit(BOXCOX_EPS_NOTEBOOK)
-            for lam, ex in boxcox_llf_exprs(xx).items():
-                exprs[(e["column"], lam)] = ex
-        res = agg_row(df, exprs)
+        lams = fit_boxcox_lambdas(df, {e["column"]: log1p_clip(c(e["column"])) + F.lit(BOXCOX_EPS_NOTEBOOK)
+                                       for e in bc})
         for e in bc:
-            best, arg = -math.inf, 1.0
-            for lam in BOXCOX_GRID:
-                v = res[(e["column"], lam)]
-                if v is not None and not math.isnan(v) and v > best:
-                    best, arg = v, lam
-            e["lambda"] = arg
+            e["lambda"] = lams[e["column"]]
     return plan
 
 
@@ -446,7 +455,8 @@ def log_transform(df: DataFrame, plan: list[dict], suffix: str = "_log") -> Data
         if e["method"] == "log1p + BoxCox":
             y = boxcox_expr(y + F.lit(BOXCOX_EPS_NOTEBOOK), e["lambda"])
         new[x + suffix] = y
-        drop.append(x)
+        if suffix:
+            drop.append(x)
     return _replace(df, new, drop)
 
 

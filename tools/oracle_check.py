@@ -101,8 +101,9 @@ def main():
         else:
             bad += 1
             print(f"FAIL {n}: rows {len(srows)} vs {len(orows)}; cols {sorted(scols)} vs {sorted(ocols)}")
-            diff_s = [x for x in ls if x not in set(lo)][:5]
-            diff_o = [x for x in lo if x not in set(ls)][:5]
+            so, ss = set(lo), set(ls)
+            diff_s = [x for x in ls if x not in so][:5]
+            diff_o = [x for x in lo if x not in ss][:5]
             print("   spark-only :", diff_s)
             print("   oracle-only:", diff_o)
         if a.show:
