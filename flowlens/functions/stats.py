@@ -64,7 +64,7 @@ def long_format(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (),
     return df.select(*sel).unpivot(list(ids), list(cols), name, value)
 
 
-def cumulative(df: DataFrame, order_col: str, value_cols: Sequence[str],
+def cumulative(df: DataFrame, order_col, value_cols: Sequence[str],
                key_cols: Sequence[str] = (), descending: bool = False,
                suffix: str = "_cum", parts: int | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` over a global order.
@@ -72,17 +72,22 @@ def cumulative(df: DataFrame, order_col: str, value_cols: Sequence[str],
     Distributed prefix sum: rows are range-partitioned on (keys, order); each
     partition computes local running sums with a window partitioned by the
     partition id; the per-partition totals (at most ``parts`` x keys-per-part
-    rows) give each partition its offset.  ``order_col`` values must be
-    distinct within a key (group by it first).  ``key_cols`` must have low
-    cardinality (columns of a table, labels, domains): the offset table has
-    one row per (partition, key).
+    rows) give each partition its offset.  ``order_col`` (a name or a list of
+    names) must be unique within a key (group by it first, or add an id).
+    ``key_cols`` must have low cardinality (labels, domains, column names):
+    the offset table has one row per (partition, key).
     """
     spark = df.sparkSession
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    o = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    ocols = [order_col] if isinstance(order_col, str) else list(order_col)
+    o = [F.col(x).desc() if descending else F.col(x).asc() for x in ocols]
     keys = [F.col(k) for k in key_cols]
-    r = df.repartitionByRange(parts, *keys, o).withColumn("_pid", F.spark_partition_id())
-    w = (Window.partitionBy("_pid", *key_cols).orderBy(o)
+    # Range bounds come from sampling, so the partition ids are materialised
+    # once (reliable checkpoint in the shared checkpoint folder) and both the
+    # local sums and the partition totals read the same assignment.
+    r = (df.repartitionByRange(parts, *keys, *o).withColumn("_pid", F.spark_partition_id())
+         .checkpoint(eager=True))
+    w = (Window.partitionBy("_pid", *key_cols).orderBy(*o)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = r.select("*", *[F.sum(v).over(w).alias(f"_l_{v}") for v in value_cols])
     totals = r.groupBy("_pid", *key_cols).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
