@@ -94,7 +94,12 @@ def cumulative(df: DataFrame, order_col, value_cols: Sequence[str],
     wo = Window.partitionBy(*key_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *key_cols, *[
         F.coalesce(F.sum(f"_t_{v}").over(wo), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    out = local.join(offsets, ["_pid", *key_cols])
+    offsets = offsets.select(F.col("_pid").alias("_opid"), *[F.col(k).alias(f"_ok_{k}") for k in key_cols],
+                             *[F.col(f"_o_{v}") for v in value_cols])
+    cond = F.col("_pid") == F.col("_opid")
+    for k in key_cols:  # NULL keys form their own group
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ok_{k}"))
+    out = local.join(offsets, cond)
     return out.select(*[F.col(x) for x in df.columns], *[
         (F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols])
 

@@ -50,7 +50,11 @@ def hash_rank(df: DataFrame, id_col: str, label: str | None = None, seed: int =
     d = d.withColumn("_id", c(id_col))
     r = cumulative(d, ["_h", "_id", *tie], ["_one"], key_cols=keys).withColumnRenamed("_one_cum", out)
     tot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_label"))  # one row per label
-    r = r.join(tot, keys) if keys else r.crossJoin(tot)
+    if keys:
+        tot = tot.withColumnRenamed(label, "_lab")
+        r = r.join(tot, c(label).eqNullSafe(F.col("_lab"))).drop("_lab")
+    else:
+        r = r.crossJoin(tot)
     return r.drop("_h", "_one", "_id")
 
 
