@@ -59,6 +59,10 @@ SELECT event_id AS request_id, ts, CASE WHEN event_type IN ('view','click') THEN
     "scored": """
 SELECT l_orderkey*10+l_linenumber AS id, CASE WHEN l_returnflag='R' OR l_discount>=0.09 THEN 1 ELSE 0 END AS y,
  l_discount*10 AS score, l_linestatus AS domain FROM lineitem""",
+    # scored rows with their ship date (evaluation runs by month)
+    "scored_ts": """
+SELECT l_orderkey*10+l_linenumber AS id, CASE WHEN l_returnflag='R' OR l_discount>=0.09 THEN 1 ELSE 0 END AS y,
+ l_discount*10 AS score, l_linestatus AS domain, l_shipdate AS ts FROM lineitem""",
 }
 
 # Fixed clock for every "now" operator (events end 2024-01-30 23:57:12).
