@@ -45,7 +45,10 @@ def canon(v):
     if hasattr(v, "asDict"):
         return canon(v.asDict())
     if hasattr(v, "isoformat"):
-        return v.isoformat(sep=" ")
+        try:
+            return v.isoformat(sep=" ")
+        except TypeError:  # datetime.date
+            return v.isoformat()
     return str(v)
 
 
