@@ -60,8 +60,8 @@ def psi_table(baseline: DataFrame, current: DataFrame, col: str, edges: Sequence
     g = spine.join(g, "bin", "left").na.fill(0, ["base_n", "curr_n"])
     tot = g.agg(F.sum("base_n").alias("B"), F.sum("curr_n").alias("Q"))  # one row
     g = g.crossJoin(tot)
-    p = F.col("base_n") / F.col("B")
-    q = F.col("curr_n") / F.col("Q")
+    p = F.try_divide(F.col("base_n").cast("double"), F.col("B"))
+    q = F.try_divide(F.col("curr_n").cast("double"), F.col("Q"))
     pg = F.when(p == 0, F.lit(PSI_EPS)).otherwise(p)
     qg = F.when(q == 0, F.lit(PSI_EPS)).otherwise(q)
     term = F.when((p == 0) & (q == 0), F.lit(0.0)).otherwise((pg - qg) * F.log(pg / qg))
@@ -95,7 +95,8 @@ def ks_statistic(a: DataFrame, b: DataFrame, col: str, by: Sequence[str] = ()) -
     cum = cumulative(cnt, "v", ["ca", "cb"], key_cols=list(by))
     tot = cnt.groupBy(*by).agg(F.sum("ca").alias("n_a"), F.sum("cb").alias("n_b"))
     j = cum.join(tot, list(by)) if by else cum.crossJoin(tot)
-    gap = F.abs(F.col("ca_cum") / F.col("n_a") - F.col("cb_cum") / F.col("n_b"))
+    gap = F.abs(F.try_divide(F.col("ca_cum").cast("double"), F.col("n_a"))
+                - F.try_divide(F.col("cb_cum").cast("double"), F.col("n_b")))
     return j.groupBy(*by, "n_a", "n_b").agg(F.max(gap).alias("ks_statistic"))
 
 

@@ -1 +1,326 @@
-"""Catalogue module."""
+"""Catalogue: detectors, calibration, gate, batch scoring and bundles (F1-F9, F13,
+F14, F18, F20, A7).  Training is iterative / seeded, so these queries are
+checked by row count; ``row_mse`` has a SQL oracle."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from flowlens.functions.exprs import sig as ssig
+from flowlens.operators import clean as C
+from flowlens.operators import evaluate as G
+from flowlens.operators import models as Mo
+from flowlens.operators import project as P
+from flowlens.operators import score as S
+from flowlens.operators import split as E
+from flowlens.plans.q_project import cic_flows, clean_6g_rates
+from flowlens.plans.registry import query
+from flowlens.plans.sqlkit import sig
+from flowlens.plans.views import view
+from flowlens.session import scratch_path
+
+FEATS = P.UNIFIED_FEATURES
+_CACHE: dict = {}
+
+
+def _key(spark, sf, name):
+    return (spark.sparkContext.applicationId, sf, name)
+
+
+def table_5g(spark, sf) -> DataFrame:
+    """Projected, sanitised 5G flows with 0/1 label, slice and a 70/15/15 split."""
+    key = _key(spark, sf, "t5")
+    if key not in _CACHE:
+        df = C.binarize_label(view(spark, sf, "flows_5g"), "Label", "5g")
+        cats = C.fit_categories(df, ["Proto", "State", "predicted"])
+        oh = C.onehot(df, cats, drop_first=True, prefix={"predicted": "slice"})
+        p = P.project_5g(oh, keep=["UniqueID", "Label", "slice_2:mMTC", "slice_3:URLLC"])
+        p = C.sanitize(p, FEATS)
+        p = E.slice_partition(p).withColumnRenamed("UniqueID", "id")
+        p = E.split_three_way(p, "id", "Label", (70, 15, 15))
+        _CACHE[key] = p.persist()
+    return _CACHE[key]
+
+
+def table_6g(spark, sf) -> DataFrame:
+    """Projected 6G flows (all benign), protocol partition, 80/10/10 split and
+    injected labelled anomalies in validation / test."""
+    key = _key(spark, sf, "t6")
+    if key not in _CACHE:
+        df = C.binarize_label(clean_6g_rates(cic_flows(spark, sf)), "Label", "6g")
+        oh = C.protocol_onehot(df, C.fit_protocol_categories(df, "Protocol"), "Protocol")
+        p = P.project_6g(oh, keep=["Flow ID", "Label", "Proto_TCP"]).withColumnRenamed("Flow ID", "id")
+        p = C.sanitize(p, FEATS)
+        p = E.proto_partition(p, "Proto_TCP")
+        p = E.split_three_way(p, "id", "Label", (80, 10, 10))
+        inj = E.inject_noise(p.where("split <> 'train'"), "id", "Label", FEATS, 0.15)
+        inj = inj.drop("injected", "profile")
+        _CACHE[key] = p.where("split = 'train'").unionByName(inj).persist()
+    return _CACHE[key]
+
+
+def scaler(spark, sf):
+    """Unified scaler: the 9 numeric features, fit on the union of both training tables."""
+    key = _key(spark, sf, "scaler")
+    if key not in _CACHE:
+        u = table_5g(spark, sf).where("split = 'train'").select(*FEATS).unionByName(
+            table_6g(spark, sf).where("split = 'train'").select(*FEATS))
+        _CACHE[key] = C.fit_standard_scaler(u, P.NUMERIC_FEATURES)
+    return _CACHE[key]
+
+
+def scaled(df, spark, sf):
+    return C.standard_scale(df, scaler(spark, sf))
+
+
+def _metrics(pred: DataFrame, label="Label", score="p") -> DataFrame:
+    d = G.predictions(pred, score, 0.5)
+    m = G.clf_metrics(d, label, "pred")
+    return m.crossJoin(G.roc_auc(d, label, score)).crossJoin(G.average_precision(d, label, score))
+
+
+def rf_model(spark, sf):
+    key = _key(spark, sf, "rf")
+    if key not in _CACHE:
+        t = E.with_class_weight(table_5g(spark, sf).where("split = 'train'"), "Label", "w")
+        _CACHE[key] = Mo.train_rf(t, FEATS, "Label", "w")
+    return _CACHE[key]
+
+
+@query("train_rf")
+def q_train_rf(spark, sf):
+    """random forest (100 trees, depth 20, min leaf 2, balanced weights); test metrics."""
+    m = rf_model(spark, sf)
+    return _metrics(Mo.positive_probability(m.transform(table_5g(spark, sf).where("split = 'test'"))))
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    """F2: boosted trees (500 rounds, lr 0.05, depth 6, 0.8 row / column sampling, positive
+    weight, early stopping on an inner 10 % validation indicator); test metrics."""
+    t = table_5g(spark, sf).where("split = 'train'")
+    t = Mo.positive_weight(t, "Label").withColumn("is_val", F.col("id") % 10 == 0)
+    m = Mo.train_gbt(t, FEATS, "Label", weight="w", validation="is_val")
+    return _metrics(Mo.positive_probability(m.transform(table_5g(spark, sf).where("split = 'test'"))))
+
+
+@query("train_lr")
+def q_train_lr(spark, sf):
+    """scaled, class-balanced logistic regression; test metrics."""
+    t = scaled(E.with_class_weight(table_5g(spark, sf).where("split = 'train'"), "Label", "w"), spark, sf)
+    m = Mo.train_lr(t, FEATS, "Label", "w")
+    te = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf)
+    return _metrics(Mo.positive_probability(m.transform(te)))
+
+
+def slice_experts(spark, sf):
+    key = _key(spark, sf, "slices")
+    if key not in _CACHE:
+        t = scaled(table_5g(spark, sf).where("split = 'train'"), spark, sf)
+        _CACHE[key] = Mo.train_slice_experts(t, FEATS, "Label", "slice")
+    return _CACHE[key]
+
+
+@query("train_slice_experts")
+def q_train_slice_experts(spark, sf):
+    """one boosted-tree expert per slice (200 x depth 5, lr 0.1, positive weight); test metrics per slice."""
+    ex = slice_experts(spark, sf)
+    te = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf)
+    out = None
+    for s, m in ex.items():
+        part = Mo.positive_probability(m.transform(te.where(F.col("slice") == s)))
+        r = _metrics(part).select(F.lit(s).alias("slice"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def autoencoders(spark, sf):
+    key = _key(spark, sf, "ae")
+    if key not in _CACHE:
+        t = scaled(table_6g(spark, sf).where("split = 'train' AND Label = 0"), spark, sf)
+        _CACHE[key] = {pr: Mo.fit_linear_autoencoder(t.where(F.col("proto") == pr), FEATS)
+                       for pr in ("TCP", "UDP")}
+    return _CACHE[key]
+
+
+@query("recon_error")
+def q_recon_error(spark, sf):
+    """linear autoencoder per protocol fit on benign training rows; per-row MSE on test."""
+    ae = autoencoders(spark, sf)
+    te = scaled(table_6g(spark, sf).where("split = 'test'"), spark, sf)
+    out = None
+    for pr, model in ae.items():
+        r = Mo.reconstruction_mse(te.where(F.col("proto") == pr), model).select("id", "proto", "Label", "mse")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("row_mse", f"""
+WITH x AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+c AS (SELECT label, pos, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY label, pos)
+SELECT vec_id, {sig('avg((CAST(v AS DOUBLE) - m) * (CAST(v AS DOUBLE) - m))', 8)} AS mse
+FROM x JOIN c ON x.label = c.label AND x.pos = c.pos GROUP BY vec_id""")
+def q_row_mse(spark, sf):
+    """per-row mean squared error between each embedding and its label centroid."""
+    emb = view(spark, sf, "embeddings")
+    ex = emb.select("vec_id", "label", F.posexplode("embedding").alias("pos", "v"))
+    cen = ex.groupBy("label", "pos").agg(F.avg(F.col("v").cast("double")).alias("m"))
+    cen = cen.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("cs")).select(
+        "label", F.transform("cs", lambda s: s["m"]).alias("xhat"))  # one row per label (d values)
+    j = emb.join(cen, "label")
+    x = F.transform("embedding", lambda t: t.cast("double"))
+    return j.select("vec_id", ssig(Mo.row_mse(x, F.col("xhat")), 8).alias("mse"))
+
+
+@query("isolation_forest")
+def q_isolation_forest(spark, sf):
+    """isolation forest (200 trees, 256-row hash samples) on benign 6G training rows;
+    anomaly scores of the test rows with the 'auto' cut 0.5."""
+    key = _key(spark, sf, "iforest")
+    t = table_6g(spark, sf)
+    if key not in _CACHE:
+        _CACHE[key] = Mo.fit_isolation_forest(t.where("split = 'train' AND Label = 0"), "id", FEATS)
+    te = t.where("split = 'test'").select("id", "Label", *FEATS)
+    s = Mo.isolation_score(te, _CACHE[key])
+    return s.select("id", "Label", "if_score", (F.col("if_score") > 0.5).cast("int").alias("flag"))
+
+
+def calibrators(spark, sf):
+    key = _key(spark, sf, "cal")
+    if key not in _CACHE:
+        val5 = scaled(table_5g(spark, sf).where("split = 'val'"), spark, sf)
+        cal = {}
+        for s, m in slice_experts(spark, sf).items():
+            pv = Mo.positive_probability(m.transform(val5.where(F.col("slice") == s)))
+            cal[s] = Mo.fit_sigmoid_calibrator(pv, "p", "Label")
+        val6 = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf)
+        for pr, ae in autoencoders(spark, sf).items():
+            mv = Mo.reconstruction_mse(val6.where(F.col("proto") == pr), ae)
+            cal[f"{pr}_AE"] = Mo.fit_sigmoid_calibrator(mv, "mse", "Label")
+        _CACHE[key] = cal
+    return _CACHE[key]
+
+
+@query("platt")
+def q_platt(spark, sf):
+    """F8: Platt calibrators of the slice experts, fit on validation rows."""
+    cal = calibrators(spark, sf)
+    return spark.createDataFrame([(k, a, b) for k, (a, b) in cal.items() if not k.endswith("_AE")],
+                                 "expert string, a double, b double")
+
+
+@query("mse_sigmoid")
+def q_mse_sigmoid(spark, sf):
+    """reconstruction-error -> probability calibrators sigma(a mse + b) per protocol."""
+    cal = calibrators(spark, sf)
+    return spark.createDataFrame([(k, a, b) for k, (a, b) in cal.items() if k.endswith("_AE")],
+                                 "expert string, a double, b double")
+
+
+def expert_vector(df: DataFrame, spark, sf) -> DataFrame:
+    """calibrated five-expert score vector in fixed order (missing expert -> 0)."""
+    ex, ae, cal = slice_experts(spark, sf), autoencoders(spark, sf), calibrators(spark, sf)
+    d = df
+    cols = []
+    for s in ("eMBB", "mMTC", "URLLC"):
+        if s in ex:
+            d = Mo.positive_probability(ex[s].transform(d), out=f"_raw_{s}").drop("features", "rawPrediction",
+                                                                                   "probability", "prediction")
+            a, b = cal[s]
+            cols.append(S.apply_calibrator(F.col(f"_raw_{s}"), a, b))
+        else:
+            cols.append(None)
+    for pr in ("TCP", "UDP"):
+        d = Mo.reconstruction_mse(d, ae[pr], out=f"_mse_{pr}")
+        a, b = cal[f"{pr}_AE"]
+        cols.append(S.apply_calibrator(F.col(f"_mse_{pr}"), a, b))
+    return d.withColumn("scores", S.expert_score_vector(cols))
+
+
+def gate_model(spark, sf):
+    key = _key(spark, sf, "gate")
+    if key not in _CACHE:
+        v5 = scaled(table_5g(spark, sf).where("split = 'val'"), spark, sf).select("id", "Label", *FEATS)
+        v6 = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf).select("id", "Label", *FEATS)
+        val = expert_vector(v5.withColumn("domain", F.lit("5G")).unionByName(v6.withColumn("domain", F.lit("6G"))),
+                            spark, sf)
+        _CACHE[key] = Mo.train_gate(val, FEATS, "scores", "Label")
+    return _CACHE[key]
+
+
+@query("train_gate")
+def q_train_gate(spark, sf):
+    """gate 16-32-16-softmax(5) trained through the combiner on validation rows of both
+    generations (frozen expert scores); mean test weight per domain and expert."""
+    g = gate_model(spark, sf)
+    t5 = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf).select("id", "Label", *FEATS)
+    t6 = scaled(table_6g(spark, sf).where("split = 'test'"), spark, sf).select("id", "Label", *FEATS)
+    te = t5.withColumn("domain", F.lit("5G")).unionByName(t6.withColumn("domain", F.lit("6G")))
+    w = Mo.gate_weights(te, g)
+    return G.mean_weight_by(w, "weights", "domain", S.EXPERT_NAMES)
+
+
+def score_batch(batch: DataFrame, spark, sf, threshold: float = S.DEFAULT_THRESHOLD) -> DataFrame:
+    """detect -> project -> sanitise -> scale -> experts -> gate -> threshold (one narrow plan)."""
+    schema, proj = P.project_auto(batch, keep=[batch.columns[0]])
+    proj = C.sanitize(proj, FEATS).withColumnRenamed(batch.columns[0], "id")
+    d = expert_vector(scaled(proj, spark, sf), spark, sf)
+    d = Mo.gate_weights(d, gate_model(spark, sf))
+    d = d.withColumn("prob", S.weighted_combine(F.col("weights"), F.col("scores")))
+    return d.select("id", F.lit(schema).alias("schema_name"), "prob",
+                    (F.col("prob") >= threshold).cast("int").alias("pred"),
+                    S.dominant_expert(F.col("weights")).alias("dominant_expert"), "scores", "weights")
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    """F14 (flagship): score a CIC flow batch end to end with the trained bundle."""
+    batch = clean_6g_rates(cic_flows(spark, sf))
+    return score_batch(batch, spark, sf).drop("scores", "weights")
+
+
+@query("expert_scores_trained")
+def q_expert_scores_trained(spark, sf):
+    """F11 with trained experts and calibrators on the 5G test rows."""
+    te = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf).select("id", "Label", *FEATS)
+    return expert_vector(te, spark, sf).select("id", "Label", "scores")
+
+
+@query("importance")
+def q_importance(spark, sf):
+    """random-forest feature importance, top 20."""
+    imp = Mo.feature_importance(rf_model(spark, sf), FEATS, 20)
+    return spark.createDataFrame(imp, "feature string, importance double")
+
+
+@query("score_correlation", f"""
+WITH e AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, corr({src}, l_discount * 10) AS r FROM lineitem"
+                              for f, src in [("quantity", "l_quantity"), ("price", "l_extendedprice"), ("tax", "l_tax")])})
+SELECT feature, {sig('abs(r)', 8)} AS importance FROM e""")
+def q_score_correlation(spark, sf):
+    """importance as |corr(feature, score)| over the scored rows."""
+    from flowlens.operators.profile import label_correlation
+    li = view(spark, sf, "lineitem").select(F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
+                                           F.col("l_tax").alias("tax"), (F.col("l_discount") * 10).alias("score"))
+    r = label_correlation(li, ["quantity", "price", "tax"], "score", 15)
+    return r.select("feature", ssig(F.abs(F.col("r")), 8).alias("importance"))
+
+
+@query("pca_2d")
+def q_pca_2d(spark, sf):
+    """2-D PCA of the embedding vectors with explained variance."""
+    out, ev = Mo.pca_2d(view(spark, sf, "embeddings"), "embedding", 2)
+    return out.select("vec_id", "label", "pc", F.array(*[F.lit(x) for x in ev]).alias("explained_variance"))
+
+
+@query("bundle_roundtrip")
+def q_bundle_roundtrip(spark, sf):
+    """Save the forest and slice experts with a manifest, reload with version and
+    feature-order checks, and score the test rows with the reloaded models."""
+    path = scratch_path(spark, "bundle")
+    models = {"rf": rf_model(spark, sf), **{f"slice_{k}": v for k, v in slice_experts(spark, sf).items()}}
+    Mo.save_bundle(spark, path, models, {"features": FEATS, "seed": Mo.SEED, "scaler": scaler(spark, sf)})
+    loaded, _doc = Mo.load_bundle(spark, path, FEATS)
+    te = table_5g(spark, sf).where("split = 'test'")
+    return Mo.positive_probability(loaded["rf"].transform(te)).select("id", "Label", "p")

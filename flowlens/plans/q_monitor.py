@@ -84,7 +84,7 @@ def q_ks_statistic(spark, sf):
                     .alias("ks_p_value"))
 
 
-@query("drift_report", f"""WITH {psi_sql('attack_rate')}, {ks_sql('mean_probability')},
+REPORT_SQL = f"""WITH {psi_sql('attack_rate')}, {ks_sql('mean_probability')},
 r AS (SELECT count(*) AS n_requests, avg(attack_rate) AS rec FROM {CURR_SQL}),
 bs AS (SELECT avg(attack_rate) AS base FROM {BASE_SQL})
 SELECT CASE WHEN n_requests = 0 THEN 'no_data' WHEN psi >= 0.2 OR p < 0.05 THEN 'drift_detected' ELSE 'ok' END AS status,
@@ -92,7 +92,10 @@ SELECT CASE WHEN n_requests = 0 THEN 'no_data' WHEN psi >= 0.2 OR p < 0.05 THEN
  round(psi, 4) AS psi_attack_rate, round(d, 4) AS ks_statistic, round(p, 4) AS ks_p_value,
  list_filter([CASE WHEN psi >= 0.2 THEN printf('Attack-rate PSI=%.3f >= threshold 0.2 — distribution shift detected', round(psi, 3)) END,
   CASE WHEN p < 0.05 THEN printf('Score KS p=%.4f < threshold 0.05 — probability distribution shifted', round(p, 4)) END], lambda x: x IS NOT NULL) AS alerts
-FROM r, bs, psi, kp""", PL)
+FROM r, bs, psi, kp"""
+
+
+@query("drift_report", REPORT_SQL, PL)
 def q_drift_report(spark, sf):
     """H3: drift report (status, recent mean, PSI, KS, alerts) against a real baseline window."""
     base, curr = windows(spark, sf)
