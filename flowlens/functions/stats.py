@@ -9,7 +9,9 @@ whole column through the driver or through a single task:
   aggregates;
 * exact quantiles and running sums use :func:`cumulative`, a distributed
   prefix sum (range partitioning + per-partition window + a small table of
-  partition offsets), so a global ordering never lands in one partition.
+  partition offsets), so a global ordering never lands in one partition;
+  only inputs proven small by a row count (<= 100k rows, e.g. the distinct
+  scores of a ranking metric) take a single ordered window.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +69,8 @@ def long_format(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (),
 
 def cumulative(df: DataFrame, order_col, value_cols: Sequence[str],
                key_cols: Sequence[str] = (), descending: bool = False,
-               suffix: str = "_cum", parts: int | None = None) -> DataFrame:
+               suffix: str = "_cum", parts: int | None = None,
+               small_limit: int = 100_000) -> DataFrame:
     """Inclusive running sums of ``value_cols`` over a global order.
 
     Distributed prefix sum: rows are range-partitioned on (keys, order); each
@@ -75,18 +79,27 @@ def cumulative(df: DataFrame, order_col, value_cols: Sequence[str],
     rows) give each partition its offset.  ``order_col`` (a name or a list of
     names) must be unique within a key (group by it first, or add an id).
     ``key_cols`` must have low cardinality (labels, domains, column names):
-    the offset table has one row per (partition, key).
+    the offset table has one row per (partition, key).  Inputs of at most
+    ``small_limit`` rows (counted first) use one ordered window instead.
     """
     spark = df.sparkSession
     parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ocols = [order_col] if isinstance(order_col, str) else list(order_col)
     o = [F.col(x).desc() if descending else F.col(x).asc() for x in ocols]
     keys = [F.col(k) for k in key_cols]
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)  # read by the range sampler and the shuffle
+    n = src.count()
+    if n <= small_limit:
+        # proven-small input (row count checked): one ordered window is cheaper
+        w = (Window.partitionBy(*key_cols).orderBy(*o)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return src.select("*", *[F.sum(v).over(w).alias(f"{v}{suffix}") for v in value_cols])
     # Range bounds come from sampling, so the partition ids are materialised
     # once (reliable checkpoint in the shared checkpoint folder) and both the
     # local sums and the partition totals read the same assignment.
-    r = (df.repartitionByRange(parts, *keys, *o).withColumn("_pid", F.spark_partition_id())
+    r = (src.repartitionByRange(parts, *keys, *o).withColumn("_pid", F.spark_partition_id())
          .checkpoint(eager=True))
+    src.unpersist()
     w = (Window.partitionBy("_pid", *key_cols).orderBy(*o)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = r.select("*", *[F.sum(v).over(w).alias(f"_l_{v}") for v in value_cols])
@@ -132,7 +145,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return out
     longdf = long_format(df, cols, ids=by, name="_k", value="_v")
     longdf = longdf.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = longdf.groupBy(*by, "_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = longdf.groupBy(*by, "_k", "_v").agg(F.count(F.lit(1)).alias("_n")).persist(
+        StorageLevel.MEMORY_AND_DISK)  # read by totals, range sampling and the shuffle
     cum = cumulative(counts, "_v", ["_n"], key_cols=[*by, "_k"])
     totals = {tuple(r[x] for x in [*by, "_k"]): r["_N"]
               for r in counts.groupBy(*by, "_k").agg(F.sum("_n").alias("_N")).collect()}
@@ -165,6 +179,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 a, b = val[key + (lo,)], val[key + (hi,)]
                 qs.append(a + (b - a) * (pos - lo))
             out[key] = qs
+    counts.unpersist()
     # columns (or groups) with no values
     if not by:
         for x in cols:

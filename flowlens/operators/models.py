@@ -7,8 +7,8 @@
   with array expressions from the fitted axes.
 * The isolation forest samples rows per tree by id hash, grows the trees in
   parallel with ``applyInPandas`` (one small group per tree, <= 256 rows),
-  and scores with array expressions over the flattened trees (no Python in
-  the scoring path).
+  and scores rows with a vectorised numpy traversal of the broadcast flat
+  trees inside ``mapInPandas`` (Arrow batches, no per-row Python).
 * The gate (16-32-16-softmax(5)) is trained by full-batch Adam: each epoch
   is one ``mapInPandas`` job that returns per-partition gradient sums;
   only the ~1.2k parameters travel to and from the driver.
@@ -51,6 +51,19 @@ SEED = 42
 # -----------------------------------------------------------------------------
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
+def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Coalesce an iterative learner's input to about ``rows_per_partition`` rows per
+    partition (never more partitions than it has): per-iteration task overhead
+    stays small on small inputs, large inputs keep their parallelism."""
+    n = df.count()
+    want = max(1, -(-n // rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
@@ -80,7 +93,7 @@ def train_gbt(df: DataFrame, features: Sequence[str], label: str, weight: str |
     if validation:
         g.setValidationIndicatorCol(validation)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                            handleInvalid="keep"), g]).fit(df)
+                                            handleInvalid="keep"), g]).fit(right_size(df))
 
 
 def positive_weight(df: DataFrame, label: str, out: str = "w", floor: float = 1e-3) -> DataFrame:
@@ -156,9 +169,10 @@ def reconstruction_mse(df: DataFrame, ae: dict, out: str = "mse") -> DataFrame:
     xc = F.array(*[c(f).cast("double") - F.lit(mu[j]) for j, f in enumerate(feats)])
     cols_k = F.array(*[F.array(*[F.lit(float(V[j][i])) for j in range(d)]) for i in range(k)])
     rows_d = F.array(*[F.array(*[F.lit(float(V[j][i])) for i in range(k)]) for j in range(d)])
-    z = F.transform(cols_k, lambda v: _dot(v, xc))
-    xhat = F.transform(rows_d, lambda r: _dot(r, z))
-    return df.withColumn(out, row_mse(xc, xhat, d))
+    d2 = df.withColumn("_xc", xc)
+    d2 = d2.withColumn("_z", F.transform(cols_k, lambda v: _dot(v, F.col("_xc"))))
+    d2 = d2.withColumn("_xhat", F.transform(rows_d, lambda r: _dot(r, F.col("_z"))))
+    return d2.withColumn(out, row_mse(F.col("_xc"), F.col("_xhat"), d)).drop("_xc", "_z", "_xhat")
 
 
 # F6
@@ -320,8 +334,8 @@ def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
     P = _init_gate(d, k, seed=seed)
     m = [np.zeros_like(p) for p in P]
     v = [np.zeros_like(p) for p in P]
-    data = df.select(*[c(f).cast("double").alias(f) for f in feats], c(scores).alias("_s"),
-                     c(label).cast("double").alias("_y")).persist()
+    data = right_size(df.select(*[c(f).cast("double").alias(f) for f in feats], c(scores).alias("_s"),
+                                c(label).cast("double").alias("_y"))).persist()
     n = data.count()
     sizes = [p.size for p in P]
     schema = "g array<double>, loss double, n long"
@@ -374,16 +388,19 @@ def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
 
 
 def gate_weights(df: DataFrame, gate: dict, out: str = "weights") -> DataFrame:
-    """Apply the trained gate with array expressions (weights as literals)."""
-    x = F.array(*[c(f).cast("double") for f in gate["features"]])
-    h = x
-    for W, b, act in gate["layers"]:
+    """Apply the trained gate with array expressions (weights as literals); every
+    layer is its own column so the next layer reads it instead of recomputing it."""
+    d = df.withColumn("_h0", F.array(*[c(f).cast("double") for f in gate["features"]]))
+    for li, (W, b, act) in enumerate(gate["layers"]):
         cols = F.array(*[F.array(*[F.lit(float(W[i][j])) for i in range(len(W))]) for j in range(len(b))])
         bias = F.array(*[F.lit(float(v)) for v in b])
-        prev = h
+        prev = F.col(f"_h{li}")
         z = F.transform(cols, lambda wcol, j: _dot(wcol, prev) + F.element_at(bias, j + 1))
-        h = F.transform(z, lambda t: F.greatest(t, F.lit(0.0))) if act == "relu" else z
-    return df.withColumn(out, S.softmax(h))
+        d = d.withColumn(f"_h{li + 1}", F.transform(z, lambda t: F.greatest(t, F.lit(0.0))) if act == "relu" else z)
+    last = f"_h{len(gate['layers'])}"
+    d = d.withColumn("_e", F.transform(F.col(last), lambda v: F.exp(v)))
+    d = d.withColumn(out, F.transform("_e", lambda v: v / F.aggregate(F.col("_e"), F.lit(0.0), lambda a, t: a + t)))
+    return d.drop(*[f"_h{i}" for i in range(len(gate["layers"]) + 1)], "_e")
 
 
 # F18 / F20 ----------------------------------------------------------------------------

@@ -452,3 +452,20 @@ def q_sanitize(spark, sf):
 def q_coerce_numeric(spark, sf):
     """Coercing numeric cast, malformed values -> NULL."""
     return C.coerce_numeric(v5(spark, sf), ["TotPkts", "sDSb"]).select("UniqueID", "TotPkts", "sDSb")
+
+
+@query("pipeline_6g")
+def q_pipeline_6g(spark, sf):
+    """The 6G cleaning pipeline N1-N10 over the CIC flows (each step is oracle-checked
+    on its own above); returns the cleaned, scaled table."""
+    from flowlens.operators.pipelines import pipeline_6g
+    out, _params = pipeline_6g(cic_flows(spark, sf))
+    return out
+
+
+@query("pipeline_5g")
+def q_pipeline_5g(spark, sf):
+    """The 5G cleaning pipeline (steps 2-8, notebook variant) over the Global flows."""
+    from flowlens.operators.pipelines import pipeline_5g
+    out, _params = pipeline_5g(v5(spark, sf), "Global")
+    return out
