@@ -102,8 +102,8 @@ def ks_statistic(a: DataFrame, b: DataFrame, col: str, by: Sequence[str] = ()) -
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = KS_SERIES_TERMS) -> Column:
     """Asymptotic p-value: Q_KS((sqrt(en) + 0.12 + 0.11 / sqrt(en)) * D), en = n m / (n + m)."""
-    en = F.sqrt(n * m / (n + m))
-    lam = (en + F.lit(0.12) + F.lit(0.11) / en) * d
+    en = F.sqrt(F.try_divide(n * m, n + m))
+    lam = (en + F.lit(0.12) + F.try_divide(F.lit(0.11), en)) * d  # NULL for an empty side
     def term(acc, k):
         sign = F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
         return acc + F.lit(2.0) * sign * F.exp(F.lit(-2.0) * (k * k).cast("double") * lam * lam)

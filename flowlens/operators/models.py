@@ -398,7 +398,7 @@ def gate_weights(df: DataFrame, gate: dict, out: str = "weights") -> DataFrame:
         z = F.transform(cols, lambda wcol, j: _dot(wcol, prev) + F.element_at(bias, j + 1))
         d = d.withColumn(f"_h{li + 1}", F.transform(z, lambda t: F.greatest(t, F.lit(0.0))) if act == "relu" else z)
     last = f"_h{len(gate['layers'])}"
-    d = d.withColumn("_e", F.transform(F.col(last), lambda v: F.exp(v)))
+    d = d.withColumn("_e", F.transform(F.col(last), lambda v: F.exp(v - F.array_max(F.col(last)))))
     d = d.withColumn(out, F.transform("_e", lambda v: v / F.aggregate(F.col("_e"), F.lit(0.0), lambda a, t: a + t)))
     return d.drop(*[f"_h{i}" for i in range(len(gate["layers"]) + 1)], "_e")
 

@@ -56,7 +56,9 @@ def weighted_combine(weights: Column, scores: Column) -> Column:
 
 
 def softmax(z: Column) -> Column:
-    e = F.transform(z, lambda v: F.exp(v))
+    """exp(z - max z) / sum: stable for large logits."""
+    m = F.array_max(z)
+    e = F.transform(z, lambda v: F.exp(v - m))
     total = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
     return F.transform(e, lambda v: v / total)
 
@@ -73,21 +75,6 @@ def linear_gate(features: Sequence[Column], W: Sequence[Sequence[float]], b: Seq
     return softmax(F.array(*logits))
 
 
-def dense_forward(x: Column, layers: Sequence[tuple], final_softmax: bool = True) -> Column:
-    """Apply a given dense network to an array column: layers = [(W (in x out), b, act)]
-    with act in {'relu', 'linear'}; output softmax (gate) if requested."""
-    h = x
-    for W, bias, act in layers:
-        outs = []
-        for j in range(len(bias)):
-            z = F.lit(float(bias[j]))
-            for i in range(len(W)):
-                z = z + F.element_at(h, i + 1) * F.lit(float(W[i][j]))
-            outs.append(F.greatest(z, F.lit(0.0)) if act == "relu" else z)
-        h = F.array(*outs)
-    return softmax(h) if final_softmax else h
-
-
 # F15
 def batch_summary(df: DataFrame, pred: str = "pred", prob: str = "prob", by: Sequence[str] = ()) -> DataFrame:
     g = df.groupBy(*[c(b) for b in by]).agg(

@@ -48,8 +48,10 @@ def _z_sql(j):
     return f"{GATE_B[j]} + score * {GATE_W[0][j]} + CAST(domain = 'F' AS DOUBLE) * {GATE_W[1][j]}"
 
 
-EXPERTS_SQL = ("WITH e0 AS (SELECT *, " + ", ".join(f"{_cal_sql(a, b)} AS s{i + 1}" for i, (a, b) in enumerate(CAL))
-               + ", " + ", ".join(f"exp({_z_sql(j)}) AS e{j + 1}" for j in range(5)) + " FROM scored),\n"
+EXPERTS_SQL = ("WITH e00 AS (SELECT *, " + ", ".join(f"{_cal_sql(a, b)} AS s{i + 1}" for i, (a, b) in enumerate(CAL))
+               + ", " + ", ".join(f"{_z_sql(j)} AS z{j + 1}" for j in range(5)) + " FROM scored),\n"
+               "e0 AS (SELECT *, " + ", ".join(f"exp(z{j + 1} - greatest(z1, z2, z3, z4, z5)) AS e{j + 1}" for j in range(5))
+               + " FROM e00),\n"
                "e1 AS (SELECT *, " + ", ".join(f"e{j} / (0.0 + e1 + e2 + e3 + e4 + e5) AS w{j}" for j in range(1, 6))
                + " FROM e0),\n"
                "ex AS (SELECT *, 1.0 / (1.0 + exp(-(4.0 * ((0.0 + w1 * s1 + w2 * s2 + w3 * s3 + w4 * s4 + w5 * s5) - 0.5)))) AS prob FROM e1)")

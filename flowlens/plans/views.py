@@ -87,9 +87,13 @@ def register_tables(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None
         spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
 
 
+VIEW_TABLES = {"flows_5g": ("lineitem", "orders"), "flows_6g": ("events",), "prediction_log": ("events",),
+               "scored": ("lineitem",), "scored_ts": ("lineitem",)}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Register the base tables and return the named stand-in view (or table)."""
-    register_tables(spark, sf_dir)
+    """Register the tables a view reads and return the named stand-in view (or table)."""
+    register_tables(spark, sf_dir, VIEW_TABLES.get(name, (name,)))
     if name in VIEW_SQL:
         df = spark.sql(VIEW_SQL[name])
         df.createOrReplaceTempView(name)
