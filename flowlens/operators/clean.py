@@ -63,6 +63,7 @@ LABEL_MAP_5G = {"Benign": 0, "Malicious": 1}
 SCALE_EXCLUDE_PREFIXES = ("Proto_", "Port_")
 SCALE_EXCLUDE_SUFFIXES = ("_was_missing",)
 SCALE_EXCLUDE_CONTAINS = ("Flag Count",)
+MAX_CATEGORIES = 1000  # guard: one-hot / ordinal encodings are for low-cardinality columns
 # ----------------------------------------------------------------------------
 
 
@@ -472,7 +473,11 @@ def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     from flowlens.functions.stats import value_counts
     cols = _present(df, cols)
     out = {x: [] for x in cols}
-    for r in value_counts(df, cols).select("column", "value").collect():
+    vc = value_counts(df, cols).select("column", "value")
+    big = vc.groupBy("column").count().where(F.col("count") > MAX_CATEGORIES).collect()
+    if big:  # size checked before anything reaches the driver
+        raise ValueError(f"too many categories to encode: {[(r[0], r[1]) for r in big]}")
+    for r in vc.collect():
         out[r["column"]].append(r["value"])
     return {k: sorted(v) for k, v in out.items()}
 
