@@ -162,17 +162,24 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, t: acc + t)
 
 
+def _lin(terms: Sequence[tuple[float, Column]], bias: float = 0.0) -> Column:
+    e = F.lit(float(bias))
+    for w, x in terms:
+        e = e + F.lit(float(w)) * x
+    return e
+
+
 def reconstruction_mse(df: DataFrame, ae: dict, out: str = "mse") -> DataFrame:
-    """mean_j (x_j - xhat_j)^2 with xhat = mu + V V^T (x - mu), as array expressions."""
+    """mean_j (x_j - xhat_j)^2 with xhat = mu + V V^T (x - mu), written as scalar
+    column arithmetic (whole-stage codegen); each stage is its own projection."""
     feats, mu, V = ae["features"], ae["mean"], ae["V"]
     d, k = len(feats), len(V[0])
-    xc = F.array(*[c(f).cast("double") - F.lit(mu[j]) for j, f in enumerate(feats)])
-    cols_k = F.array(*[F.array(*[F.lit(float(V[j][i])) for j in range(d)]) for i in range(k)])
-    rows_d = F.array(*[F.array(*[F.lit(float(V[j][i])) for i in range(k)]) for j in range(d)])
-    d2 = df.withColumn("_xc", xc)
-    d2 = d2.withColumn("_z", F.transform(cols_k, lambda v: _dot(v, F.col("_xc"))))
-    d2 = d2.withColumn("_xhat", F.transform(rows_d, lambda r: _dot(r, F.col("_z"))))
-    return d2.withColumn(out, row_mse(F.col("_xc"), F.col("_xhat"), d)).drop("_xc", "_z", "_xhat")
+    base = df.columns
+    t = df.select("*", *[(c(f).cast("double") - F.lit(mu[j])).alias(f"_xc{j}") for j, f in enumerate(feats)])
+    t = t.select("*", *[_lin([(V[j][i], F.col(f"_xc{j}")) for j in range(d)]).alias(f"_z{i}") for i in range(k)])
+    err = [(F.col(f"_xc{j}") - _lin([(V[j][i], F.col(f"_z{i}")) for i in range(k)])) for j in range(d)]
+    mse = sum((e * e for e in err), F.lit(0.0)) / F.lit(float(d))
+    return t.select(*[c(x) for x in base], mse.alias(out))
 
 
 # F6
@@ -388,19 +395,23 @@ def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
 
 
 def gate_weights(df: DataFrame, gate: dict, out: str = "weights") -> DataFrame:
-    """Apply the trained gate with array expressions (weights as literals); every
-    layer is its own column so the next layer reads it instead of recomputing it."""
-    d = df.withColumn("_h0", F.array(*[c(f).cast("double") for f in gate["features"]]))
+    """Apply the trained gate as scalar column arithmetic (weights as literals,
+    whole-stage codegen); every layer is its own projection, the output is the
+    stable softmax of the last layer as an array."""
+    base = df.columns
+    t = df.select("*", *[c(f).cast("double").alias(f"_h0_{i}") for i, f in enumerate(gate["features"])])
+    prev = [f"_h0_{i}" for i in range(len(gate["features"]))]
     for li, (W, b, act) in enumerate(gate["layers"]):
-        cols = F.array(*[F.array(*[F.lit(float(W[i][j])) for i in range(len(W))]) for j in range(len(b))])
-        bias = F.array(*[F.lit(float(v)) for v in b])
-        prev = F.col(f"_h{li}")
-        z = F.transform(cols, lambda wcol, j: _dot(wcol, prev) + F.element_at(bias, j + 1))
-        d = d.withColumn(f"_h{li + 1}", F.transform(z, lambda t: F.greatest(t, F.lit(0.0))) if act == "relu" else z)
-    last = f"_h{len(gate['layers'])}"
-    d = d.withColumn("_e", F.transform(F.col(last), lambda v: F.exp(v - F.array_max(F.col(last)))))
-    d = d.withColumn(out, F.transform("_e", lambda v: v / F.aggregate(F.col("_e"), F.lit(0.0), lambda a, t: a + t)))
-    return d.drop(*[f"_h{i}" for i in range(len(gate["layers"]) + 1)], "_e")
+        cols = []
+        for j in range(len(b)):
+            z = _lin([(W[i][j], F.col(prev[i])) for i in range(len(prev))], b[j])
+            cols.append((F.greatest(z, F.lit(0.0)) if act == "relu" else z).alias(f"_h{li + 1}_{j}"))
+        t = t.select("*", *cols)
+        prev = [f"_h{li + 1}_{j}" for j in range(len(b))]
+    m = F.greatest(*[F.col(x) for x in prev])
+    t = t.select("*", *[F.exp(F.col(x) - m).alias(f"_e{j}") for j, x in enumerate(prev)])
+    tot = sum((F.col(f"_e{j}") for j in range(len(prev))), F.lit(0.0))
+    return t.select(*[c(x) for x in base], F.array(*[F.col(f"_e{j}") / tot for j in range(len(prev))]).alias(out))
 
 
 # F18 / F20 ----------------------------------------------------------------------------
