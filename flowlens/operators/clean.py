@@ -267,16 +267,21 @@ def drop_groups(df: DataFrame, groups: dict[str, list[str]] = CORR_GROUPS_5G) ->
 
 
 # C17 / B17 -----------------------------------------------------------------
-def fit_corr_matrix(df: DataFrame, cols: Sequence[str], chunk: int = 300) -> dict[tuple[str, str], float | None]:
-    """Pairwise-complete Pearson correlations of all column pairs (upper triangle)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+def fit_corr_matrix(df: DataFrame, cols: Sequence[str], chunk: int = 10) -> dict[tuple[str, str], float | None]:
+    """Pairwise-complete Pearson correlations of all column pairs (upper triangle).
+
+    The cleaned columns are projected and cached once; pairs are aggregated in
+    chunks so each job's generated code stays small."""
+    t = df.select(*[clean_double(c(x)).alias(f"_c{i}") for i, x in enumerate(cols)]).persist()
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     out = {}
-    for s in range(0, len(pairs), chunk):
-        part = pairs[s:s + chunk]
-        res = agg_row(df, {p: pearson(clean_double(c(p[0])), clean_double(c(p[1]))) for p in part})
+    for s0 in range(0, len(pairs), chunk):
+        part = pairs[s0:s0 + chunk]
+        res = agg_row(t, {p: pearson(F.col(f"_c{p[0]}"), F.col(f"_c{p[1]}")) for p in part})
         for p in part:
             v = res[p]
-            out[p] = None if v is None or (isinstance(v, float) and math.isnan(v)) else v
+            out[(cols[p[0]], cols[p[1]])] = None if v is None or (isinstance(v, float) and math.isnan(v)) else v
+    t.unpersist()
     return out
 
 
@@ -368,19 +373,24 @@ def boxcox_stage_points(center_k: int, step_k: int) -> list[int]:
 
 
 def fit_boxcox_lambdas(df: DataFrame, inputs: dict[str, Column]) -> dict[str, float]:
-    """Maximum-likelihood lambda per input expression (values must be > 0)."""
-    centers = {k: 0 for k in inputs}
+    """Maximum-likelihood lambda per input expression (values must be > 0).
+
+    The inputs are projected once and cached; each stage evaluates the 21
+    log-likelihoods of one column in one aggregation (small generated code)."""
+    names = list(inputs)
+    t = df.select(*[inputs[n].alias(f"_bc{i}") for i, n in enumerate(names)]).persist()
+    centers = {k: 0 for k in names}
     for step in BOXCOX_STAGES:
-        exprs = {(name, k): boxcox_llf_expr(x, k / 1000.0)
-                 for name, x in inputs.items() for k in boxcox_stage_points(centers[name], step)}
-        res = agg_row(df, exprs)
-        for name in inputs:
+        for i, name in enumerate(names):
+            pts = boxcox_stage_points(centers[name], step)
+            res = agg_row(t, {k: boxcox_llf_expr(F.col(f"_bc{i}"), k / 1000.0) for k in pts})
             best, arg = -math.inf, centers[name]
-            for k in boxcox_stage_points(centers[name], step):
-                v = res[(name, k)]
+            for k in pts:
+                v = res[k]
                 if v is not None and not math.isnan(v) and v > best:
                     best, arg = v, k
             centers[name] = arg
+    t.unpersist()
     return {name: k / 1000.0 for name, k in centers.items()}
 
 
@@ -424,6 +434,8 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
     """
     full = _present(df, cols)
     only = _present(df, log1p_only)
+    src = df
+    df = df.select(*[c(x) for x in full + only]).persist()  # read by every fit job below
     before = _skews(df, {x: clean_double(c(x)) for x in full + only})
     todo = [x for x in full + only if before[x] is not None and abs(before[x]) > threshold]
     after = _skews(df, {x: log1p_clip(c(x)) for x in todo})
@@ -443,6 +455,8 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
                                        for e in bc})
         for e in bc:
             e["lambda"] = lams[e["column"]]
+    df.unpersist()
+    del src
     return plan
 
 

@@ -46,17 +46,34 @@ def minmax_calibrated(x: Column, lo: float, hi: float) -> Column:
 
 
 # F12
-def dot(w: Column, s: Column) -> Column:
-    return F.aggregate(F.zip_with(w, s, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+def dot(w: Column, s: Column, k: int | None = None) -> Column:
+    """sum_i w_i s_i, folded left from 0.0; with a known length ``k`` the terms are
+    plain scalar expressions (whole-stage codegen), else an array fold."""
+    if k is None:
+        return F.aggregate(F.zip_with(w, s, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    e = F.lit(0.0)
+    for i in range(1, k + 1):
+        e = e + F.element_at(w, i) * F.element_at(s, i)
+    return e
+
+
+def weighted_combine(weights: Column, scores: Column, k: int | None = len(EXPERT_NAMES)) -> Column:
+    """sigma(4 * (sum_i w_i s_i - 0.5))."""
+    return sigmoid(F.lit(COMBINER_SLOPE) * (dot(weights, scores, k) - F.lit(COMBINER_SHIFT)))
 
 
-def weighted_combine(weights: Column, scores: Column) -> Column:
-    """sigma(4 * (sum_i w_i s_i - 0.5))."""
-    return sigmoid(F.lit(COMBINER_SLOPE) * (dot(weights, scores) - F.lit(COMBINER_SHIFT)))
+def softmax_scalars(z: Sequence[Column]) -> Column:
+    """Stable softmax of k scalar logits, as an array of scalar expressions."""
+    m = F.greatest(*z)
+    e = [F.exp(v - m) for v in z]
+    total = F.lit(0.0)
+    for v in e:
+        total = total + v
+    return F.array(*[v / total for v in e])
 
 
 def softmax(z: Column) -> Column:
-    """exp(z - max z) / sum: stable for large logits."""
+    """exp(z - max z) / sum over an array column of any length."""
     m = F.array_max(z)
     e = F.transform(z, lambda v: F.exp(v - m))
     total = F.aggregate(e, F.lit(0.0), lambda acc, v: acc + v)
@@ -72,7 +89,7 @@ def linear_gate(features: Sequence[Column], W: Sequence[Sequence[float]], b: Seq
         for i, f in enumerate(features):
             z = z + f * F.lit(float(W[i][j]))
         logits.append(z)
-    return softmax(F.array(*logits))
+    return softmax_scalars(logits)
 
 
 # F15
@@ -97,9 +114,11 @@ def ensemble_or(*flags: Column) -> Column:
 
 
 # F21
-def ablation_scores(weights: Column, scores: Column) -> dict[str, Column]:
-    n = F.size(scores).cast("double")
-    uniform = F.aggregate(scores, F.lit(0.0), lambda acc, v: acc + v) / n
+def ablation_scores(weights: Column, scores: Column, k: int = len(EXPERT_NAMES)) -> dict[str, Column]:
+    total = F.lit(0.0)
+    for i in range(1, k + 1):
+        total = total + F.element_at(scores, i)
+    uniform = total / F.lit(float(k))
     hard = F.element_at(scores, dominant_expert(weights) + 1)
     return {"trained": weighted_combine(weights, scores), "uniform": uniform, "hard": hard}
 
