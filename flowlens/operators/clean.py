@@ -375,19 +375,40 @@ def boxcox_stage_points(center_k: int, step_k: int) -> list[int]:
 def fit_boxcox_lambdas(df: DataFrame, inputs: dict[str, Column]) -> dict[str, float]:
     """Maximum-likelihood lambda per input expression (values must be > 0).
 
-    The inputs are projected once and cached; each stage evaluates the 21
-    log-likelihoods of one column in one aggregation (small generated code)."""
+    The inputs and their logarithms are projected and cached once; for each
+    stage and column one aggregation returns n, sum(ln x), sum(ln^2 x) and, per
+    lambda, the power sums sum(x^l), sum(x^2l) (x^l = exp(l ln x)), from which
+    var_pop(y_l) = (S2/n - (S1/n)^2) / l^2 and the profile log-likelihood follow
+    on the driver."""
     names = list(inputs)
-    t = df.select(*[inputs[n].alias(f"_bc{i}") for i, n in enumerate(names)]).persist()
+    t = df.select(*[inputs[n].alias(f"_bc{i}") for i, n in enumerate(names)])
+    t = t.select(*[F.log(F.col(f"_bc{i}")).alias(f"_lx{i}") for i in range(len(names))]).persist()
     centers = {k: 0 for k in names}
     for step in BOXCOX_STAGES:
         for i, name in enumerate(names):
+            lx = F.col(f"_lx{i}")
             pts = boxcox_stage_points(centers[name], step)
-            res = agg_row(t, {k: boxcox_llf_expr(F.col(f"_bc{i}"), k / 1000.0) for k in pts})
+            exprs = {"n": F.count(lx), "sl": F.sum(lx), "sl2": F.sum(lx * lx)}
+            for k in pts:
+                if k != 0:
+                    pw = F.exp(F.lit(k / 1000.0) * lx)
+                    exprs[(k, 1)] = F.sum(pw)
+                    exprs[(k, 2)] = F.sum(pw * pw)
+            res = agg_row(t, exprs)
+            n, sl = res["n"], res["sl"]
             best, arg = -math.inf, centers[name]
             for k in pts:
-                v = res[k]
-                if v is not None and not math.isnan(v) and v > best:
+                lam = k / 1000.0
+                if not n:
+                    break
+                if k == 0:
+                    var = res["sl2"] / n - (sl / n) ** 2
+                else:
+                    var = (res[(k, 2)] / n - (res[(k, 1)] / n) ** 2) / (lam * lam)
+                if var is None or not var > 0 or math.isinf(var):
+                    continue
+                v = (lam - 1.0) * sl - n / 2.0 * math.log(var)
+                if v > best:
                     best, arg = v, k
             centers[name] = arg
     t.unpersist()
