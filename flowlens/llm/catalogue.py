@@ -31,3 +31,15 @@ def q_mix(spark, sf_dir):
 def q_shard(spark, sf_dir):
     from flowlens.llm.shards import op5
     return op5(table(spark, sf_dir, "documents"))
+
+
+@register("op1_language_id")
+def q_langid(spark, sf_dir):
+    from flowlens.llm.langid import op1
+    return op1(table(spark, sf_dir, "documents"))
+
+
+@register("op9_nearest_neighbours")
+def q_ann(spark, sf_dir):
+    from flowlens.llm.ann import op9
+    return op9(table(spark, sf_dir, "embeddings"))

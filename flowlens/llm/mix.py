@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import deque
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,17 +147,23 @@ def weighted_cuts(df: DataFrame, need: dict[int, int], levels: int = 5, bits: in
 
 @dataclass(frozen=True)
 class MixPlan:
-    """Repetitions per document as expressions over (_members, _size, _h)."""
+    """Repetitions per document, decided by (_members, _size, _h) alone."""
 
-    patterns: DataFrame      # _members, _pattern, _whole: one row per membership set
-    extra: Column            # true where the document takes one more repetition
+    patterns: DataFrame      # _members, _pattern, _whole, _fit, _cut: one row per membership set
+    rounds: int
     sizes: dict
     quota: dict
 
+    def extra(self) -> Column:
+        """True where a prefix takes the document once more."""
+        return reduce(Column.__or__, [
+            (F.col("_size") > 0) & (F.col("_size") <= F.get("_fit", F.lit(i))) & (F.col("_h") < F.get("_cut", F.lit(i)))
+            for i in range(self.rounds)], F.lit(False))
+
     def apply(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``_passes``, the times the mix takes each of them."""
         joined = rows.join(F.broadcast(self.patterns), "_members")   # one row per membership set
-        return joined.withColumn("_passes", F.col("_whole") + self.extra.cast("int"))
+        return joined.withColumn("_passes", F.col("_whole") + self.extra().cast("int"))
 
 
 def plan_mix(base: DataFrame, quota_of=targets, fill_rounds: int = 4) -> MixPlan:
@@ -177,30 +184,29 @@ def plan_mix(base: DataFrame, quota_of=targets, fill_rounds: int = 4) -> MixPlan
                           [round(quota[s]) for s in names])
     flow = [sum(f.values()) for f in flows]
     whole = [f // r["size"] if r["size"] else 0 for f, r in zip(flow, pats, strict=True)]
-    left = {p: flow[p] - whole[p] * r["size"] for p, r in enumerate(pats)}
-    schema = T.StructType([T.StructField("_members", T.ArrayType(T.StringType())),
-                           T.StructField("_pattern", T.IntegerType()), T.StructField("_whole", T.IntegerType())])
-    lookup = spark.createDataFrame([(r["_members"], p, int(whole[p])) for p, r in enumerate(pats)], schema)
-    rows = base.join(F.broadcast(lookup), "_members")
-    extra: Column = F.lit(False)
-    for _ in range(fill_rounds):
-        live = {p: n for p, n in left.items() if n > 0}
-        if not live:
-            break
-        fits = ~extra & (F.col("_size") > 0) & (F.col("_size") <= _by_pattern(live))
-        cuts = weighted_cuts(rows.where(fits).select("_pattern", "_size", "_h"), live)
-        extra = extra | (fits & (F.col("_h") < _by_pattern({p: c for p, (c, _) in cuts.items()})))
-        for p, (_, got) in cuts.items():
+    left = [f - w * r["size"] for f, w, r in zip(flow, whole, pats, strict=True)]
+    fit, cut = [[] for _ in pats], [[] for _ in pats]
+
+    def plan(rounds: int) -> MixPlan:
+        lookup = spark.createDataFrame(
+            [(r["_members"], p, int(whole[p]), fit[p], cut[p]) for p, r in enumerate(pats)],
+            "_members array<string>, _pattern int, _whole int, _fit array<long>, _cut array<long>")
+        return MixPlan(lookup, rounds, sizes, quota)
+
+    for k in range(fill_rounds):
+        if not any(left):
+            return plan(k)
+        now = plan(k)
+        open_ = now.patterns.select("_members", F.col("_pattern").alias("_p"))
+        need = spark.createDataFrame([(p, int(n)) for p, n in enumerate(left)], "_p int, _need long")
+        rows = now.apply(base).join(F.broadcast(open_.join(need, "_p").drop("_p")), "_members")
+        rows = rows.where((F.col("_passes") == F.col("_whole")) & (F.col("_size") > 0) & (F.col("_size") <= F.col("_need")))
+        cuts = weighted_cuts(rows.select("_pattern", "_size", "_h"), dict(enumerate(left)))
+        for p, (c, got) in cuts.items():
+            fit[p].append(int(left[p]))
+            cut[p].append(int(c))
             left[p] -= got
-    return MixPlan(lookup, extra, sizes, quota)
-
-
-def _by_pattern(values: dict[int, int]) -> Column:
-    """Value of the row's pattern (0 where none): a literal map with one entry per pattern."""
-    if not values:
-        return F.lit(0).cast("long")
-    pairs = [x for p, v in sorted(values.items()) for x in (F.lit(p), F.lit(int(v)).cast("long"))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("_pattern")), F.lit(0).cast("long"))
+    return plan(fill_rounds)
 
 
 def word_count(text: Column) -> Column:
