@@ -43,3 +43,11 @@ def q_langid(spark, sf_dir):
 def q_ann(spark, sf_dir):
     from flowlens.llm.ann import op9
     return op9(table(spark, sf_dir, "embeddings"))
+
+
+@register("op6_token_wavelet")
+def q_wavelet(spark, sf_dir):
+    import public_tokenizers
+
+    from flowlens.llm.wavelet import op6
+    return op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
