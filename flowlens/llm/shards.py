@@ -90,17 +90,17 @@ def even_cuts(sizes: list[int], capacity: int, shards: int) -> list[int]:
     return [*cuts, len(sizes)]
 
 
-def find_cuts(groups: DataFrame, shards: int, digits: int = 4, step: int = 2) -> tuple[int, list[str]]:
+def find_cuts(groups: DataFrame, shards: int, digits: int = 3, step: int = 1) -> tuple[int, list[str]]:
     """(capacity, lowest key of shards 1..) from rows (key, size); keys are hex strings.
 
     Starts from byte sums of ``16**digits`` key prefixes and refines, ``step``
-    digits at a time, the prefixes that any cut of the optimum may fall into.
+    digit(s) at a time, the prefixes that any cut of the optimum may fall into.
     """
 
     def cells(df: DataFrame, width: int) -> list[tuple[str, int, bool]]:
         rows = (df.groupBy(F.substring("key", 1, width).alias("cell"))
-                .agg(F.sum("size").alias("size"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect())
-        return sorted((r["cell"], r["size"], r["lo"] == r["hi"]) for r in rows)
+                .agg(F.sum("size").alias("size"), (F.min("key") == F.max("key")).alias("whole")).collect())
+        return sorted((r["cell"], r["size"], r["whole"]) for r in rows)
 
     items = cells(groups, digits)
     if not items:
