@@ -51,3 +51,9 @@ def q_wavelet(spark, sf_dir):
 
     from flowlens.llm.wavelet import op6
     return op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op10_context_tree_score")
+def q_ctw(spark, sf_dir):
+    from flowlens.llm.ctw import op10
+    return op10(table(spark, sf_dir, "documents"))
