@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from flowlens.llm.common import table
+from flowlens.llm.decontam import ORACLE as _DECONTAM_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +58,9 @@ def q_wavelet(spark, sf_dir):
 def q_ctw(spark, sf_dir):
     from flowlens.llm.ctw import op10
     return op10(table(spark, sf_dir, "documents"))
+
+
+@register("op7_decontaminate", _DECONTAM_SQL)
+def q_decontam(spark, sf_dir):
+    from flowlens.llm.decontam import op7
+    return op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
