@@ -14,6 +14,24 @@ from __future__ import annotations
 from flowlens.llm.common import materialize, table
 
 
+def language(spark, docs, sf_dir):
+    """Drop documents without a language: those with no letter at all."""
+    from flowlens.llm.langid import known_language
+    return known_language(docs)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """Keep one document of each group of near-duplicates."""
+    from flowlens.llm.neardup import deduplicated
+    return deduplicated(docs)
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Drop documents that contain a benchmark item."""
+    from flowlens.llm.decontam import clean_documents
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark, docs, sf_dir):
     """Repeat or drop documents so that the sources come near their target weights."""
     from flowlens.llm.mix import mixed_corpus
@@ -26,7 +44,8 @@ def shard(spark, docs, sf_dir):
     return op5(docs)
 
 
-STAGES = [("mix", mix), ("shard", shard)]
+STAGES = [("language", language), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix),
+          ("shard", shard)]
 
 #: SQL cannot express the stages (trained classifier, seeded hash order); the tests use brute force.
 ORACLE_SQL = None

@@ -64,3 +64,9 @@ def q_ctw(spark, sf_dir):
 def q_decontam(spark, sf_dir):
     from flowlens.llm.decontam import op7
     return op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op4_near_duplicates")
+def q_neardup(spark, sf_dir):
+    from flowlens.llm.neardup import op4
+    return op4(table(spark, sf_dir, "documents"))
