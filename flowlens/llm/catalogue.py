@@ -70,3 +70,9 @@ def q_decontam(spark, sf_dir):
 def q_neardup(spark, sf_dir):
     from flowlens.llm.neardup import op4
     return op4(table(spark, sf_dir, "documents"))
+
+
+@register("op3_substring_dedup")
+def q_pfp(spark, sf_dir):
+    from flowlens.llm.pfp import op3
+    return op3(table(spark, sf_dir, "documents"))
