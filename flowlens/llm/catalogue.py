@@ -76,3 +76,9 @@ def q_neardup(spark, sf_dir):
 def q_pfp(spark, sf_dir):
     from flowlens.llm.pfp import op3
     return op3(table(spark, sf_dir, "documents"))
+
+
+@register("op8_near_passages")
+def q_passages(spark, sf_dir):
+    from flowlens.llm.passages import op8
+    return op8(table(spark, sf_dir, "documents"))
