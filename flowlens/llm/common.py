@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -116,6 +117,18 @@ def shingle_hashes(words: np.ndarray, k: int = 5) -> np.ndarray:
     return mix64(h)
 
 
+def slices(texts: list, chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive runs of texts of about ``chars`` characters."""
+    s = held = 0
+    for i, t in enumerate(texts):
+        held += len(t) if t else 0
+        if held >= chars:
+            yield s, i + 1
+            s, held = i + 1, 0
+    if s < len(texts):
+        yield s, len(texts)
+
+
 # --- connected components ----------------------------------------------------
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

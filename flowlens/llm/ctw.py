@@ -87,18 +87,22 @@ def text_slices(sizes: np.ndarray, limit: int = 2_000_000) -> Iterator[tuple[int
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     return keys, np.bincount(inverse, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
 
 
 def chunk_counts(blob: bytes, sizes: np.ndarray, train: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of a chunk and their counts in its training texts."""
+    """Distinct keys of a chunk, ascending, and their counts in its training texts."""
     data, base = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
     found = []
-    for s, e in text_slices(sizes):
+    for s, e in text_slices(sizes, 4_000_000):
         keys, per = (gram_codes if kind == GRAM else word_keys)(data[base[s]:base[e]], sizes[s:e])
-        uniq, inverse = np.unique(keys, return_inverse=True)
-        found.append((uniq, np.bincount(inverse[np.repeat(train[s:e], per)], minlength=len(uniq))))
+        learned = np.repeat(train[s:e], per)
+        found.append(np.unique(keys[learned], return_counts=True))
+        other = np.unique(keys[~learned])
+        found.append((other, np.zeros(len(other), np.int64)))
     return _merge(found)
 
 
@@ -197,8 +201,11 @@ def key_scores(keys: np.ndarray, counts: np.ndarray, shallow) -> np.ndarray:
 CHUNK_SCHEMA = "chunk long, doc_id array<long>, held array<boolean>, learn array<boolean>, size array<long>, blob binary"
 
 
-def make_chunks(df: DataFrame, chunk_bytes: int = 12_000_000) -> DataFrame:
-    """Texts packed into compressed chunks of about ``chunk_bytes``, as a stored table."""
+def make_chunks(df: DataFrame, chunk_bytes: int = 64_000_000) -> DataFrame:
+    """Texts packed into compressed chunks of up to about ``chunk_bytes``, as a stored table.
+
+    Two scan tasks share a chunk: the larger a chunk, the fewer grams are listed twice.
+    """
     rest = id_remainder(F.col("doc_id"), 10)
     rows = df.select("doc_id", "text", F.coalesce(rest == 0, F.lit(False)).alias("held"),
                      F.coalesce(rest != 0, F.lit(False)).alias("learn"))
@@ -226,6 +233,7 @@ def make_chunks(df: DataFrame, chunk_bytes: int = 12_000_000) -> DataFrame:
         if ids:
             yield chunk()
 
+    rows = rows.coalesce(-(-rows.rdd.getNumPartitions() // 2))
     return materialize(rows.mapInPandas(build, CHUNK_SCHEMA), "ctw-chunks")
 
 
@@ -235,15 +243,16 @@ def _task() -> int:
 
 
 def list_keys(chunks: DataFrame, kind: int) -> DataFrame:
-    """(chunk, key, n) of the distinct grams or words of each chunk; n counts training texts."""
+    """(chunk, key, n, at) of the distinct grams or words of each chunk: training count, rank in the chunk."""
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 key, n = chunk_counts(r.blob, np.asarray(r.size, np.int64), np.asarray(r.learn, bool), kind)
                 for s in range(0, len(key), 200_000):
                     yield pd.DataFrame({"chunk": r.chunk, "key": key[s:s + 200_000].view(np.int64),
-                                        "n": n[s:s + 200_000].astype(np.int32)})
-    return chunks.select("chunk", "learn", "size", "blob").mapInPandas(keys, "chunk long, key long, n int")
+                                        "n": n[s:s + 200_000].astype(np.int32),
+                                        "at": np.arange(s, min(s + 200_000, len(key)), dtype=np.int32)})
+    return chunks.select("chunk", "learn", "size", "blob").mapInPandas(keys, "chunk long, key long, n int, at int")
 
 
 def tree_values(grams: DataFrame) -> DataFrame:
@@ -287,19 +296,19 @@ def op10(df: DataFrame) -> DataFrame:
     tokens, distinct = (seen.get["n"] or 0) + ends, seen.get["v"] + (ends > 0)
     grams = list_keys(chunks, GRAM)
     values = tree_values(materialize(grams.groupBy("key").agg(F.sum("n").alias("n")), "ctw-grams"))
-    sent = (grams.select("chunk", "key").join(values, "key")
-            .select("chunk", F.lit(GRAM).cast("byte").alias("kind"), "key", "value")
-            .union(words.select("chunk", "key").join(shared, "key")
-                   .select("chunk", F.lit(WORDS).cast("byte"), "key", F.col("total").cast("double"))))
+    # back to the chunks goes the rank of the gram or word there, not the key
+    sent = (grams.select("chunk", "key", "at").join(values, "key")
+            .select("chunk", "at", F.col("value").cast("float").alias("value"), F.lit(None).cast("long").alias("total"))
+            .union(words.select("chunk", "key", "at").join(shared, "key")
+                   .select("chunk", "at", F.lit(None).cast("float"), "total")))
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        table = {}
-        for kind in (GRAM, WORDS):
-            own = right[right["kind"] == kind]
-            key = own["key"].to_numpy().view(np.uint64)
-            by = np.argsort(key)
-            table[kind] = key[by], own["value"].to_numpy()[by]
-        out = [score_chunk(r, table, tokens, distinct, ends) for r in left.itertuples(index=False)]
+        gram = right["total"].isna().to_numpy()
+        at = right["at"].to_numpy()
+        value = np.zeros(gram.sum())
+        value[at[gram]] = right["value"].to_numpy()[gram]
+        total = at[~gram], right["total"].to_numpy()[~gram]
+        out = [score_chunk(r, value, total, tokens, distinct, ends) for r in left.itertuples(index=False)]
         return pd.concat(out) if out else pd.DataFrame(columns=[x.split()[0] for x in SCORE_SCHEMA.split(", ")])
 
     return chunks.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(score, SCORE_SCHEMA)
@@ -309,20 +318,19 @@ SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, tra
                 "base_score double, score double")
 
 
-def score_chunk(r, table: dict, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
-    """Scores of the texts of one chunk, given the values of its grams and words."""
-    sizes = np.asarray(r.size, np.int64)
+def score_chunk(r, value: np.ndarray, shared: tuple, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
+    """Scores of the texts of one chunk, given the values of its grams and its shared words by rank."""
+    sizes, learn = np.asarray(r.size, np.int64), np.asarray(r.learn, bool)
     data, base = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.blob), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
     n_words, known, unigram, model = (np.zeros(len(sizes)) for _ in range(4))
     below = tokens + ALPHA * (distinct + 1)
-    own, counts = chunk_counts(r.blob, sizes, np.asarray(r.learn, bool), WORDS)
-    shared, total = table[WORDS]
+    key = chunk_counts(r.blob, sizes, learn, GRAM)[0]
+    own, counts = chunk_counts(r.blob, sizes, learn, WORDS)
     counts = counts.astype(float)
-    counts[np.searchsorted(own, shared)] = total        # every shared word sent here occurs here
+    counts[shared[0]] = shared[1]
     for s, e in text_slices(sizes):
         d = data[base[s]:base[e]]
         code, per = gram_codes(d, sizes[s:e])
-        key, value = table[GRAM]
         model[s:e] = np.add.reduceat(value[np.searchsorted(key, code)], np.cumsum(per) - per)
         word, per = word_keys(d, sizes[s:e])
         c = np.zeros(len(word))

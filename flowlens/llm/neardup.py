@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import components, materialize, mix64, shingle_hashes, words_of
+from flowlens.llm.common import components, materialize, mix64, shingle_hashes, slices, words_of
 
 BANDS, ROWS = 16, 4
 HASHES = BANDS * ROWS
@@ -103,9 +103,11 @@ def word_idf(df: DataFrame, text: str = "text") -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros(1 << DF_BITS, np.int64)
         for pdf in batches:
-            words, owner, _, _ = words_of(pdf[text].tolist())
-            pair = np.unique(owner.astype(np.int64) << DF_BITS | (words >> np.uint64(64 - DF_BITS)).astype(np.int64))
-            seen += np.bincount(pair & ((1 << DF_BITS) - 1), minlength=1 << DF_BITS)
+            texts = pdf[text].tolist()
+            for s, e in slices(texts):
+                words, owner, _, _ = words_of(texts[s:e])
+                pair = np.unique(owner.astype(np.int64) << DF_BITS | (words >> np.uint64(64 - DF_BITS)).astype(np.int64))
+                seen += np.bincount(pair & ((1 << DF_BITS) - 1), minlength=1 << DF_BITS)
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "n": seen[at]})
 
@@ -122,9 +124,9 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for s in range(0, len(pdf), 500):
-                part = pdf.iloc[s:s + 500]
-                sets = text_sets(part["text"].tolist(), idf.value)
+            texts = pdf["text"].tolist()
+            for s, e in slices(texts):
+                part, sets = pdf.iloc[s:e], text_sets(texts[s:e], idf.value)
                 yield pd.DataFrame({"doc": part["doc"], "node": part["node"], "sig": [
                     sample(x, n * w).tobytes() if len(x) else None for x, n, w in sets]})
 
@@ -187,8 +189,8 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for s in range(0, len(pdf), 500):
-                part = pdf.iloc[s:s + 500]
+            for s, e in slices((pdf["ta"] + pdf["tb"]).tolist()):
+                part = pdf.iloc[s:e]
                 seen = dict(zip(part["a"], part["ta"], strict=True)) | dict(zip(part["b"], part["tb"], strict=True))
                 sets = dict(zip(seen, text_sets(list(seen.values()), idf.value), strict=True))
                 j = np.asarray([similarity(sets[a], sets[b]) for a, b in zip(part["a"], part["b"], strict=True)], float)

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import materialize
+from flowlens.llm.common import materialize, slices
 
 MAGIC, END_ID, BLOCK = b"WMX1", 0, 512
 FILE_SCHEMA = "part int, seq int, n_docs long, n_tokens long, image binary"
@@ -179,7 +179,7 @@ def write_shards(df: DataFrame, tokenizer_path: str, text: str = "text", id_col:
         for pdf in batches:
             texts = pdf["text"].tolist()
             doc_ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
-            for s, e in slices(texts):
+            for s, e in slices(texts, min(2_000_000, 2 * shard_tokens)):
                 tok, n = enc.encode(texts[s:e])
                 stop = np.cumsum(n)
                 tok = np.insert(tok, stop, END_ID)
@@ -196,18 +196,6 @@ def write_shards(df: DataFrame, tokenizer_path: str, text: str = "text", id_col:
     return materialize(ordered.mapInPandas(encode, FILE_SCHEMA), "token-shards")
 
 
-def slices(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Consecutive runs of texts of about ``chars`` characters."""
-    s = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= chars:
-            yield s, i + 1
-            s, held = i + 1, 0
-    if s < len(texts):
-        yield s, len(texts)
-
-
 def read_documents(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read back from the files."""
 
