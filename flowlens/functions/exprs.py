@@ -5,26 +5,45 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Multiplicative (Fibonacci) hash used for deterministic, partition-independent
-# row ordering; both constants are fixed values.
+# Constants of the portable 32-bit mixing hash (fixed values).
 HASH_MULT = 2654435761
 HASH_MULT_2 = 2246822519
+MIX = 73244475
 TWO_32 = 4294967296
-TWO_31 = 2147483648
+MASK_32 = TWO_32 - 1
+
+
+def _stream_key(seed: int, mult: int) -> int:
+    """32-bit key of the stream (seed, mult); nearby seeds give unrelated keys."""
+    x = (seed * HASH_MULT + mult) & MASK_32
+    for _ in range(3):
+        x = ((x ^ (x >> 16)) * MIX) & MASK_32
+    return x ^ (x >> 16)
 
 
 def hash32(id_col: Column, seed: int = 42, mult: int = HASH_MULT) -> Column:
-    """((id mod 2^31) * mult + (id div 2^31) + seed) mod 2^32 in BIGINT; never overflows."""
+    """Mixed 32-bit hash of an id in BIGINT arithmetic that never overflows.
+
+    Each (seed, mult) is a stream of its own: three multiply-xor-shift rounds over
+    both halves of the id make the streams of one id independent of each other.
+    """
+    def mixed(x: Column) -> Column:
+        return (x.bitwiseXOR(F.shiftright(x, 16)) * F.lit(MIX)).bitwiseAND(F.lit(MASK_32))
+
     i = id_col.cast("bigint")
-    lo = F.pmod(i, F.lit(TWO_31))
-    hi = F.floor(i / F.lit(TWO_31)).cast("bigint")
-    return F.pmod(lo * F.lit(mult) + hi + F.lit(seed), F.lit(TWO_32))
+    x = mixed(mixed(i.bitwiseAND(F.lit(MASK_32)).bitwiseXOR(F.lit(_stream_key(seed, mult)))))
+    x = mixed(x.bitwiseXOR(F.shiftright(i, 32).bitwiseAND(F.lit(MASK_32))))
+    return x.bitwiseXOR(F.shiftright(x, 16))
 
 
 def hash32_sql(id_expr: str, seed: int = 42, mult: int = HASH_MULT) -> str:
+    def mixed(x: str) -> str:
+        return f"((xor({x}, ({x}) >> 16) * {MIX}) & {MASK_32})"
+
     i = f"CAST({id_expr} AS BIGINT)"
-    return (f"((({i} % {TWO_31} + {TWO_31}) % {TWO_31}) * {mult} + CAST(floor({i} / {TWO_31}) AS BIGINT)"
-            f" + {seed}) % {TWO_32}")
+    x = mixed(mixed(f"xor({i} & {MASK_32}, CAST({_stream_key(seed, mult)} AS BIGINT))"))
+    x = mixed(f"xor({x}, ({i} >> 32) & {MASK_32})")
+    return f"xor({x}, {x} >> 16)"
 
 
 def uniform(id_col: Column, seed: int = 42, mult: int = HASH_MULT) -> Column:
@@ -51,8 +70,3 @@ def sig_sql(x: str, digits: int = 9) -> str:
     return (f"(CASE WHEN ({x}) IS NULL OR isnan({x}) OR ({x}) = 0 OR abs({x}) = 'Infinity'::DOUBLE THEN ({x}) "
             f"WHEN {k} >= 0 THEN round(({x}) / power(10.0, {k}), {digits}) * power(10.0, {k}) "
             f"ELSE round(({x}) * power(10.0, -{k}), {digits}) / power(10.0, -{k}) END)")
-
-
-def safe_div(a: Column, b: Column) -> Column:
-    """a / b, NULL when b is 0 or NULL (ANSI mode raises on division by zero)."""
-    return F.try_divide(a, b)

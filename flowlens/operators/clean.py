@@ -34,13 +34,7 @@ INFORMATIVE_MISSING_5G = ["dTos", "dTtl", "dHops", "DstTCPBase", "SrcTCPBase"]
 MEDIAN_IMPUTE_5G = ["dTos", "dTtl", "dHops", "DstWin", "SrcWin", "sTos", "sTtl", "sHops"]
 ZERO_SENTINEL_5G = ["DstTCPBase", "SrcTCPBase"]
 # correlated groups removed in the 5G notebook variant (SrcLoss handled by the ratio)
-CORR_GROUPS_5G = {
-    "Load / Rate": ["DstLoad", "DstRate"],
-    "SrcLoad / SrcRate": ["SrcRate"],
-    "Dur / RunTime + Sum": ["RunTime", "Sum"],
-    "Pkts / DstBytes": ["DstPkts", "DstBytes"],
-    "Loss group": ["DstLoss"],
-}
+CORR_GROUPS_5G = [["DstLoad", "DstRate"], ["SrcRate"], ["RunTime", "Sum"], ["DstPkts", "DstBytes"], ["DstLoss"]]
 # the src variant also removes these
 CORR_GROUPS_5G_SRC_EXTRA = ["SrcPkts", "SrcLoss", "pDup"]
 PROTECTED_PAIRS_6G = [
@@ -57,13 +51,12 @@ LOG_FULL_5G = ["Load", "SrcLoad", "Rate", "SynAck", "TcpRtt", "AckDat", "SrcByte
                "TotPkts", "Mean", "Min", "Max"]
 LOG1P_ONLY_5G = ["SrcWin", "DstWin"]
 SKEW_THRESHOLD = 1.0
-BOXCOX_EPS_NOTEBOOK = 1e-6
+BOXCOX_EPS_SMALL = 1e-6
 ONEHOT_5G = ["Proto", "State", "Cause", "dDSb"]
 LABEL_MAP_5G = {"Benign": 0, "Malicious": 1}
 SCALE_EXCLUDE_PREFIXES = ("Proto_", "Port_")
 SCALE_EXCLUDE_SUFFIXES = ("_was_missing",)
 SCALE_EXCLUDE_CONTAINS = ("Flag Count",)
-MAX_CATEGORIES = 1000  # guard: one-hot / ordinal encodings are for low-cardinality columns
 # ----------------------------------------------------------------------------
 
 
@@ -262,8 +255,8 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 
 # C16 -----------------------------------------------------------------------
-def drop_groups(df: DataFrame, groups: dict[str, list[str]] = CORR_GROUPS_5G) -> DataFrame:
-    return df.drop(*_present(df, [x for g in groups.values() for x in g]))
+def drop_groups(df: DataFrame, groups: Sequence[Sequence[str]] = tuple(CORR_GROUPS_5G)) -> DataFrame:
+    return df.drop(*_present(df, [x for g in groups for x in g]))
 
 
 # C17 / B17 -----------------------------------------------------------------
@@ -472,7 +465,7 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
         plan.append(e)
     bc = [e for e in plan if e["method"] == "log1p + BoxCox"]
     if bc:
-        lams = fit_boxcox_lambdas(df, {e["column"]: log1p_clip(c(e["column"])) + F.lit(BOXCOX_EPS_NOTEBOOK)
+        lams = fit_boxcox_lambdas(df, {e["column"]: log1p_clip(c(e["column"])) + F.lit(BOXCOX_EPS_SMALL)
                                        for e in bc})
         for e in bc:
             e["lambda"] = lams[e["column"]]
@@ -489,7 +482,7 @@ def log_transform(df: DataFrame, plan: list[dict], suffix: str = "_log") -> Data
         x = e["column"]
         y = log1p_clip(c(x))
         if e["method"] == "log1p + BoxCox":
-            y = boxcox_expr(y + F.lit(BOXCOX_EPS_NOTEBOOK), e["lambda"])
+            y = boxcox_expr(y + F.lit(BOXCOX_EPS_SMALL), e["lambda"])
         new[x + suffix] = y
         if suffix:
             drop.append(x)
@@ -503,15 +496,19 @@ def log1p_only(df: DataFrame, cols: Sequence[str], suffix: str = "_log",
 
 
 # C23 / C24 / C25 / C26 -----------------------------------------------------
-def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null values per column, one shuffle for all columns."""
+def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list[str]]:
+    """Sorted distinct non-null values per column, one shuffle for all columns.
+
+    The values become columns or codes, so they reach the driver; with
+    ``max_categories`` a wider column is refused before that."""
     from flowlens.functions.stats import value_counts
     cols = _present(df, cols)
     out = {x: [] for x in cols}
     vc = value_counts(df, cols).select("column", "value")
-    big = vc.groupBy("column").count().where(F.col("count") > MAX_CATEGORIES).collect()
-    if big:  # size checked before anything reaches the driver
-        raise ValueError(f"too many categories to encode: {[(r[0], r[1]) for r in big]}")
+    if max_categories is not None:
+        big = vc.groupBy("column").count().where(F.col("count") > max_categories).collect()
+        if big:
+            raise ValueError(f"too many categories to encode: {[(r[0], r[1]) for r in big]}")
     for r in vc.collect():
         out[r["column"]].append(r["value"])
     return {k: sorted(v) for k, v in out.items()}

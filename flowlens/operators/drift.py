@@ -9,7 +9,6 @@ sum.  Only bin counts, edges and scalars reach the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -94,7 +93,7 @@ def ks_statistic(a: DataFrame, b: DataFrame, col: str, by: Sequence[str] = ()) -
     cnt = both.groupBy(*by, "v").agg(F.sum("na").alias("ca"), F.sum("nb").alias("cb"))
     cum = cumulative(cnt, "v", ["ca", "cb"], key_cols=list(by))
     tot = cnt.groupBy(*by).agg(F.sum("ca").alias("n_a"), F.sum("cb").alias("n_b"))
-    j = cum.join(tot, list(by)) if by else cum.crossJoin(tot)
+    j = cum.join(F.broadcast(tot), list(by)) if by else cum.crossJoin(tot)  # tot: one row per group
     gap = F.abs(F.try_divide(F.col("ca_cum").cast("double"), F.col("n_a"))
                 - F.try_divide(F.col("cb_cum").cast("double"), F.col("n_b")))
     return j.groupBy(*by, "n_a", "n_b").agg(F.max(gap).alias("ks_statistic"))
@@ -127,9 +126,9 @@ def drift_report(baseline: DataFrame, recent: DataFrame, rate_col: str = "attack
     one = rec.crossJoin(base).crossJoin(p).join(ks, how="left")  # single rows
     one = one.crossJoin(spark.range(1).select(F.lit(window_days).alias("window_days")))
     a1 = F.when(F.col("psi") >= psi_threshold, F.format_string(
-        f"Attack-rate PSI=%.3f >= threshold {psi_threshold} — distribution shift detected", F.round("psi", 3)))
+        f"attack rate moved: PSI %.3f, limit {psi_threshold}", F.round("psi", 3)))
     a2 = F.when(F.col("ks_p") < ks_p_threshold, F.format_string(
-        f"Score KS p=%.4f < threshold {ks_p_threshold} — probability distribution shifted", F.round("ks_p", 4)))
+        f"scores moved: KS p-value %.4f, limit {ks_p_threshold}", F.round("ks_p", 4)))
     drifted = (F.col("psi") >= psi_threshold) | (F.coalesce(F.col("ks_p"), F.lit(1.0)) < ks_p_threshold)
     return one.select(
         F.when(F.col("n_requests") == 0, "no_data").when(drifted, "drift_detected").otherwise("ok").alias("status"),
@@ -143,7 +142,6 @@ def drift_report(baseline: DataFrame, recent: DataFrame, rate_col: str = "attack
 def feature_drift(baseline: DataFrame, current: DataFrame, features: Sequence[str],
                   bins: int = PSI_BINS) -> DataFrame:
     """PSI, KS statistic and band per feature over the stacked features (H5)."""
-    spark = baseline.sparkSession
     rows = None
     for f in features:
         p = psi(baseline, current, f, bins).select(F.lit(f).alias("feature"), "psi")
@@ -152,11 +150,6 @@ def feature_drift(baseline: DataFrame, current: DataFrame, features: Sequence[st
         F.struct(F.lit(f).alias("feature"), clean_double(c(f)).alias("v")) for f in features])).alias("s")
     ).select("s.feature", F.col("s.v").alias(side))
     ks = ks_statistic(stack(baseline, "x"), stack(current, "x"), "x", by=["feature"]).select("feature", "ks_statistic")
-    del spark
     return rows.join(ks, "feature").select("feature", sig(F.col("psi")).alias("psi"),
                                            sig(F.col("ks_statistic")).alias("ks_statistic"),
                                            drift_band(F.col("psi")).alias("band"))
-
-
-def _unused():
-    return math

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.exprs import sig
@@ -69,7 +69,7 @@ def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFra
     cum = cumulative(cnt, "score", ["pos", "neg"], key_cols=list(by), descending=True)
     tot = cnt.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     cum = cum.withColumnRenamed("pos_cum", "tp").withColumnRenamed("neg_cum", "fp")
-    return cum.join(tot, list(by)) if by else cum.crossJoin(tot)  # tot: one row per group
+    return cum.join(F.broadcast(tot), list(by)) if by else cum.crossJoin(tot)  # tot: one row per group
 
 
 # G3
@@ -77,10 +77,10 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
     """Exact ROC-AUC with ties counted half; NULL when a class is absent."""
     r = _ranked(df, label, score, by)
     # integer-valued numerator (x2) keeps the sum exact in any order
-    term = F.col("pos") * (2 * (F.col("N") - F.col("fp")) + F.col("neg"))
-    g = r.groupBy(*by, "P", "N").agg(F.sum(term.cast("double")).alias("num2"))
+    term = F.col("pos").cast("double") * (2 * (F.col("N") - F.col("fp")) + F.col("neg"))  # BIGINT would overflow
+    g = r.groupBy(*by, "P", "N").agg(F.sum(term).alias("num2"))
     auc = F.when((F.col("P") > 0) & (F.col("N") > 0),
-                 F.col("num2") / (F.lit(2.0) * F.col("P") * F.col("N")))
+                 F.col("num2") / (F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double")))
     return g.select(*by, auc.alias("roc_auc"))
 
 
@@ -222,7 +222,3 @@ def separation(df: DataFrame, label: str, score: str) -> DataFrame:
                F.avg(F.when(c(label) == 0, c(score))).alias("mean_benign"))
     return g.select(sig(F.col("mean_attack")).alias("mean_attack"), sig(F.col("mean_benign")).alias("mean_benign"),
                     sig(F.try_divide(F.col("mean_attack"), F.col("mean_benign"))).alias("ratio"))
-
-
-def _unused():
-    return Window

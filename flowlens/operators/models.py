@@ -9,9 +9,9 @@
   parallel with ``applyInPandas`` (one small group per tree, <= 256 rows),
   and scores rows with a vectorised numpy traversal of the broadcast flat
   trees inside ``mapInPandas`` (Arrow batches, no per-row Python).
-* The gate (16-32-16-softmax(5)) is trained by full-batch Adam: each epoch
-  is one ``mapInPandas`` job that returns per-partition gradient sums;
-  only the ~1.2k parameters travel to and from the driver.
+* The gate (16-32-16-softmax(5)) is trained by mini-batch Adam inside the
+  partitions of one ``mapInPandas`` job per epoch, averaged over them, with
+  validation and early stop; only ~1.2k parameters and their moments travel.
 Fitted parameters are plain lists, so scoring a batch applies them as
 literal column expressions in a single narrow stage.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.functions.exprs import hash32
+from flowlens.functions.exprs import hash32, uniform
 from flowlens.functions.stats import c
 from flowlens.operators import score as S
 
@@ -46,24 +46,12 @@ MIN_SLICE_ROWS = 10
 AE_BOTTLENECK = 6
 IFOREST_TREES, IFOREST_SAMPLE = 200, 256
 GATE_HIDDEN = (32, 16)
-GATE_EPOCHS, GATE_LR = 80, 1e-3
+GATE_EPOCHS, GATE_LR, GATE_BATCH = 80, 1e-3, 128
+GATE_VALIDATION, GATE_PATIENCE, GATE_LR_PATIENCE = 0.1, 10, 5
 SEED = 42
 # -----------------------------------------------------------------------------
 
 
-ROWS_PER_PARTITION = 1_000_000
-
-
-def right_size(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Coalesce an iterative learner's input to about ``rows_per_partition`` rows per
-    partition (never more partitions than it has): per-iteration task overhead
-    stays small on small inputs, large inputs keep their parallelism."""
-    n = df.count()
-    want = max(1, -(-n // rows_per_partition))
-    have = df.rdd.getNumPartitions()
-    return df.coalesce(want) if want < have else df
-
-
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
@@ -93,7 +81,7 @@ def train_gbt(df: DataFrame, features: Sequence[str], label: str, weight: str |
     if validation:
         g.setValidationIndicatorCol(validation)
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                            handleInvalid="keep"), g]).fit(right_size(df))
+                                            handleInvalid="keep"), g]).fit(df)
 
 
 def positive_weight(df: DataFrame, label: str, out: str = "w", floor: float = 1e-3) -> DataFrame:
@@ -330,68 +318,111 @@ def _gate_forward(P, X):
     return hs
 
 
-def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
-               epochs: int = GATE_EPOCHS, lr: float = GATE_LR, seed: int = SEED) -> dict:
+def _gate_loss(params, x, scores, y):
+    """(layer outputs, combined score, probability, summed cross-entropy) of a batch."""
+    hs = _gate_forward(params, x)
+    comb = (hs[-1] * scores).sum(axis=1)
+    p = 1.0 / (1.0 + np.exp(-4.0 * (comb - 0.5)))
+    clipped = np.clip(p, 1e-7, 1 - 1e-7)
+    return hs, comb, p, float(-(y * np.log(clipped) + (1 - y) * np.log(1 - clipped)).sum())
+
+
+def _gate_gradient(params, x, scores, y):
+    hs, comb, p, _ = _gate_loss(params, x, scores, y)
+    dz = hs[-1] * (scores - comb[:, None]) * (4.0 * (p - y) / len(y))[:, None]
+    out = [None] * len(params)
+    for i in range(len(params) // 2 - 1, -1, -1):
+        out[2 * i], out[2 * i + 1] = hs[i].T @ dz, dz.sum(axis=0)
+        if i > 0:
+            dz = (dz @ params[2 * i].T) * (hs[i] > 0)
+    return out
+
+
+def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str, id_col: str = "id",
+               epochs: int = GATE_EPOCHS, lr: float = GATE_LR, batch: int = GATE_BATCH, seed: int = SEED,
+               validation: float = GATE_VALIDATION, patience: int = GATE_PATIENCE,
+               lr_patience: int = GATE_LR_PATIENCE) -> dict:
     """Train the softmax gate through the fixed combiner sigma(4 (sum w s - 0.5))
-    with binary cross-entropy; one distributed gradient job per epoch."""
+    with binary cross-entropy.
+
+    One job per epoch: every partition measures the validation loss of the weights it
+    is given, then runs Adam over its training rows in batches of ``batch``; weights and
+    Adam moments are averaged by row count.  The step size is halved after
+    ``lr_patience`` epochs without a better validation loss, training stops after
+    ``patience`` of them, and the best weights are returned.  ``df`` should be a stored
+    table: each epoch reads it once.
+    """
     feats = list(features)
-    d, k = len(feats), None
-    first = df.select(F.size(c(scores)).alias("k")).first()
-    k = int(first["k"])
-    P = _init_gate(d, k, seed=seed)
-    m = [np.zeros_like(p) for p in P]
-    v = [np.zeros_like(p) for p in P]
-    data = right_size(df.select(*[c(f).cast("double").alias(f) for f in feats], c(scores).alias("_s"),
-                                c(label).cast("double").alias("_y"))).persist()
-    n = data.count()
-    sizes = [p.size for p in P]
-    schema = "g array<double>, loss double, n long"
-    for epoch in range(1, epochs + 1):
-        bc = df.sparkSession.sparkContext.broadcast(P)
-
-        def grads(it, bc=bc):
-            Pw = bc.value
-            acc = [np.zeros_like(p) for p in Pw]
-            loss, cnt = 0.0, 0
+    k = df.select(F.size(c(scores)).alias("k")).first()["k"]
+    data = df.select(*[c(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)], c(scores).alias("_s"),
+                     c(label).cast("double").alias("_y"),
+                     (uniform(c(id_col), seed + 4_000) < validation).alias("_val")).persist()
+    cols = [f"_x{i}" for i in range(len(feats))]
+    params = _init_gate(len(feats), int(k), seed=seed)
+    shapes, zeros = [p.shape for p in params], [np.zeros_like(p) for p in params]
+    moments, steps = (zeros, [z.copy() for z in zeros]), 0
+    best, best_loss, stale = params, math.inf, 0
+    schema = "state binary, n long, steps long, loss double, n_val long"
+    sc = df.sparkSession.sparkContext
+
+    def flat(groups):
+        return np.concatenate([p.ravel() for g in groups for p in g])
+
+    def unflat(v):
+        out, at = [], 0
+        for shape in shapes * 3:
+            size = int(np.prod(shape))
+            out.append(v[at:at + size].reshape(shape))
+            at += size
+        return [out[i:i + len(shapes)] for i in range(0, len(out), len(shapes))]
+
+    for epoch in range(epochs + 1):           # the last round only measures the final weights
+        shared = sc.broadcast((flat([params, *moments]), steps, lr))
+
+        def local(it, shared=shared, train=epoch < epochs, epoch=epoch):
+            state, done, rate = shared.value
+            start = unflat(state)[0]
+            (own, m, v), n, n_val, loss, here = unflat(state.copy()), 0, 0, 0.0, done
+            rng = np.random.default_rng([seed, epoch])
             for pdf in it:
-                if pdf.empty:
-                    continue
-                X = np.nan_to_num(pdf[feats].to_numpy(dtype=float))
-                Sm = np.stack(pdf["_s"].to_numpy())
-                y = pdf["_y"].to_numpy()
-                hs = _gate_forward(Pw, X)
-                w = hs[-1]
-                comb = (w * Sm).sum(axis=1)
-                p = 1.0 / (1.0 + np.exp(-4.0 * (comb - 0.5)))
-                pc = np.clip(p, 1e-7, 1 - 1e-7)
-                loss += float(-(y * np.log(pc) + (1 - y) * np.log(1 - pc)).sum())
-                cnt += len(y)
-                dcomb = 4.0 * (p - y)
-                dz = w * (Sm - comb[:, None]) * dcomb[:, None]
-                n_layers = len(Pw) // 2
-                for i in range(n_layers - 1, -1, -1):
-                    acc[2 * i] += hs[i].T @ dz
-                    acc[2 * i + 1] += dz.sum(axis=0)
-                    if i > 0:
-                        dz = (dz @ Pw[2 * i].T) * (hs[i] > 0)
-            yield pd.DataFrame({"g": [np.concatenate([a.ravel() for a in acc]).tolist()], "loss": [loss], "n": [cnt]})
-
-        parts = data.mapInPandas(grads, schema).collect()
-        g = np.sum([np.array(r["g"]) for r in parts], axis=0) / max(n, 1)
-        off = 0
-        for i, p in enumerate(P):
-            gi = g[off:off + sizes[i]].reshape(p.shape)
-            off += sizes[i]
-            m[i] = 0.9 * m[i] + 0.1 * gi
-            v[i] = 0.999 * v[i] + 0.001 * gi * gi
-            mh = m[i] / (1 - 0.9 ** epoch)
-            vh = v[i] / (1 - 0.999 ** epoch)
-            P[i] = p - lr * mh / (np.sqrt(vh) + 1e-8)
-        bc.unpersist()
+                x = np.nan_to_num(pdf[cols].to_numpy(dtype=float))
+                s = np.stack(pdf["_s"].to_numpy()) if len(pdf) else np.zeros((0, 1))
+                y, val = pdf["_y"].to_numpy(), pdf["_val"].to_numpy(bool)
+                if val.any():
+                    loss += _gate_loss(start, x[val], s[val], y[val])[3]
+                    n_val += int(val.sum())
+                order = rng.permutation(np.flatnonzero(~val)) if train else np.zeros(0, int)
+                n += len(order)
+                for at in range(0, len(order), batch):
+                    rows = order[at:at + batch]
+                    here += 1
+                    for i, g in enumerate(_gate_gradient(own, x[rows], s[rows], y[rows])):
+                        m[i] = 0.9 * m[i] + 0.1 * g
+                        v[i] = 0.999 * v[i] + 0.001 * g * g
+                        own[i] = own[i] - rate * (m[i] / (1 - 0.9 ** here)) / (np.sqrt(v[i] / (1 - 0.999 ** here)) + 1e-8)
+            yield pd.DataFrame({"state": [flat([own, m, v]).tobytes()], "n": [n], "steps": [here], "loss": [loss], "n_val": [n_val]})
+
+        parts = data.mapInPandas(local, schema).collect()       # one small row per partition
+        shared.unpersist()
+        loss = sum(r["loss"] for r in parts) / max(1, sum(r["n_val"] for r in parts))
+        if loss < best_loss - 1e-6:
+            best, best_loss, stale = params, loss, 0
+        else:
+            stale += 1
+            if stale >= patience:
+                break
+            if stale % lr_patience == 0:
+                lr = lr / 2
+        rows = sum(r["n"] for r in parts)
+        if not rows:
+            break
+        mean = sum(np.frombuffer(r["state"]) * (r["n"] / rows) for r in parts if r["n"])
+        params, *moments = unflat(mean)
+        steps = max(r["steps"] for r in parts)
     data.unpersist()
-    layers = [(P[2 * i].tolist(), P[2 * i + 1].tolist(), "relu" if i < len(P) // 2 - 1 else "linear")
-              for i in range(len(P) // 2)]
-    return {"features": feats, "layers": layers}
+    layers = [(best[2 * i].tolist(), best[2 * i + 1].tolist(), "relu" if i < len(best) // 2 - 1 else "linear")
+              for i in range(len(best) // 2)]
+    return {"features": feats, "layers": layers, "validation_loss": best_loss}
 
 
 def gate_weights(df: DataFrame, gate: dict, out: str = "weights") -> DataFrame:

@@ -31,9 +31,9 @@ def js_round(x: Column) -> Column:
 def promotion_gate(runs: DataFrame, f1: str = "f1", recall: str = "recall", pr_auc: str = "pr_auc",
                    min_f1: float = MIN_F1, min_recall: float = MIN_RECALL, min_pr_auc: float = MIN_PR_AUC) -> DataFrame:
     checks = [
-        F.when(c(f1) < min_f1, F.format_string(f"F1 %.4f < required {min_f1}", F.round(c(f1), 4))),
-        F.when(c(recall) < min_recall, F.format_string(f"Recall %.4f < required {min_recall}", F.round(c(recall), 4))),
-        F.when(c(pr_auc) < min_pr_auc, F.format_string(f"PR-AUC %.4f < required {min_pr_auc}", F.round(c(pr_auc), 4))),
+        F.when(c(f1) < min_f1, F.format_string(f"f1 is %.4f, at least {min_f1} needed", F.round(c(f1), 4))),
+        F.when(c(recall) < min_recall, F.format_string(f"recall is %.4f, at least {min_recall} needed", F.round(c(recall), 4))),
+        F.when(c(pr_auc) < min_pr_auc, F.format_string(f"pr_auc is %.4f, at least {min_pr_auc} needed", F.round(c(pr_auc), 4))),
     ]
     fails = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return runs.withColumn("failures", fails).withColumn("promote", F.size("failures") == 0)

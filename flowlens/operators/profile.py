@@ -439,7 +439,3 @@ def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
 # B28
 def null_label_rows(df: DataFrame, label: str = "Label") -> DataFrame:
     return df.where(c(label).isNull())
-
-
-def _unused(_):  # keep imports referenced for type checkers
-    return T, Sequence

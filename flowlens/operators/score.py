@@ -121,7 +121,3 @@ def ablation_scores(weights: Column, scores: Column, k: int = len(EXPERT_NAMES))
     uniform = total / F.lit(float(k))
     hard = F.element_at(scores, dominant_expert(weights) + 1)
     return {"trained": weighted_combine(weights, scores), "uniform": uniform, "hard": hard}
-
-
-def _unused():
-    return DEFAULT_THRESHOLD, OVERFIT_GAP

@@ -30,6 +30,8 @@ ANOMALY_FRACTION = 0.15
 SYN_FLOOD_ADD = (3.0, 8.0)
 PORT_SCAN_MUL = (0.01, 0.1)
 DDOS_ADD = (4.0, 10.0)
+# Hash streams by purpose: offsets added to the caller's seed.
+CHOICE_STREAM, PROFILE_STREAM, NOISE_STREAM, UNIFORM_STREAM = 1_000, 2_000, 3_000, 10_000
 # ---------------------------------------------------------------------------
 
 
@@ -52,7 +54,7 @@ def hash_rank(df: DataFrame, id_col: str, label: str | None = None, seed: int =
     tot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_label"))  # one row per label
     if keys:
         tot = tot.withColumnRenamed(label, "_lab")
-        r = r.join(tot, c(label).eqNullSafe(F.col("_lab"))).drop("_lab")
+        r = r.join(F.broadcast(tot), c(label).eqNullSafe(F.col("_lab"))).drop("_lab")
     else:
         r = r.crossJoin(tot)
     return r.drop("_h", "_one", "_id")
@@ -131,17 +133,17 @@ def shuffle_rank(df: DataFrame, id_col: str, seed: int = 42, out: str = "order")
 
 # E8
 def gaussian(id_col: Column, seed: int, j: int) -> Column:
-    """Standard normal from two id-hash uniforms (Box-Muller), stream j."""
-    u1 = uniform(id_col, seed + 7919 * j, HASH_MULT)
-    u2 = uniform(id_col, seed + 104729 * j, HASH_MULT_2)
+    """Standard normal from two id-hash uniforms (Box-Muller); a pair of streams per feature j."""
+    u1 = uniform(id_col, seed + NOISE_STREAM + j, HASH_MULT)
+    u2 = uniform(id_col, seed + NOISE_STREAM + j, HASH_MULT_2)
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
 
 
 def inject_select(df: DataFrame, id_col: str, fraction: float = ANOMALY_FRACTION, seed: int = 42) -> DataFrame:
-    """Mark floor(f * n) rows (lowest hash rank) and give each a profile 0..3."""
-    r = hash_rank(df, id_col, None, seed)
+    """Mark floor(f * n) rows (lowest rank of the choice stream) and give each a profile 0..3."""
+    r = hash_rank(df, id_col, None, seed + CHOICE_STREAM)
     chosen = F.col("rank") <= F.floor(F.lit(fraction) * F.col("n_label"))
-    prof = F.pmod(hash32(c(id_col), seed + 1, HASH_MULT_2), F.lit(len(ATTACK_PROFILES))).cast("int")
+    prof = F.pmod(hash32(c(id_col), seed + PROFILE_STREAM), F.lit(len(ATTACK_PROFILES))).cast("int")
     return r.withColumn("injected", chosen.cast("int")).withColumn(
         "profile", F.when(chosen, prof)).drop("rank", "n_label")
 
@@ -150,20 +152,26 @@ def inject_noise(df: DataFrame, id_col: str, label: str, features: Sequence[str]
                  fraction: float = ANOMALY_FRACTION, seed: int = 42,
                  scale_by_std: dict[str, float] | None = None) -> DataFrame:
     """Add N(0, multiplier) (optionally x feature std) to the chosen rows' profile
-    features and set their label to 1; other rows pass through unchanged."""
+    features and set their label to 1; other rows pass through unchanged.  With
+    ``scale_by_std`` = the fitted scaler's deviations, raw features get the noise that
+    N(0, multiplier) is in the scaled space."""
     d = inject_select(df, id_col, fraction, seed)
     names = list(ATTACK_PROFILES)
+    drawn = {f: f"_g{j}" for j, f in enumerate(features) if any(f in p["features"] for p in ATTACK_PROFILES.values())}
+    base = d.columns
+    d = d.select("*", *[F.when(F.col("injected") == 1, gaussian(c(id_col), seed, j + 1)).alias(f"_g{j}")
+                        for j, f in enumerate(features) if f in drawn])   # each draw is computed once
     new = {}
-    for j, f in enumerate(features):
+    for f in features:
         noise = F.lit(0.0)
         for p, name in enumerate(names):
             prof = ATTACK_PROFILES[name]
             if f in prof["features"]:
                 sd = prof["multiplier"] * ((scale_by_std or {}).get(f, 1.0))
-                noise = F.when(F.col("profile") == p, gaussian(c(id_col), seed, j + 1) * F.lit(sd)).otherwise(noise)
+                noise = F.when(F.col("profile") == p, F.col(drawn[f]) * F.lit(sd)).otherwise(noise)
         new[f] = F.when(F.col("injected") == 1, c(f) + noise).otherwise(c(f))
     new[label] = F.when(F.col("injected") == 1, F.lit(1)).otherwise(c(label))
-    return d.select(*[new[x].alias(x) if x in new else c(x) for x in d.columns])
+    return d.select(*[new[x].alias(x) if x in new else c(x) for x in base])
 
 
 # E9
@@ -184,7 +192,7 @@ def inject_structured(benign: DataFrame, id_col: str, label: str, n_total: int |
     def variant(name, k, rows, targets, op, lo, hi):
         new = {}
         for j, x in enumerate(targets):
-            u = F.lit(lo) + F.lit(hi - lo) * uniform(c(id_col), seed + 1000 * k + j)
+            u = F.lit(lo) + F.lit(hi - lo) * uniform(c(id_col), seed + UNIFORM_STREAM * k + j)
             new[x] = c(x) + u if op == "add" else c(x) * u
         sel = [new[x].alias(x) if x in new else c(x) for x in benign.columns if x != label]
         return (rows.select(*sel, F.lit(1).alias(label), F.lit(name).alias("variant")))

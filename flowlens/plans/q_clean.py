@@ -182,9 +182,7 @@ def q_dedup_exact(spark, sf):
 @query("drop_groups", "SELECT * EXCLUDE (SrcPkts) FROM flows_5g", F5)
 def q_drop_groups(spark, sf):
     """Configured correlated-group drop (src variant, which also removes SrcPkts)."""
-    groups = dict(C.CORR_GROUPS_5G)
-    groups["src extra"] = C.CORR_GROUPS_5G_SRC_EXTRA
-    return C.drop_groups(v5(spark, sf), groups)
+    return C.drop_groups(v5(spark, sf), [*C.CORR_GROUPS_5G, C.CORR_GROUPS_5G_SRC_EXTRA])
 
 
 CORR6 = ["Destination Port", "Protocol", "Flow Duration", "Total Fwd Packets", "Total Backward Packets",
@@ -327,7 +325,7 @@ FROM x CROSS JOIN (SELECT -2000 + 200 * j AS k FROM range(21) r(j)) g GROUP BY k
 def q_boxcox_llf(spark, sf):
     """Box-Cox profile log-likelihood over the 21-point stage-1 grid of log1p(Load)."""
     df = v5(spark, sf)
-    x = C.log1p_clip(F.col("Load")) + F.lit(C.BOXCOX_EPS_NOTEBOOK)
+    x = C.log1p_clip(F.col("Load")) + F.lit(C.BOXCOX_EPS_SMALL)
     t = C.boxcox_llf_table(df, x, C.boxcox_stage_points(0, C.BOXCOX_STAGES[0]))
     return t.select("lambda", ssig(F.col("llf"), 8).alias("llf"))
 

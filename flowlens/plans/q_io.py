@@ -113,13 +113,13 @@ rk AS (SELECT s, pos, sum(pos) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) A
   sum(pos) OVER () AS P FROM (SELECT score AS s, sum(y) AS pos, count(*) - sum(y) AS neg FROM te GROUP BY score)),
 ap AS (SELECT sum((pos / P) * (tpc / (tpc + fpc))) AS pr_auc FROM rk),
 tr AS (SELECT avg(CAST(y AS DOUBLE)) AS attack_rate_train, count(*) AS n_train_rows FROM sp WHERE split = 'train')
-SELECT 'v1' AS version, 42 AS seed, {sig('f1')} AS moe_f1, {sig('recall')} AS moe_recall, {sig('pr_auc')} AS moe_pr_auc,
+SELECT 'v1' AS version, 42 AS seed, {sig('f1')} AS test_f1, {sig('recall')} AS test_recall, {sig('pr_auc')} AS test_pr_auc,
  {sig('attack_rate_train')} AS attack_rate_train, n_train_rows FROM m, ap, tr""", ("scored",))
 def q_baseline_stats(spark, sf):
     """Baseline document: train attack rate and size, test F1 / recall / PR-AUC."""
     d = G.predictions(E.split_stratified(view(spark, sf, "scored"), "id", "y", 20), "score", 0.5)
     te = d.where("split = 'test'")
-    m = G.clf_metrics(te, "y", "pred").select(ssig(F.col("f1")).alias("moe_f1"), ssig(F.col("recall")).alias("moe_recall"))
-    ap = G.average_precision(te, "y", "score").select(F.col("average_precision").alias("moe_pr_auc"))
+    m = G.clf_metrics(te, "y", "pred").select(ssig(F.col("f1")).alias("test_f1"), ssig(F.col("recall")).alias("test_recall"))
+    ap = G.average_precision(te, "y", "score").select(F.col("average_precision").alias("test_pr_auc"))
     b = A.baseline_stats(d.where("split = 'train'"), "y", m.crossJoin(ap))
     return b.withColumn("attack_rate_train", ssig(F.col("attack_rate_train")))

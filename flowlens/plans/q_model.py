@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.exprs import sig as ssig
+from flowlens.functions.exprs import sig as ssig, uniform
 from flowlens.operators import clean as C
 from flowlens.operators import evaluate as G
 from flowlens.operators import models as Mo
@@ -21,6 +21,8 @@ from flowlens.plans.views import view
 from flowlens.session import scratch_path
 
 FEATS = P.UNIFIED_FEATURES
+INJECTION_SEEDS = {"val": 101, "test": 202}
+VALIDATION_SEED, VALIDATION_SHARE = 303, 0.1
 _CACHE: dict = {}
 
 
@@ -43,10 +45,9 @@ def table_5g(spark, sf) -> DataFrame:
     return _CACHE[key]
 
 
-def table_6g(spark, sf) -> DataFrame:
-    """Projected 6G flows (all benign), protocol partition, 80/10/10 split and
-    injected labelled anomalies in validation / test."""
-    key = _key(spark, sf, "t6")
+def split_6g(spark, sf) -> DataFrame:
+    """Projected 6G flows (all benign), protocol partition and 80/10/10 split."""
+    key = _key(spark, sf, "s6")
     if key not in _CACHE:
         df = C.binarize_label(clean_6g_rates(cic_flows(spark, sf)), "Label", "6g")
         oh = C.protocol_onehot(df, C.fit_protocol_categories(df, "Protocol"), "Protocol")
@@ -54,9 +55,23 @@ def table_6g(spark, sf) -> DataFrame:
         p = C.sanitize(p, FEATS)
         p = E.proto_partition(p, "Proto_TCP")
         p = E.split_three_way(p, "id", "Label", (80, 10, 10))
-        inj = E.inject_noise(p.where("split <> 'train'"), "id", "Label", FEATS, 0.15)
-        inj = inj.drop("injected", "profile")
-        _CACHE[key] = p.where("split = 'train'").unionByName(inj).persist()
+        _CACHE[key] = p.persist()
+    return _CACHE[key]
+
+
+def table_6g(spark, sf) -> DataFrame:
+    """The split 6G flows with labelled anomalies injected into validation and test, each
+    with a seed of its own and with noise of the profile's size in the scaled space."""
+    key = _key(spark, sf, "t6")
+    if key not in _CACHE:
+        p = split_6g(spark, sf)
+        std = {f: s for f, (_, s) in scaler(spark, sf).items()}
+        out = p.where("split = 'train'")
+        for name, seed in INJECTION_SEEDS.items():
+            part = p.where(F.col("split") == name)
+            out = out.unionByName(E.inject_noise(part, "id", "Label", FEATS, E.ANOMALY_FRACTION, seed, std)
+                                  .drop("injected", "profile"))
+        _CACHE[key] = out.persist()
     return _CACHE[key]
 
 
@@ -65,7 +80,7 @@ def scaler(spark, sf):
     key = _key(spark, sf, "scaler")
     if key not in _CACHE:
         u = table_5g(spark, sf).where("split = 'train'").select(*FEATS).unionByName(
-            table_6g(spark, sf).where("split = 'train'").select(*FEATS))
+            split_6g(spark, sf).where("split = 'train'").select(*FEATS))
         _CACHE[key] = C.fit_standard_scaler(u, P.NUMERIC_FEATURES)
     return _CACHE[key]
 
@@ -100,7 +115,7 @@ def q_train_gbt(spark, sf):
     """F2: boosted trees (500 rounds, lr 0.05, depth 6, 0.8 row / column sampling, positive
     weight, early stopping on an inner 10 % validation indicator); test metrics."""
     t = table_5g(spark, sf).where("split = 'train'")
-    t = Mo.positive_weight(t, "Label").withColumn("is_val", F.col("id") % 10 == 0)
+    t = Mo.positive_weight(t, "Label").withColumn("is_val", uniform(F.col("id"), VALIDATION_SEED) < VALIDATION_SHARE)
     m = Mo.train_gbt(t, FEATS, "Label", weight="w", validation="is_val")
     return _metrics(Mo.positive_probability(m.transform(table_5g(spark, sf).where("split = 'test'"))))
 
@@ -245,7 +260,10 @@ def gate_model(spark, sf):
         v6 = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf).select("id", "Label", *FEATS)
         val = expert_vector(v5.withColumn("domain", F.lit("5G")).unionByName(v6.withColumn("domain", F.lit("6G"))),
                             spark, sf)
-        _CACHE[key] = Mo.train_gate(val, FEATS, "scores", "Label")
+        # the frozen expert scores are stored once, so no epoch carries the expert models
+        path = scratch_path(spark, "expert_scores")
+        val.select("id", "Label", "scores", *FEATS).write.parquet(path)
+        _CACHE[key] = Mo.train_gate(spark.read.parquet(path), FEATS, "scores", "Label")
     return _CACHE[key]
 
 

@@ -90,8 +90,8 @@ bs AS (SELECT avg(attack_rate) AS base FROM {BASE_SQL})
 SELECT CASE WHEN n_requests = 0 THEN 'no_data' WHEN psi >= 0.2 OR p < 0.05 THEN 'drift_detected' ELSE 'ok' END AS status,
  7 AS window_days, n_requests, {sig('base')} AS baseline_attack_rate, {sig('rec')} AS recent_mean_attack_rate,
  round(psi, 4) AS psi_attack_rate, round(d, 4) AS ks_statistic, round(p, 4) AS ks_p_value,
- list_filter([CASE WHEN psi >= 0.2 THEN printf('Attack-rate PSI=%.3f >= threshold 0.2 — distribution shift detected', round(psi, 3)) END,
-  CASE WHEN p < 0.05 THEN printf('Score KS p=%.4f < threshold 0.05 — probability distribution shifted', round(p, 4)) END], lambda x: x IS NOT NULL) AS alerts
+ list_filter([CASE WHEN psi >= 0.2 THEN printf('attack rate moved: PSI %.3f, limit 0.2', round(psi, 3)) END,
+  CASE WHEN p < 0.05 THEN printf('scores moved: KS p-value %.4f, limit 0.05', round(p, 4)) END], lambda x: x IS NOT NULL) AS alerts
 FROM r, bs, psi, kp"""
 
 
@@ -174,9 +174,9 @@ runs AS (SELECT rm.run_id, experiment, start_time, coalesce(2 * pp * recall / nu
 
 @query("promotion_gate", f"""WITH {RUNS_SQL}
 SELECT run_id, {sig('f1')} AS f1, {sig('recall')} AS recall, {sig('pr_auc')} AS pr_auc,
- list_filter([CASE WHEN f1 < 0.9 THEN printf('F1 %.4f < required 0.9', round(f1, 4)) END,
-  CASE WHEN recall < 0.95 THEN printf('Recall %.4f < required 0.95', round(recall, 4)) END,
-  CASE WHEN pr_auc < 0.92 THEN printf('PR-AUC %.4f < required 0.92', round(pr_auc, 4)) END], lambda x: x IS NOT NULL) AS failures,
+ list_filter([CASE WHEN f1 < 0.9 THEN printf('f1 is %.4f, at least 0.9 needed', round(f1, 4)) END,
+  CASE WHEN recall < 0.95 THEN printf('recall is %.4f, at least 0.95 needed', round(recall, 4)) END,
+  CASE WHEN pr_auc < 0.92 THEN printf('pr_auc is %.4f, at least 0.92 needed', round(pr_auc, 4)) END], lambda x: x IS NOT NULL) AS failures,
  f1 >= 0.9 AND recall >= 0.95 AND pr_auc >= 0.92 AS promote FROM runs""", ("scored_ts",))
 def q_promotion_gate(spark, sf):
     """H7: promotion gate (F1 >= .90, recall >= .95, PR-AUC >= .92) with failure messages, per run."""

@@ -114,10 +114,10 @@ PTIE = ["Label", "u_duration", "u_fwd_pkts", "u_bwd_pkts", "u_fwd_mean_size", "u
 
 
 def _select_sql(frac=0.15, seed=42):
-    prof = f"CAST(({hash32_sql('flow_id', seed + 1, HASH_MULT_2)}) % 4 AS INT)"
+    prof = f"CAST(({hash32_sql('flow_id', seed + E.PROFILE_STREAM)}) % 4 AS INT)"
     # flow_id is unique in the stand-in, so the hash order needs no further tie-break
     return (f"(SELECT *, CAST(rk <= floor({frac} * n) AS INT) AS injected, CASE WHEN rk <= floor({frac} * n) THEN {prof} END AS profile"
-            f" FROM (SELECT *, row_number() OVER (ORDER BY {hash32_sql('flow_id', seed)}, flow_id) AS rk, count(*) OVER () AS n FROM {PROJ6_SQL}))")
+            f" FROM (SELECT *, row_number() OVER (ORDER BY {hash32_sql('flow_id', seed + E.CHOICE_STREAM)}, flow_id) AS rk, count(*) OVER () AS n FROM {PROJ6_SQL}))")
 
 
 @query("inject_select", f"SELECT flow_id, injected, profile FROM {_select_sql()}", F6)
@@ -127,8 +127,8 @@ def q_inject_select(spark, sf):
 
 
 def _gauss_sql(seed, j):
-    u1 = uniform_sql("flow_id", seed + 7919 * j, HASH_MULT)
-    u2 = uniform_sql("flow_id", seed + 104729 * j, HASH_MULT_2)
+    u1 = uniform_sql("flow_id", seed + E.NOISE_STREAM + j, HASH_MULT)
+    u2 = uniform_sql("flow_id", seed + E.NOISE_STREAM + j, HASH_MULT_2)
     return f"(sqrt(-2.0 * ln({u1})) * cos({repr(2 * math.pi)} * {u2}))"
 
 
@@ -179,7 +179,7 @@ def _struct_sql(seed=42):
             src = f"CAST({STRUCT_SRC[x]} AS DOUBLE)"
             if x in targets:
                 j = targets.index(x)
-                u = f"({lo} + {hi - lo} * {uniform_sql('flow_id', seed + 1000 * k + j)})"
+                u = f"({lo} + {hi - lo} * {uniform_sql('flow_id', seed + E.UNIFORM_STREAM * k + j)})"
                 src = f"{src} + {u}" if op == "add" else f"{src} * {u}"
             cols.append(sig(src, 8) + f' AS "{x}"')
         return f"SELECT flow_id, {', '.join(cols)}, 1 AS Label, '{name}' AS variant FROM r WHERE {cond}"

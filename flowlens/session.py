@@ -1,7 +1,7 @@
 """Spark session construction and shared-storage helpers.
 
-Cluster jobs read the checkpoint folder from ``spark.checkpoint.dir``; a
-private folder is only created when the session has none (local tests).
+Cluster jobs read the checkpoint folder from ``spark.checkpoint.dir`` and fail
+without it; a private folder is only made for local masters (tests).
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
     cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.driver.memory"] = os.environ.get("FLOWLENS_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("FLOWLENS_DRIVER_MEMORY", "8g")
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="flowlens-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -34,7 +34,7 @@ LOG_SCHEMA = T.StructType([
     ])),
     T.StructField("dt", T.DateType()),
 ])
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 # A1
@@ -66,8 +66,9 @@ def load_family(spark: SparkSession, base_dir: str, names: Sequence[str], schema
     for name in names:
         try:
             d = read_flows(spark, f"{base_dir.rstrip('/')}/{name}", schema, fmt)
-        except AnalysisException:  # PATH_NOT_FOUND: the dataset is absent
-
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":    # an unreadable dataset is an error, an absent one is not
+                raise
             continue
         d = d.withColumn("dataset", F.lit(name))
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
@@ -104,13 +105,16 @@ def append_log(records: DataFrame, log_dir: str) -> None:
 def read_logs(spark: SparkSession, log_dir: str, days: int, now: str) -> DataFrame:
     """Entries of the trailing ``days`` days: day partitions >= cutoff - 1 day are
     read, malformed lines dropped, entries older than the cutoff removed,
-    missing fields defaulted."""
+    missing fields defaulted.  Timestamps may carry an offset; without one they are UTC
+    (the session's zone).  A timestamp that cannot be parsed drops its line, an
+    empty or missing one keeps it."""
     now_ts = F.lit(now).cast("timestamp")
     cutoff = now_ts - F.make_interval(days=F.lit(days))
     raw = spark.read.schema(LOG_SCHEMA).option("mode", "DROPMALFORMED").json(log_dir)
     raw = raw.where(F.col("dt") >= F.to_date(cutoff - F.expr("INTERVAL 1 DAY")))  # partition pruning
-    ts = F.to_timestamp("timestamp", ISO_FORMAT)
-    kept = raw.where(ts.isNull() | (ts >= cutoff))
+    ts = F.try_to_timestamp(F.col("timestamp"))      # ISO 8601, offset aware
+    empty = F.coalesce(F.trim("timestamp"), F.lit("")) == ""
+    kept = raw.where(empty | (ts >= cutoff))
     return kept.select(
         F.coalesce("request_id", F.lit("")).alias("request_id"), ts.cast("timestamp_ntz").alias("ts"),
         F.coalesce("schema", F.lit("unknown")).alias("schema"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
