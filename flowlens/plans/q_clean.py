@@ -10,7 +10,7 @@ from flowlens.operators import clean as C
 from flowlens.plans.q_project import cic_flows, clean_6g_rates
 from flowlens.plans.registry import query
 from flowlens.plans.sqlkit import sig
-from flowlens.plans.views import view
+from flowlens.plans.views import CIC_NAMES, view
 
 F5 = ("flows_5g",)
 F6 = ("flows_6g",)
@@ -170,13 +170,19 @@ def q_sentinel_to_unknown(spark, sf):
     return C.sentinel_to_unknown(v5(spark, sf), "dDSb").select("UniqueID", "dDSb")
 
 
-DUP = ["src", "dst_port", "protocol", "fwd_pkts", "syn", "fin", "rst", "psh", "Label"]
+@query("dedup_exact", "SELECT DISTINCT * FROM flows_6g", F6)
+def q_dedup_exact(spark, sf):
+    """Exact duplicate removal over all columns."""
+    return C.dedup_exact(v6(spark, sf))
 
 
-@query("dedup_exact", f"SELECT DISTINCT {', '.join(DUP)} FROM flows_6g", F6)
-def q_dedup_exact(spark, sf):
-    """Exact duplicate removal over all columns of the projected table."""
-    return C.dedup_exact(v6(spark, sf).select(*DUP))
+@query("select_by_keywords", "SELECT fwd_pkts, fwd_len_mean, bwd_pkts, bwd_len_mean, flow_packets_s FROM flows_6g", F6)
+def q_select_by_keywords(spark, sf):
+    """The columns whose CIC names hold 'packet', over the whole table."""
+    df = cic_flows(spark, sf)
+    names = C.select_by_keywords(df.columns, ["packet"])
+    back = {v: k for k, v in CIC_NAMES.items()}
+    return df.select(*[F.col(f"`{x}`").alias(back[x]) for x in names])
 
 
 @query("drop_groups", "SELECT * EXCLUDE (SrcPkts) FROM flows_5g", F5)

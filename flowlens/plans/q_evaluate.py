@@ -177,10 +177,16 @@ def q_threshold_sweep(spark, sf):
     return G.threshold_sweep(scored(spark, sf), "y", "score")
 
 
-@query("recall_threshold", "WITH s AS (" + SWEEP_SQL.strip() + ")\nSELECT * FROM s WHERE recall >= 0.99 ORDER BY precision DESC, threshold ASC LIMIT 1", SC)
+CALIBRATED = (8.0, -1.0)      # the query's calibrator: its probabilities reach the recall target
+CALIBRATED_SQL = SWEEP_SQL.strip().replace(
+    "FROM scored CROSS JOIN", f"FROM (SELECT y, 1 / (1 + exp(-({CALIBRATED[0]} * score + {CALIBRATED[1]}))) AS score FROM scored) CROSS JOIN")
+
+
+@query("recall_threshold", "WITH s AS (" + CALIBRATED_SQL + ")\nSELECT * FROM s WHERE recall >= 0.99 ORDER BY precision DESC, threshold ASC LIMIT 1", SC)
 def q_recall_threshold(spark, sf):
-    """Best precision subject to recall >= 0.99 over the sweep."""
-    return G.recall_threshold(G.threshold_sweep(scored(spark, sf), "y", "score"), 0.99)
+    """Best precision subject to recall >= 0.99 over the sweep of calibrated probabilities."""
+    df = scored(spark, sf).withColumn("score", S.apply_calibrator(F.col("score"), *CALIBRATED))
+    return G.recall_threshold(G.threshold_sweep(df, "y", "score"), 0.99)
 
 
 @query("benign_p99", """

@@ -201,35 +201,42 @@ def q_isolation_forest(spark, sf):
     return s.select("id", "Label", "if_score", (F.col("if_score") > 0.5).cast("int").alias("flag"))
 
 
-def calibrators(spark, sf):
-    key = _key(spark, sf, "cal")
+def expert_calibrators(spark, sf):
+    """Platt calibrators of the slice experts, fit on the 5G validation rows."""
+    key = _key(spark, sf, "cal5")
+    if key not in _CACHE:
+        val = scaled(table_5g(spark, sf).where("split = 'val'"), spark, sf)
+        _CACHE[key] = {s: Mo.fit_sigmoid_calibrator(Mo.positive_probability(m.transform(val.where(F.col("slice") == s))),
+                                                    "p", "Label") for s, m in slice_experts(spark, sf).items()}
+    return _CACHE[key]
+
+
+def detector_calibrators(spark, sf):
+    """Error-to-probability calibrators of the detectors, fit on the 6G validation rows."""
+    key = _key(spark, sf, "cal6")
     if key not in _CACHE:
-        val5 = scaled(table_5g(spark, sf).where("split = 'val'"), spark, sf)
-        cal = {}
-        for s, m in slice_experts(spark, sf).items():
-            pv = Mo.positive_probability(m.transform(val5.where(F.col("slice") == s)))
-            cal[s] = Mo.fit_sigmoid_calibrator(pv, "p", "Label")
-        val6 = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf)
-        for pr, ae in autoencoders(spark, sf).items():
-            mv = Mo.reconstruction_mse(val6.where(F.col("proto") == pr), ae)
-            cal[f"{pr}_AE"] = Mo.fit_sigmoid_calibrator(mv, "mse", "Label")
-        _CACHE[key] = cal
+        val = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf)
+        _CACHE[key] = {f"{pr}_AE": Mo.fit_sigmoid_calibrator(
+            Mo.reconstruction_mse(val.where(F.col("proto") == pr), ae), "mse", "Label")
+            for pr, ae in autoencoders(spark, sf).items()}
     return _CACHE[key]
 
 
+def calibrators(spark, sf):
+    return expert_calibrators(spark, sf) | detector_calibrators(spark, sf)
+
+
 @query("platt")
 def q_platt(spark, sf):
     """F8: Platt calibrators of the slice experts, fit on validation rows."""
-    cal = calibrators(spark, sf)
-    return spark.createDataFrame([(k, a, b) for k, (a, b) in cal.items() if not k.endswith("_AE")],
+    return spark.createDataFrame([(k, a, b) for k, (a, b) in expert_calibrators(spark, sf).items()],
                                  "expert string, a double, b double")
 
 
 @query("mse_sigmoid")
 def q_mse_sigmoid(spark, sf):
     """reconstruction-error -> probability calibrators sigma(a mse + b) per protocol."""
-    cal = calibrators(spark, sf)
-    return spark.createDataFrame([(k, a, b) for k, (a, b) in cal.items() if k.endswith("_AE")],
+    return spark.createDataFrame([(k, a, b) for k, (a, b) in detector_calibrators(spark, sf).items()],
                                  "expert string, a double, b double")
 
 

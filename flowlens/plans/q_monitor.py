@@ -121,14 +121,25 @@ def q_feature_drift(spark, sf):
     return D.feature_drift(base, curr, FEATS)
 
 
-@query("drift_band", f"""WITH {psi_sql('latency_s', BASE_SQL.replace('WHERE', "WHERE schema_name = 'argus' AND"), CURR_SQL.replace('WHERE', "WHERE schema_name = 'argus' AND"))}
-SELECT 'argus' AS schema_name, {sig('psi')} AS psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.2 THEN 'monitor' ELSE 'alert' END AS band FROM psi""", PL)
+SCHEMAS = ("argus", "cic")
+
+
+def _band_sql(schema: str) -> str:
+    base, curr = (x.replace("WHERE", f"WHERE schema_name = '{schema}' AND") for x in (BASE_SQL, CURR_SQL))
+    return (f"(WITH {psi_sql('latency_s', base, curr)} SELECT '{schema}' AS schema_name, {sig('psi')} AS psi, "
+            "CASE WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.2 THEN 'monitor' ELSE 'alert' END AS band FROM psi)")
+
+
+@query("drift_band", " UNION ALL ".join(f"SELECT * FROM {_band_sql(x)}" for x in SCHEMAS), PL)
 def q_drift_band(spark, sf):
-    """H4: PSI band (< 0.1 stable, < 0.2 monitor, else alert) of the argus latency."""
+    """H4: PSI band (< 0.1 stable, < 0.2 monitor, else alert) of the latency, per input format."""
     base, curr = windows(spark, sf)
-    base, curr = base.where("schema_name = 'argus'"), curr.where("schema_name = 'argus'")
-    p = D.psi(base, curr, "latency_s")
-    return p.select(F.lit("argus").alias("schema_name"), ssig(F.col("psi")).alias("psi"), D.drift_band(F.col("psi")).alias("band"))
+    out = None
+    for x in SCHEMAS:
+        p = D.psi(base.where(F.col("schema_name") == x), curr.where(F.col("schema_name") == x), "latency_s")
+        p = p.select(F.lit(x).alias("schema_name"), ssig(F.col("psi")).alias("psi"), D.drift_band(F.col("psi")).alias("band"))
+        out = p if out is None else out.unionByName(p)
+    return out
 
 
 @query("slice_quality", f"""

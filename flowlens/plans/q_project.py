@@ -178,3 +178,10 @@ def q_unified_scale(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.round(F.avg("u_duration"), 6).alias("mean_z_duration"),
         F.round(F.max("u_byte_rate"), 6).alias("max_z_byte_rate"),
         F.round(F.stddev_pop("u_byte_rate"), 6).alias("std_z_byte_rate"))
+
+
+@query("detect_schema", f"SELECT flow_id, 'cic' AS schema_name, u_duration, u_is_tcp FROM ({P6_SQL})", ("flows_6g",))
+def q_detect_schema(spark, sf):
+    """The format found from the columns of the flow table, which is then validated and projected."""
+    name, out = P.project_auto(clean_6g_rates(cic_flows(spark, sf)), keep=["Flow ID"])
+    return out.select(F.col("`Flow ID`").alias("flow_id"), F.lit(name).alias("schema_name"), "u_duration", "u_is_tcp")
