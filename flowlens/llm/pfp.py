@@ -105,7 +105,7 @@ def shared_offsets(keys: np.ndarray, before: list[bytes], after: list[bytes], lo
     order_a, lcp_a = _suffix_order(keys, after, length)
     order_b, lcp_b = _suffix_order(keys, before, top)
     repeated = np.zeros((m, top + 2), bool)
-    step = max(1, 4_000_000 // max(m, 1))
+    step = max(1, 1_500_000 // max(m, 1))
     for o0 in range(0, top + 1, step):
         offset = np.arange(o0, min(o0 + step, top + 1))
         code = np.empty((m, len(offset)), np.int64)
@@ -131,7 +131,8 @@ def shared_offsets(keys: np.ndarray, before: list[bytes], after: list[bytes], lo
 def repeated_spans(chunks: DataFrame) -> DataFrame:
     """(chunk, start, stop) byte spans of the chunk data that repeated strings cover."""
     found = materialize(list_anchors(chunks), "anchors")
-    often = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # stored first: Spark can split the hot keys of a join of two plain shuffles
+    often = materialize(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "often")
     found = materialize(found.join(often, "key"), "anchors")
 
     # equal contexts: every start is repeated
@@ -141,8 +142,9 @@ def repeated_spans(chunks: DataFrame) -> DataFrame:
     whole = found.join(full, ["key", "context"]).select("chunk", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
 
     # several contexts of one trigger: fetch the bytes of one occurrence of each and compare
-    several = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum((F.col("n") == 1).cast("int")).alias("open")).where(
-        "m > 1 and open > 0").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    several = materialize(distinct.groupBy("key").agg(
+        F.count(F.lit(1)).alias("m"), F.sum((F.col("n") == 1).cast("int")).alias("open")).where("m > 1 and open > 0").select(
+        "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "several")
     asked = distinct.join(several, "key").select("key", "context", "n", "blocks", "w.*")
 
     def fetch(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
