@@ -140,7 +140,8 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", b * width + 1, width)) for b in range(BANDS)])
     slots = nodes.where(F.col("sig").isNotNull()).select("node", F.coalesce("doc", last).alias("doc"), F.explode(keys).alias("key"))
     head = F.min_by("node", F.struct("doc", "node"))
-    centre = slots.groupBy("key").agg(head.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # stored first: Spark can split the hot keys of a join of two plain shuffles
+    centre = materialize(slots.groupBy("key").agg(head.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "centres")
     star = (slots.join(centre, "key").where("node <> centre")
             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
     star = materialize(star, "star")
@@ -153,7 +154,7 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
         "key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
              .where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    rest = materialize(named.join(mixed, "key"), "mixed")
+    rest = materialize(named.join(materialize(mixed, "mixed-keys"), "key"), "mixed")
     sigs = nodes.select("node", "sig")
     mine = F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")).cast("int")
     dealt = (rest.join(sigs, "node").withColumn("mine", mine)
