@@ -7,11 +7,11 @@ whole column through the driver or through a single task:
 
 * moments, counts, min/max and correlations are ordinary partial/final
   aggregates;
-* exact quantiles and running sums use :func:`cumulative`, a distributed
-  prefix sum (range partitioning + per-partition window + a small table of
-  partition offsets), so a global ordering never lands in one partition;
-  only inputs proven small by a row count (<= 100k rows, e.g. the distinct
-  scores of a ranking metric) take a single ordered window.
+* exact quantiles bracket each target rank with one approximate pass and rank
+  only the values inside the brackets (:func:`exact_quantiles`);
+* running sums use :func:`cumulative`, a distributed prefix sum (range
+  partitioning + per-partition window + a small table of partition offsets),
+  so a global ordering never lands in one partition, whatever the input size.
 """
 
 from __future__ import annotations
@@ -109,6 +109,65 @@ def cumulative(df: DataFrame, order_col, value_cols: Sequence[str],
         (F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols])
 
 
+def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         accuracy: int = 10_000) -> dict:
+    """Exact quantiles of an ungrouped frame without shuffling its values.
+
+    One pass of ``percentile_approx`` gives a bracket around every target rank; a second
+    pass counts the values below each bracket and collects, on the cluster, the
+    distinct values inside it (a few ten-thousandths of the rows), which are ranked.
+    A rank outside its bracket gets a ten times wider one and another round.
+    """
+    t = df.select(*[clean_double(c(x)).alias(f"_c{i}") for i, x in enumerate(cols)])
+    open_ = {(i, p): 3.0 / accuracy for i in range(len(cols)) for p in probs}
+    n, out = {}, {}
+    while open_:
+        asked = {}
+        for (i, p), d in open_.items():
+            asked.setdefault(i, set()).update({max(0.0, p - d), min(1.0, p + d)})
+        aggs = [F.count(f"_c{i}").alias(f"_n{i}") for i in asked]
+        aggs += [F.percentile_approx(f"_c{i}", sorted(ps), accuracy).alias(f"_q{i}") for i, ps in asked.items()]
+        row = t.agg(*aggs).first()
+        spans = {}
+        for (i, p), d in list(open_.items()):
+            n[i] = row[f"_n{i}"]
+            if not n[i]:
+                out[i, p] = None
+                del open_[i, p]
+                continue
+            at = dict(zip(sorted(asked[i]), row[f"_q{i}"], strict=True))
+            spans[i, p] = (-math.inf if p - d <= 0 else at[p - d], math.inf if p + d >= 1 else at[p + d])
+        if not open_:
+            break
+        keys = sorted(spans)
+        below = t.agg(*[F.count_if((F.col(f"_c{i}") < F.lit(spans[i, p][0])) & ~F.isnan(f"_c{i}")).alias(f"_b{k}")
+                        for k, (i, p) in enumerate(keys)]).first()
+        inside = F.array_compact(F.array(*[
+            F.when((F.col(f"_c{i}") >= F.lit(spans[i, p][0])) & (F.col(f"_c{i}") <= F.lit(spans[i, p][1])),
+                   F.struct(F.lit(k).alias("k"), F.col(f"_c{i}").alias("v"))) for k, (i, p) in enumerate(keys)]))
+        ranks = [(k, below[f"_b{k}"], int(math.floor((n[i] - 1) * float(p)))) for k, (i, p) in enumerate(keys)]
+        wanted = F.broadcast(df.sparkSession.createDataFrame(ranks, "k int, below long, r long"))  # one row per bracket
+        values = t.select(F.explode(inside).alias("x")).groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("n"))
+        run = F.sum("n").over(Window.partitionBy("k").orderBy("v"))
+        hits = (values.select("k", "v", "n", run.alias("upto")).join(wanted, "k")
+                .withColumn("last", F.col("below") + F.col("upto") - 1).withColumn("first", F.col("last") - F.col("n") + 1)
+                .groupBy("k").agg(F.min(F.when((F.col("first") <= F.col("r")) & (F.col("r") <= F.col("last")), F.col("v"))).alias("lo"),
+                                  F.min(F.when((F.col("first") <= F.col("r") + 1) & (F.col("r") + 1 <= F.col("last")), F.col("v"))).alias("hi")))
+        found = {r["k"]: (r["lo"], r["hi"]) for r in hits.collect()}
+        for k, (i, p) in enumerate(keys):
+            pos = (n[i] - 1) * float(p)
+            r = int(math.floor(pos))
+            lo, hi = found.get(k, (None, None))
+            if r == n[i] - 1:
+                hi = lo
+            if lo is None or hi is None:
+                open_[i, p] *= 10
+                continue
+            out[i, p] = lo if pos == r or lo == hi else lo + (hi - lo) * (pos - r)
+            del open_[i, p]
+    return {(x,): [out[i, p] for p in probs] for i, x in enumerate(cols)}
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), relative_error: float | None = None) -> dict:
     """Linear-interpolation quantiles (pandas / numpy ``linear``), NULL/NaN skipped.
@@ -135,6 +194,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             for i, x in enumerate(cols):
                 out[bv + (x,)] = list(r[f"_q{i}"]) if r[f"_q{i}"] is not None else [None] * len(probs)
         return out
+    if not by:
+        return _bracketed_quantiles(df, cols, probs)
     longdf = long_format(df, cols, ids=by, name="_k", value="_v")
     longdf = longdf.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = longdf.groupBy(*by, "_k", "_v").agg(F.count(F.lit(1)).alias("_n")).persist(
@@ -172,10 +233,6 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 qs.append(a + (b - a) * (pos - lo))
             out[key] = qs
     counts.unpersist()
-    # columns (or groups) with no values
-    if not by:
-        for x in cols:
-            out.setdefault((x,), [None] * len(probs))
     return out
 
 

@@ -444,7 +444,7 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
 
     Returns one plan entry per examined column: skew_before (pandas sample
     skew), skew_log, method ('none', 'log1p', 'log1p + BoxCox') and lambda.
-    At most five aggregate jobs: skew before, skew after log1p, three Box-Cox stages.
+    Aggregate jobs: skew before, skew after log1p, and three Box-Cox stages per column.
     """
     full = _present(df, cols)
     only = _present(df, log1p_only)

@@ -36,3 +36,22 @@ def test_ranks_do_not_depend_on_partitioning(spark):
         f = E.kfold(df.repartition(n), "id", "y", 5).groupBy("fold", "y").agg(F.sum("score").alias("s"))
         outs.append(sorted((r["fold"], r["y"], round(r["s"], 6)) for r in f.collect()))
     assert outs[0] == outs[1] == outs[2]
+
+
+def test_bracketed_quantiles_equal_numpy(spark):
+    import numpy as np
+
+    from flowlens.functions.stats import _bracketed_quantiles
+    rng = np.random.default_rng(3)
+    x = rng.lognormal(0, 3, 20_000)
+    ties = rng.integers(0, 7, 20_000).astype(float)
+    few = np.where(np.arange(20_000) < 3, np.arange(20_000) * 1.5, np.nan)
+    df = spark.createDataFrame(list(zip(x.tolist(), ties.tolist(), few.tolist(), [None] * 20_000)), "x double, t double, f double, z double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    for accuracy in (50, 10_000):
+        got = _bracketed_quantiles(df.repartition(4), ["x", "t", "f", "z"], probs, accuracy)
+        for name, v in (("x", x), ("t", ties), ("f", few)):
+            assert np.allclose(got[(name,)], np.nanquantile(v, probs), rtol=1e-12)
+        assert got[("z",)] == [None] * 7
+    inf = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,), (float("inf"),)], "x double")
+    assert _bracketed_quantiles(inf, ["x"], [0.0, 0.5, 1.0])[("x",)] == [float("-inf"), 1.5, float("inf")]
