@@ -262,6 +262,31 @@ def top_value(df: DataFrame, cols: Sequence[str], exclude_value: str | None = No
     return {x: res.get(x) for x in cols}
 
 
+def partition_sums(df: DataFrame, total, size: int, fan_in: int = 64):
+    """Elementwise sum over all rows of ``total(pandas batch) -> float64 array of ``size``.
+
+    Each task sums its batches, ``fan_in`` tasks sum the partial results, and at most
+    ``fan_in`` arrays reach the driver.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def per_task(batches):
+        from pyspark import TaskContext
+        acc = np.zeros(size)
+        for pdf in batches:
+            if len(pdf):
+                acc += total(pdf)
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % fan_in], "v": [acc.tobytes()]})
+
+    def merge(pdf):
+        acc = sum(np.frombuffer(v) for v in pdf["v"])
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "v": [acc.tobytes()]})
+
+    rows = df.mapInPandas(per_task, "part int, v binary").groupBy("part").applyInPandas(merge, "part int, v binary").collect()
+    return sum((np.frombuffer(r["v"]) for r in rows), np.zeros(size))
+
+
 def pearson(a: Column, b: Column) -> Column:
     """Pairwise-complete Pearson r; NULL (not an error) when a side is constant."""
     both = a.isNotNull() & b.isNotNull()

@@ -14,11 +14,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.stats import (agg_row, c, clean_double, numeric_columns,
-                                      pearson, quantiles_of, sample_skew_from_pop, top_value)
+                                      partition_sums, quantiles_of, sample_skew_from_pop, top_value)
 
 # ---------------------------------------------------------------- fixed values
 IDENTIFIERS_6G = ["Flow ID", "Source IP", "Destination IP", "Timestamp", "External IP",
@@ -260,21 +261,36 @@ def drop_groups(df: DataFrame, groups: Sequence[Sequence[str]] = tuple(CORR_GROU
 
 
 # C17 / B17 -----------------------------------------------------------------
-def fit_corr_matrix(df: DataFrame, cols: Sequence[str], chunk: int = 10) -> dict[tuple[str, str], float | None]:
+def fit_corr_matrix(df: DataFrame, cols: Sequence[str]) -> dict[tuple[str, str], float | None]:
     """Pairwise-complete Pearson correlations of all column pairs (upper triangle).
 
-    The cleaned columns are projected and cached once; pairs are aggregated in
-    chunks so each job's generated code stays small."""
-    t = df.select(*[clean_double(c(x)).alias(f"_c{i}") for i, x in enumerate(cols)]).persist()
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    Two passes whatever the number of columns: the column means, and the pairwise
+    moments of the centred values (counts, sums, squares and products over the rows
+    where both columns have a value), as matrix products per task.  None where a side
+    is constant or infinite."""
+    k = len(cols)
+    t = df.select(*[clean_double(c(x)).alias(f"_c{i}") for i, x in enumerate(cols)])
+    finite = {i: F.when(F.abs(f"_c{i}") != float("inf"), F.col(f"_c{i}")) for i in range(k)}
+    mean = agg_row(t, {i: F.avg(x) for i, x in finite.items()})
+    centre = np.array([mean[i] or 0.0 for i in range(k)])
+
+    def moments(pdf):
+        x = pdf.to_numpy(dtype=float) - centre
+        there, endless = ~np.isnan(x), np.isinf(x)
+        x[~there | endless] = 0.0
+        m, e = there.astype(float), endless.astype(float)
+        return np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x, e.T @ m]).ravel()
+
+    n, s, q, xy, endless = partition_sums(t, moments, 5 * k * k).reshape(5, k, k)
     out = {}
-    for s0 in range(0, len(pairs), chunk):
-        part = pairs[s0:s0 + chunk]
-        res = agg_row(t, {p: pearson(F.col(f"_c{p[0]}"), F.col(f"_c{p[1]}")) for p in part})
-        for p in part:
-            v = res[p]
-            out[(cols[p[0]], cols[p[1]])] = None if v is None or (isinstance(v, float) and math.isnan(v)) else v
-    t.unpersist()
+    for i in range(k):
+        for j in range(i + 1, k):
+            r = None
+            if n[i, j] and not endless[i, j] and not endless[j, i]:
+                vi, vj = q[i, j] - s[i, j] ** 2 / n[i, j], q[j, i] - s[j, i] ** 2 / n[i, j]
+                if vi > 1e-13 * q[i, j] and vj > 1e-13 * q[j, i]:       # else constant but for rounding
+                    r = float((xy[i, j] - s[i, j] * s[j, i] / n[i, j]) / math.sqrt(vi * vj))
+            out[cols[i], cols[j]] = r
     return out
 
 
@@ -369,7 +385,7 @@ def fit_boxcox_lambdas(df: DataFrame, inputs: dict[str, Column]) -> dict[str, fl
     """Maximum-likelihood lambda per input expression (values must be > 0).
 
     The inputs and their logarithms are projected and cached once; for each
-    stage and column one aggregation returns n, sum(ln x), sum(ln^2 x) and, per
+    stage one job returns, for all columns, n, sum(ln x), sum(ln^2 x) and, per
     lambda, the power sums sum(x^l), sum(x^2l) (x^l = exp(l ln x)), from which
     var_pop(y_l) = (S2/n - (S1/n)^2) / l^2 and the profile log-likelihood follow
     on the driver."""
@@ -378,27 +394,34 @@ def fit_boxcox_lambdas(df: DataFrame, inputs: dict[str, Column]) -> dict[str, fl
     t = t.select(*[F.log(F.col(f"_bc{i}")).alias(f"_lx{i}") for i in range(len(names))]).persist()
     centers = {k: 0 for k in names}
     for step in BOXCOX_STAGES:
-        for i, name in enumerate(names):
-            lx = F.col(f"_lx{i}")
-            pts = boxcox_stage_points(centers[name], step)
-            exprs = {"n": F.count(lx), "sl": F.sum(lx), "sl2": F.sum(lx * lx)}
-            for k in pts:
-                if k != 0:
-                    pw = F.exp(F.lit(k / 1000.0) * lx)
-                    exprs[(k, 1)] = F.sum(pw)
-                    exprs[(k, 2)] = F.sum(pw * pw)
-            res = agg_row(t, exprs)
-            n, sl = res["n"], res["sl"]
+        points = [boxcox_stage_points(centers[name], step) for name in names]
+        width = 3 + 2 * max(map(len, points), default=0)
+
+        def sums(pdf, points=points, width=width):
+            out = np.zeros((len(points), width))
+            for i, pts in enumerate(points):
+                lx = pdf.iloc[:, i].to_numpy(dtype=float)
+                lx = lx[~np.isnan(lx)]
+                out[i, :3] = len(lx), lx.sum(), (lx * lx).sum()
+                with np.errstate(over="ignore"):
+                    for j, k in enumerate(pts):
+                        pw = np.exp(k / 1000.0 * lx)
+                        out[i, 3 + 2 * j], out[i, 4 + 2 * j] = pw.sum(), (pw * pw).sum()
+            return out.ravel()
+
+        table = partition_sums(t, sums, len(names) * width).reshape(len(names), width)
+        for name, pts, row in zip(names, points, table, strict=True):
+            n, sl, sl2 = (float(v) for v in row[:3])
             best, arg = -math.inf, centers[name]
-            for k in pts:
-                lam = k / 1000.0
+            for j, k in enumerate(pts):
                 if not n:
                     break
+                lam, s1, s2 = k / 1000.0, float(row[3 + 2 * j]), float(row[4 + 2 * j])
                 if k == 0:
-                    var = res["sl2"] / n - (sl / n) ** 2
+                    var = sl2 / n - (sl / n) ** 2
                 else:
-                    var = (res[(k, 2)] / n - (res[(k, 1)] / n) ** 2) / (lam * lam)
-                if var is None or not var > 0 or math.isinf(var):
+                    var = (s2 / n - (s1 / n) ** 2) / (lam * lam)
+                if not var > 0 or math.isinf(var):
                     continue
                 v = (lam - 1.0) * sl - n / 2.0 * math.log(var)
                 if v > best:
@@ -444,7 +467,7 @@ def fit_log_transform(df: DataFrame, cols: Sequence[str] = LOG_FULL_5G,
 
     Returns one plan entry per examined column: skew_before (pandas sample
     skew), skew_log, method ('none', 'log1p', 'log1p + BoxCox') and lambda.
-    Aggregate jobs: skew before, skew after log1p, and three Box-Cox stages per column.
+    Five jobs: skew before, skew after log1p, and three Box-Cox stages for all columns at once.
     """
     full = _present(df, cols)
     only = _present(df, log1p_only)
