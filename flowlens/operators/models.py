@@ -338,7 +338,7 @@ def _gate_gradient(params, x, scores, y):
     return out
 
 
-def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str, id_col: str = "id",
+def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str, id_col: str | None = None,
                epochs: int = GATE_EPOCHS, lr: float = GATE_LR, batch: int = GATE_BATCH, seed: int = SEED,
                validation: float = GATE_VALIDATION, patience: int = GATE_PATIENCE,
                lr_patience: int = GATE_LR_PATIENCE) -> dict:
@@ -349,14 +349,15 @@ def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
     is given, then runs Adam over its training rows in batches of ``batch``; weights and
     Adam moments are averaged by row count.  The step size is halved after
     ``lr_patience`` epochs without a better validation loss, training stops after
-    ``patience`` of them, and the best weights are returned.  ``df`` should be a stored
+    ``patience`` of them, and the best weights are returned.  Validation rows are chosen by
+    a hash of ``id_col`` (of the features without it).  ``df`` should be a stored
     table: each epoch reads it once.
     """
     feats = list(features)
     k = df.select(F.size(c(scores)).alias("k")).first()["k"]
     data = df.select(*[c(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)], c(scores).alias("_s"),
                      c(label).cast("double").alias("_y"),
-                     (uniform(c(id_col), seed + 4_000) < validation).alias("_val")).persist()
+                     (uniform(c(id_col) if id_col else F.xxhash64(*map(c, feats)), seed + 4_000) < validation).alias("_val")).persist()
     cols = [f"_x{i}" for i in range(len(feats))]
     params = _init_gate(len(feats), int(k), seed=seed)
     shapes, zeros = [p.shape for p in params], [np.zeros_like(p) for p in params]

@@ -270,7 +270,7 @@ def gate_model(spark, sf):
         # the frozen expert scores are stored once, so no epoch carries the expert models
         path = scratch_path(spark, "expert_scores")
         val.select("id", "Label", "scores", *FEATS).write.parquet(path)
-        _CACHE[key] = Mo.train_gate(spark.read.parquet(path), FEATS, "scores", "Label")
+        _CACHE[key] = Mo.train_gate(spark.read.parquet(path), FEATS, "scores", "Label", "id")
     return _CACHE[key]
 
 
