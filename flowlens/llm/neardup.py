@@ -10,8 +10,10 @@ Improved consistent weighted sampling draws HASHES samples per text; two texts a
 a sample with a probability equal to their weighted Jaccard similarity.  BANDS bands of
 ROWS samples make buckets.  Inside a bucket every text is compared with the one of the
 smallest id; where a bucket still holds more than one component, its other pairs are
-screened by their samples, block against block, so that no group meets in one task.
-Every link is verified by the exact weighted Jaccard similarity of the whole texts.
+screened by their samples and compared, block against block, so that no group meets in
+one task, until the components are linked.  Every link is verified by the exact
+weighted Jaccard similarity of the whole texts; n_links counts the links found, which
+span each class but are not all its pairs.
 
 Equal texts are one node (64-bit text hash) and are never expanded into pairs.
 Nulls: a NULL text is alone in its class.  Texts without words only match equal texts;
@@ -36,7 +38,7 @@ DF_BITS = 17
 POOL_BITS = 13           # rows of the table of random draws that shingle hashes pick from
 THRESHOLD = 0.8
 SCREEN = 0.58            # share of equal samples below which a pair is not verified (4.4 sigma under 0.8)
-BLOCK = 1000
+BLOCK = 500
 _draws: tuple | None = None
 
 
@@ -137,56 +139,87 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
         F.min("doc").alias("doc"), F.count(F.lit(1)).alias("rows"), F.any_value("sig").alias("sig")), "nodes")
 
     width = 4 * ROWS
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", b * width + 1, width)) for b in range(BANDS)])
-    slots = nodes.where(F.col("sig").isNotNull()).select("node", F.coalesce("doc", last).alias("doc"), F.explode(keys).alias("key"))
+    bands = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", b * width + 1, width)) for b in range(BANDS)])
+    slots = nodes.where(F.col("sig").isNotNull()).select(
+        "node", F.coalesce("doc", last).alias("doc"), F.posexplode(bands).alias("band", "key"))
     head = F.min_by("node", F.struct("doc", "node"))
     # stored first: Spark can split the hot keys of a join of two plain shuffles
-    centre = materialize(slots.groupBy("key").agg(head.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "centres")
-    star = (slots.join(centre, "key").where("node <> centre")
+    centre = materialize(slots.groupBy("key").agg(head.alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1"), "centres")
+    slots = materialize(slots.drop("doc").join(centre, "key"), "slots")
+    # texts of the nodes that share a bucket, by one shuffle at every size
+    texts = materialize(rows.select("node", "text").join(slots.select("node").distinct().hint("merge"), "node", "left_semi")
+                        .dropDuplicates(["node"]), "texts")
+    star = (slots.where("node <> centre")
             .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-    star = materialize(star, "star")
-    texts = rows.select("node", "text")
     first = materialize(verify(star, texts, idf, threshold), "star-links")
 
     # buckets that hold three or more texts of several components: the pairs a star leaves out
     label = components(first)
-    named = slots.select("key", "node").join(label.withColumnRenamed("root", "comp"), "node", "left").select(
-        "key", "node", F.coalesce("comp", "node").alias("comp"))
+    named = materialize(slots.where("n > 2").select("key", "band", "node").join(
+        label.select("node", F.col("root").alias("comp")), "node", "left").withColumn("comp", F.coalesce("comp", "node")), "named")
     mixed = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("n"))
-             .where("lo <> hi and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    rest = materialize(named.join(materialize(mixed, "mixed-keys"), "key"), "mixed")
-    sigs = nodes.select("node", "sig")
+             .where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    rest = named.join(materialize(mixed, "mixed"), "key").join(nodes.select("node", "sig"), "node").join(texts, "node")
     mine = F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")).cast("int")
-    dealt = (rest.join(sigs, "node").withColumn("mine", mine)
+    dealt = (rest.withColumn("mine", mine)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "node", "comp", "sig", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
-
-    def screen(pdf: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
-        node, comp, mine = (pdf[c].to_numpy() for c in ("node", "comp", "mine"))
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        a, b = [], []
-        for x in left:
-            y = right[right > x] if i == j else right
-            y = y[comp[y] != comp[x]]
-            y = y[(sig[y] == sig[x]).sum(1) >= SCREEN * HASHES]
-            a.append(np.full(len(y), node[x]))
-            b.append(node[y])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    more = dealt.groupBy("key", "i", "j").applyInPandas(screen, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    second = materialize(verify(materialize(more, "screened"), texts, idf, threshold), "more-links")
+             .select("key", "band", "node", "comp", "sig", "text", "mine",
+                     F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(block_links(pdf, idf.value, threshold), columns=["a", "b", "similarity"])
+
+    second = materialize(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long, similarity double"), "more-links")
     return nodes, first.union(second)
 
 
+def block_links(pdf: pd.DataFrame, idf: np.ndarray, threshold: float) -> list[tuple[int, int, float]]:
+    """Links between components inside one pair of blocks of a bucket, exactly verified.
+
+    Pairs are screened by their samples and handled in the first band they share.  Once
+    two components are linked, their other pairs need no test, so the links found
+    join all components that any pair joins.
+    """
+    pdf = pdf.sort_values("node").reset_index(drop=True)
+    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(len(pdf), HASHES)
+    node, comp, mine = (pdf[c].to_numpy() for c in ("node", "comp", "mine"))
+    i, j, band = (int(pdf[c].iloc[0]) for c in ("i", "j", "band"))
+    sets: dict[int, tuple] = {}
+    root = {c: c for c in comp.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    def weighted(k):
+        if k not in sets:
+            sets[k] = text_sets([pdf["text"].iat[k]], idf)[0]
+        return sets[k]
+
+    left, right, out = np.flatnonzero(mine == i), np.flatnonzero(mine == j), []
+    for x in left.tolist():
+        y = right[right > x] if i == j else right
+        y = y[comp[y] != comp[x]]
+        same = sig[y] == sig[x]
+        share = same.sum(1)
+        ok = (share >= SCREEN * HASHES) & (same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band)
+        y, share = y[ok], share[ok]
+        for k in y[np.argsort(-share, kind="stable")].tolist():
+            cx, cy = find(comp[x].item()), find(comp[k].item())
+            if cx != cy:
+                value = similarity(weighted(x), weighted(k))
+                if value >= threshold:
+                    root[cx] = cy
+                    out.append((min(int(node[x]), int(node[k])), max(int(node[x]), int(node[k])), value))
+    return out
+
+
 def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """The pairs (a, b) of text hashes whose texts reach the threshold, with their similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    own = materialize(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "pair-texts")
-    both = (pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-            .join(own.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
