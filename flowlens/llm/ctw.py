@@ -86,24 +86,28 @@ def text_slices(sizes: np.ndarray, limit: int = 2_000_000) -> Iterator[tuple[int
         yield s, len(sizes)
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inverse, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
+def _add(total: tuple[np.ndarray, np.ndarray], keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of two ascending key lists with counts."""
+    both = np.concatenate([total[0], keys])
+    by = np.argsort(both, kind="stable")                   # two sorted runs
+    both = both[by]
+    n = np.concatenate([total[1], counts])[by]
+    first = np.flatnonzero(np.append(True, both[1:] != both[:-1])) if len(both) else by
+    return both[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def chunk_counts(blob: bytes, sizes: np.ndarray, train: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a chunk, ascending, and their counts in its training texts."""
     data, base = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
-    found = []
-    for s, e in text_slices(sizes, 4_000_000):
+    total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for s, e in text_slices(sizes):
         keys, per = (gram_codes if kind == GRAM else word_keys)(data[base[s]:base[e]], sizes[s:e])
         learned = np.repeat(train[s:e], per)
-        found.append(np.unique(keys[learned], return_counts=True))
-        other = np.unique(keys[~learned])
-        found.append((other, np.zeros(len(other), np.int64)))
-    return _merge(found)
+        uniq, n = np.unique(keys[learned], return_counts=True)
+        total = _add(total, uniq, n)
+        uniq = np.unique(keys[~learned])
+        total = _add(total, uniq, np.zeros(len(uniq), np.int64))
+    return total
 
 
 # --- the context tree ----------------------------------------------------------
@@ -201,10 +205,10 @@ def key_scores(keys: np.ndarray, counts: np.ndarray, shallow) -> np.ndarray:
 CHUNK_SCHEMA = "chunk long, doc_id array<long>, held array<boolean>, learn array<boolean>, size array<long>, blob binary"
 
 
-def make_chunks(df: DataFrame, chunk_bytes: int = 64_000_000) -> DataFrame:
+def make_chunks(df: DataFrame, chunk_bytes: int = 32_000_000) -> DataFrame:
     """Texts packed into compressed chunks of up to about ``chunk_bytes``, as a stored table.
 
-    Two scan tasks share a chunk: the larger a chunk, the fewer grams are listed twice.
+    The larger a chunk, the fewer grams are listed twice, and the more memory a task takes.
     """
     rest = id_remainder(F.col("doc_id"), 10)
     rows = df.select("doc_id", "text", F.coalesce(rest == 0, F.lit(False)).alias("held"),
@@ -233,7 +237,6 @@ def make_chunks(df: DataFrame, chunk_bytes: int = 64_000_000) -> DataFrame:
         if ids:
             yield chunk()
 
-    rows = rows.coalesce(-(-rows.rdd.getNumPartitions() // 2))
     return materialize(rows.mapInPandas(build, CHUNK_SCHEMA), "ctw-chunks")
 
 
