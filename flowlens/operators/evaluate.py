@@ -121,13 +121,16 @@ def best_threshold(df: DataFrame, label: str, score: str) -> DataFrame:
 
 # G8
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float] = SWEEP) -> DataFrame:
-    """P, R, F1 (rounded to 4) per threshold of a fixed grid; the grid
-    (len(thresholds) rows) is crossed with the distinct-score counts only."""
+    """P, R, F1 (rounded to 4) per threshold of a fixed grid.  Each row is counted once,
+    under the number of thresholds it reaches; the grid meets those few counts only."""
     spark = df.sparkSession
-    grid = spark.createDataFrame([(float(t),) for t in thresholds], "threshold double")
-    cnt = score_counts(df, label, score)
+    steps = sorted({float(t) for t in thresholds})
+    reached = sum((F.coalesce((c(score) >= F.lit(t)).cast("int"), F.lit(0)) for t in steps), F.lit(0))
+    cnt = df.groupBy(reached.alias("reached")).agg(
+        F.sum(c(label).cast("long")).alias("pos"), F.sum((1 - c(label)).cast("long")).alias("neg"))
+    grid = spark.createDataFrame([(t, i + 1) for i, t in enumerate(steps)], "threshold double, rank int")
     tot = cnt.agg(F.sum("pos").alias("P"))
-    hit = cnt.crossJoin(F.broadcast(grid)).where(F.col("score") >= F.col("threshold"))
+    hit = cnt.crossJoin(F.broadcast(grid)).where(F.col("reached") >= F.col("rank"))   # at most 18 x 17 rows
     g = grid.join(hit.groupBy("threshold").agg(F.sum("pos").alias("tp"), F.sum("neg").alias("fp")),
                   "threshold", "left").crossJoin(tot)
     tp, fp = F.coalesce("tp", F.lit(0)), F.coalesce("fp", F.lit(0))
