@@ -49,6 +49,10 @@ def pack(texts: list) -> tuple[bytes, np.ndarray]:
     return b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw))
 
 
+def unpack(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+
+
 def gram_codes(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(code of each scored byte with its context, codes per text)."""
     n = len(data) - DEPTH
@@ -96,9 +100,9 @@ def _add(total: tuple[np.ndarray, np.ndarray], keys: np.ndarray, counts: np.ndar
     return both[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def chunk_counts(blob: bytes, sizes: np.ndarray, train: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
+def chunk_counts(data: np.ndarray, sizes: np.ndarray, train: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a chunk, ascending, and their counts in its training texts."""
-    data, base = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+    base = np.concatenate([[0], np.cumsum(sizes)])
     total = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for s, e in text_slices(sizes):
         keys, per = (gram_codes if kind == GRAM else word_keys)(data[base[s]:base[e]], sizes[s:e])
@@ -250,7 +254,7 @@ def list_keys(chunks: DataFrame, kind: int) -> DataFrame:
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                key, n = chunk_counts(r.blob, np.asarray(r.size, np.int64), np.asarray(r.learn, bool), kind)
+                key, n = chunk_counts(unpack(r.blob), np.asarray(r.size, np.int64), np.asarray(r.learn, bool), kind)
                 for s in range(0, len(key), 200_000):
                     yield pd.DataFrame({"chunk": r.chunk, "key": key[s:s + 200_000].view(np.int64),
                                         "n": n[s:s + 200_000].astype(np.int32),
@@ -308,9 +312,10 @@ def op10(df: DataFrame) -> DataFrame:
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         gram = right["total"].isna().to_numpy()
         at = right["at"].to_numpy()
-        value = np.zeros(gram.sum())
+        value = np.zeros(gram.sum(), np.float32)
         value[at[gram]] = right["value"].to_numpy()[gram]
         total = at[~gram], right["total"].to_numpy()[~gram]
+        del right, gram, at
         out = [score_chunk(r, value, total, tokens, distinct, ends) for r in left.itertuples(index=False)]
         return pd.concat(out) if out else pd.DataFrame(columns=[x.split()[0] for x in SCORE_SCHEMA.split(", ")])
 
@@ -324,17 +329,17 @@ SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, tra
 def score_chunk(r, value: np.ndarray, shared: tuple, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
     """Scores of the texts of one chunk, given the values of its grams and its shared words by rank."""
     sizes, learn = np.asarray(r.size, np.int64), np.asarray(r.learn, bool)
-    data, base = np.frombuffer(zstandard.ZstdDecompressor().decompress(r.blob), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+    data, base = unpack(r.blob), np.concatenate([[0], np.cumsum(sizes)])
     n_words, known, unigram, model = (np.zeros(len(sizes)) for _ in range(4))
     below = tokens + ALPHA * (distinct + 1)
-    key = chunk_counts(r.blob, sizes, learn, GRAM)[0]
-    own, counts = chunk_counts(r.blob, sizes, learn, WORDS)
+    key = chunk_counts(data, sizes, learn, GRAM)[0]
+    own, counts = chunk_counts(data, sizes, learn, WORDS)
     counts = counts.astype(float)
     counts[shared[0]] = shared[1]
-    for s, e in text_slices(sizes):
+    for s, e in text_slices(sizes, 500_000):      # several arrays of 8 bytes a byte each
         d = data[base[s]:base[e]]
         code, per = gram_codes(d, sizes[s:e])
-        model[s:e] = np.add.reduceat(value[np.searchsorted(key, code)], np.cumsum(per) - per)
+        model[s:e] = np.add.reduceat(value[np.searchsorted(key, code)], np.cumsum(per) - per, dtype=np.float64)
         word, per = word_keys(d, sizes[s:e])
         c = np.zeros(len(word))
         if len(word):
