@@ -194,6 +194,48 @@ def test_near_passages(docs, no_docs, rows):
     assert near_passages(no_docs).collect() == []
 
 
+def stretch_by_force(a, b):
+    """Tokens of the longest stretch, from match to match, in which two equally long sequences of distinct tokens reach 0.8."""
+    same, best = a == b, 0
+    at = np.flatnonzero(same)
+    for i in at:
+        for j in at[at >= i + max(45, best)] + 1:
+            both = int(same[i:j].sum())
+            if both >= 0.8 * (2 * (j - i) - both):
+                best = int(j - i)
+    return best
+
+
+@pytest.mark.parametrize("where,words", [((48,), 91), ((64,), 107)])
+def test_passage_with_a_replaced_word(where, words):
+    from flowlens.llm.passages import tokens_of, verify
+    w = [f"w{i}" for i in range(words)]
+    v = [f"x{i}" if i in where else x for i, x in enumerate(w)]
+    (a, _), (b, _) = tokens_of([" ".join(w)]), tokens_of([" ".join(v)])
+    (found,) = verify(a, b)
+    assert found[:4] == (0, words - 4, 0, words - 4) and found[4] > 0.88
+
+
+def test_passages_with_edits_against_brute_force():
+    from flowlens.llm.passages import tokens_of, verify
+    rng = np.random.default_rng(12)
+    for n in range(90):
+        words, edits = int(rng.integers(50, 121)), n % 3 + 1
+        w = [f"w{n}x{i}" for i in range(words)]
+        v = list(w)
+        for i in rng.choice(words, edits, replace=False):
+            v[i] = f"edit{i}"
+        pad = [[f"p{n}x{k}x{i}" for i in range(25)] for k in range(4)]
+        a, b = (tokens_of([" ".join([*p, *t, *q])])[0] for p, t, q in ((pad[0], w, pad[1]), (pad[2], v, pad[3])))
+        got = verify(a, b)
+        assert all(j >= 0.8 and e - s >= 46 for s, e, _, _, j in got)
+        assert max((e - s for s, e, *_ in got), default=0) == stretch_by_force(a, b)
+    w = [f"w{i}" for i in range(120)]
+    v = w[:60] + ["one", "two", "three"] + w[60:]                             # words put in
+    (a, _), (b, _) = tokens_of([" ".join(w)]), tokens_of([" ".join(v)])
+    assert [f[:4] for f in verify(a, b)] == [(0, 116, 0, 119)] and [f[:4] for f in verify(b, a)] == [(0, 119, 0, 116)]
+
+
 # --- 9 -------------------------------------------------------------------------
 
 def test_nearest_neighbours(spark):
