@@ -236,6 +236,26 @@ def test_passages_with_edits_against_brute_force():
     assert [f[:4] for f in verify(a, b)] == [(0, 116, 0, 119)] and [f[:4] for f in verify(b, a)] == [(0, 119, 0, 116)]
 
 
+@pytest.mark.parametrize("block", [300, 2])
+def test_passages_whose_pieces_occur_in_earlier_documents(spark, monkeypatch, block):
+    """60-word passages shared by two documents; overlapping 20-word pieces of them lie in six earlier ones."""
+    from flowlens.llm import passages as ps
+    monkeypatch.setattr(ps, "BLOCK", block, raising=False)
+    early, late = [], []
+    for n in range(25):
+        w = [f"w{n}x{i}" for i in range(60)]
+        for k in range(6):
+            early.append(" ".join([*[f"e{n}x{k}x{i}" for i in range(60)], *w[8 * k:8 * k + 20], *[f"f{n}x{k}x{i}" for i in range(60)]]))
+        for k in range(2):
+            late.append(" ".join([*[f"l{n}x{k}x{i}" for i in range(40)], *w, *[f"m{n}x{k}x{i}" for i in range(40)]]))
+    docs = spark.createDataFrame(list(enumerate(early + late)), "doc_id long, text string").coalesce(1)
+    got = ps.near_passages(docs).collect()
+    pairs = {frozenset((r["doc_id"], r["match_doc_id"])) for r in got}
+    want = {frozenset((len(early) + 2 * n, len(early) + 2 * n + 1)) for n in range(25)}
+    assert pairs <= want and len(got) == len(pairs)
+    assert len(pairs) >= 20                                    # two of four functions must agree in 46 or more tokens
+
+
 # --- 9 -------------------------------------------------------------------------
 
 def test_nearest_neighbours(spark):
