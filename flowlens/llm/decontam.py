@@ -5,12 +5,14 @@ blocks of up to BLOCK consecutive word shingles; blocks and items carry MinHash
 signatures.  Blocks are partitioned by size.  For a block of at most u shingles and an
 item of q shingles, a containment of ``threshold`` implies a Jaccard similarity of at
 least s(u, q) with the blocks it spans, and only as many hash functions are
-compared as s needs for a recall of RECALL.  Candidates are verified by exact
+compared as s needs for a recall of RECALL.  Items of up to SHORT shingles are joined to
+the documents by their shingles instead.  Candidates are verified by exact
 containment of the item's distinct shingles in the whole document.
 
 The hash functions flip the bits of one 64-bit shingle hash with constants whose
 leading bits differ, so each takes its minimum in another part of the hash range
-(one-permutation MinHash whose empty parts borrow from the nearest one).
+(one-permutation MinHash whose empty parts borrow from the nearest one).  The first b
+of them, all that a longer item compares, lie evenly over the whole range.
 
 Shingles are five consecutive lower-case words of letters and digits.  Items of
 fewer than five words, and NULL texts, have none and match nothing; a NULL item id is
@@ -31,7 +33,7 @@ K = 5
 BLOCK = 32
 PARTITIONS = (8, 16, 32)          # upper block sizes
 RECALL = 0.999
-MAX_HASHES = 128
+SHORT = 5                         # items of up to so many shingles are joined by shingle
 BROADCAST_ROWS = 1_000_000        # rows of up to 40 bytes; beyond it Spark joins by shuffle
 
 
@@ -46,10 +48,10 @@ def with_shingles(df: DataFrame, text: str, k: int = K) -> DataFrame:
 
 
 def flips(n: int) -> list[int]:
-    """Signed 64-bit constants with different leading bits."""
+    """Signed 64-bit constants with different leading bits, of which every prefix covers the hash range evenly."""
     lead = max(1, math.ceil(math.log2(max(2, n))))
-    low = np.random.default_rng(77).integers(0, 2**62, n)
-    raw = [(k << (64 - lead)) | (int(x) >> lead) for k, x in enumerate(low)]
+    low = np.random.default_rng(77).integers(0, 2**64, n, dtype=np.uint64)
+    raw = [(int(f"{k:0{lead}b}"[::-1], 2) << (64 - lead)) | (int(x) >> lead) for k, x in enumerate(low)]
     return [r - (1 << 64) if r >> 63 else r for r in raw]
 
 
@@ -60,7 +62,7 @@ def hashes_needed(u: int, q: int, threshold: float) -> int:
     s = shared / (u + q - shared)
     if s >= 1:
         return 1
-    return min(MAX_HASHES, max(1, math.ceil(math.log(1 - RECALL) / (spans * math.log(1 - s)))))
+    return max(1, math.ceil(math.log(1 - RECALL) / (spans * math.log(1 - s))))
 
 
 def _flip(c: int):
@@ -86,12 +88,13 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text
     item = materialize(item.select("item_id", F.xxhash64("_t").alias("_item"), F.array_distinct("_s").alias("_s"))
                        .where(F.size("_s") > 0).withColumn("n_item", F.size("_s")).distinct(), "items")
     stat = item.groupBy("n_item").agg(F.count(F.lit(1)).alias("n")).collect()     # one row per item size
-    need = {(u, r["n_item"]): hashes_needed(u, r["n_item"], threshold) for u in PARTITIONS for r in stat}
+    need = {(u, r["n_item"]): hashes_needed(u, r["n_item"], threshold) for u in PARTITIONS for r in stat if r["n_item"] > SHORT}
     per_class = {u: max([b for (v, _), b in need.items() if v == u], default=0) for u in PARTITIONS}
     n_hash = max([*per_class.values(), 1])
     flip = flips(n_hash)
     item_rows = sum(r["n"] * r["n_item"] for r in stat)
-    key_rows = sum(r["n"] * need[u, r["n_item"]] for u in PARTITIONS for r in stat)
+    key_rows = sum(r["n"] * need.get((u, r["n_item"]), 0) for u in PARTITIONS for r in stat)
+    short_rows = sum(r["n"] * r["n_item"] for r in stat if r["n_item"] <= SHORT)
 
     doc = with_shingles(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("_text_hash"),
                                     F.col(text).alias("_t")), "_t").drop("_t")
@@ -110,12 +113,17 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.8, text
     signature = F.array(*[F.array_min(F.transform("_s", _flip(c))) for c in flip])
     takes = F.create_map(*([y for (v, q), b in need.items() for y in (F.lit(v * (1 << 32) + q), F.lit(b))] or
                            [F.lit(0), F.lit(0)]))
-    asked = (item.select("item_id", "_item", "n_item", signature.alias("m"),
+    asked = (item.where(F.col("n_item") > SHORT).select("item_id", "_item", "n_item", signature.alias("m"),
                          F.explode(F.array(*map(F.lit, PARTITIONS))).alias("u"))
              .withColumn("b", takes[F.col("u").cast("long") * F.lit(1 << 32) + F.col("n_item")])
              .select("item_id", "_item", "n_item", "u", F.posexplode(F.slice("m", F.lit(1), F.col("b"))).alias("k", "v")))
     pairs = (probes.join(small(asked, key_rows), ["u", "k", "v"]).where(F.col("n_doc") >= F.lit(threshold) * F.col("n_item"))
              .select("doc_id", "_text_hash", "item_id", "_item", "n_item").distinct())
+    if short_rows:          # too few shingles for a minimum to fall on: joined by each of them
+        few = (item.where(F.col("n_item") <= SHORT)
+               .select("item_id", "_item", "n_item", F.explode("_s").alias("x")))
+        held = doc.select("doc_id", "_text_hash", F.explode(F.array_distinct("_s")).alias("x"))
+        pairs = pairs.union(held.join(small(few, short_rows), "x").select("doc_id", "_text_hash", "item_id", "_item", "n_item").distinct())
     pairs = materialize(pairs, "candidates")
 
     # exact containment, over the candidate documents only

@@ -159,6 +159,29 @@ def test_decontamination(spark, docs, no_docs, rows):
     assert op7(no_docs, bench).collect() == [] and op7(docs, bench.where("false")).collect() == []
 
 
+def test_decontamination_of_short_and_mixed_items(spark):
+    """Every exact copy is found: items of one to eight shingles, and longer ones beside an item of one shingle."""
+    from flowlens.llm.decontam import op7
+    docs, items, want = [], [], set()
+    for n in range(300):
+        w = [f"w{n}x{i}" for i in range(200)]
+        docs.append((n, " ".join(w)))
+        size = (5, 6, 7, 9, 12, 24)[n % 6]
+        items.append((n, " ".join(w[70 + n % 32:70 + n % 32 + size])))
+        want.add((n, n, size - 4, size - 4, 1.0))
+    got = op7(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_prefixes_of_the_hash_functions_cover_the_range():
+    from flowlens.llm.decontam import flips
+    for n in (7, 50, 128):
+        lead = [(f & ((1 << 64) - 1)) / 2**64 for f in flips(n)]
+        assert len(set(lead)) == n
+        for b in (4, 8, 16, 32):
+            assert b > n or {int(x * b) for x in lead[:b]} == set(range(b))
+
+
 # --- 8 -------------------------------------------------------------------------
 
 def test_compact_windows():
