@@ -82,3 +82,21 @@ def q_pfp(spark, sf_dir):
 def q_passages(spark, sf_dir):
     from flowlens.llm.passages import op8
     return op8(table(spark, sf_dir, "documents"))
+
+
+@register("op11_secret_scan")
+def q_secrets(spark, sf_dir):
+    from flowlens.llm.novelty import op11
+    return op11(table(spark, sf_dir, "documents"))
+
+
+@register("op12_collocations")
+def q_collocations(spark, sf_dir):
+    from flowlens.llm.collocations import op12
+    return op12(table(spark, sf_dir, "documents"))
+
+
+@register("op13_spelling_variants")
+def q_variants(spark, sf_dir):
+    from flowlens.llm.variants import op13
+    return op13(table(spark, sf_dir, "documents"))
