@@ -1,7 +1,7 @@
-"""Detectors, calibration and the gate.
+"""Detectors, calibration and the gate.
 
-* Tree models and logistic regression are Spark ML estimators fitted on
-  the cluster.
+* The random forest and logistic regression are Spark ML estimators fitted on
+  the cluster; boosted trees are in ``boosting``, dense networks in ``neural``.
 * The reconstruction detector is a linear autoencoder: principal axes of
   the benign rows (Spark ML ``PCA``) and the reconstruction error computed
   with array expressions from the fitted axes.
@@ -10,22 +10,20 @@
   and scores rows with a vectorised numpy traversal of the broadcast flat
   trees inside ``mapInPandas`` (Arrow batches, no per-row Python).
 * The gate (16-32-16-softmax(5)) is trained by mini-batch Adam inside the
-  partitions of one ``mapInPandas`` job per epoch, averaged over them, with
-  validation and early stop; only ~1.2k parameters and their moments travel.
+  partitions of one ``mapInPandas`` job per epoch (``neural.fit_epochs``).
 Fitted parameters are plain lists, so scoring a batch applies them as
 literal column expressions in a single narrow stage.
 """
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -34,15 +32,12 @@ from pyspark.sql import types as T
 
 from flowlens.functions.exprs import hash32, uniform
 from flowlens.functions.stats import c
+from flowlens.operators import neural as N
 from flowlens.operators import score as S
 
 # ---- fixed values (reference hyper-parameters) -------------------------------
 RF_PARAMS = {"numTrees": 100, "maxDepth": 20, "minInstancesPerNode": 2}
-GBT_PARAMS = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8,
-              "featureSubsetStrategy": "0.8"}
-SLICE_GBT_PARAMS = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.1}
 LR_MAX_ITER = 1000
-MIN_SLICE_ROWS = 10
 AE_BOTTLENECK = 6
 IFOREST_TREES, IFOREST_SAMPLE = 200, 256
 GATE_HIDDEN = (32, 16)
@@ -71,46 +66,6 @@ def train_rf(df: DataFrame, features: Sequence[str], label: str, weight: str | N
                                             handleInvalid="keep"), rf]).fit(df)
 
 
-# F2 / F4
-def train_gbt(df: DataFrame, features: Sequence[str], label: str, weight: str | None = None,
-              validation: str | None = None, seed: int = SEED, **params) -> PipelineModel:
-    p = {**GBT_PARAMS, **params}
-    g = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, **p)
-    if weight:
-        g.setWeightCol(weight)
-    if validation:
-        g.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                            handleInvalid="keep"), g]).fit(df)
-
-
-def positive_weight(df: DataFrame, label: str, out: str = "w", floor: float = 1e-3) -> DataFrame:
-    """Positives weighted max(neg / max(pos, 1), 1e-3), negatives 1 (scale_pos_weight)."""
-    st = df.agg(F.sum((c(label) == 0).cast("long")).alias("neg"), F.sum((c(label) == 1).cast("long")).alias("pos")).first()
-    spw = max((st["neg"] or 0) / max(st["pos"] or 0, 1), floor)
-    return df.withColumn(out, F.when(c(label) == 1, F.lit(float(spw))).otherwise(F.lit(1.0)))
-
-
-def train_slice_experts(df: DataFrame, features: Sequence[str], label: str, slice_col: str = "slice",
-                        slices: Sequence[str] = ("eMBB", "mMTC", "URLLC"), **params) -> dict:
-    """One boosted-tree expert per slice (rows of 'ALL' feed every slice); slices
-    with fewer than 10 rows are skipped."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    p = {**SLICE_GBT_PARAMS, **params}
-
-    def fit(s):
-        part = df.where((c(slice_col) == s) | (c(slice_col) == "ALL"))
-        if part.limit(MIN_SLICE_ROWS).count() < MIN_SLICE_ROWS:
-            return s, None
-        return s, train_gbt(positive_weight(part, label), features, label, weight="w", **p)
-
-    # the three fits are independent: submit them concurrently from driver threads
-    with ThreadPoolExecutor(max_workers=len(slices)) as pool:
-        res = list(pool.map(fit, slices))
-    return {s: m for s, m in res if m is not None}
-
-
 # F3
 def train_lr(df: DataFrame, features: Sequence[str], label: str, weight: str,
              max_iter: int = LR_MAX_ITER) -> PipelineModel:
@@ -146,28 +101,14 @@ def fit_linear_autoencoder(df: DataFrame, features: Sequence[str], k: int = AE_B
     return {"features": list(features), "mean": mu, "V": V}
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, t: acc + t)
-
-
-def _lin(terms: Sequence[tuple[float, Column]], bias: float = 0.0) -> Column:
-    e = F.lit(float(bias))
-    for w, x in terms:
-        e = e + F.lit(float(w)) * x
-    return e
+def reconstruction_net(ae: dict) -> dict:
+    """The linear autoencoder in the form of a network (two linear layers)."""
+    return {"features": ae["features"], "layers": N.linear_layers(ae["mean"], ae["V"])}
 
 
 def reconstruction_mse(df: DataFrame, ae: dict, out: str = "mse") -> DataFrame:
-    """mean_j (x_j - xhat_j)^2 with xhat = mu + V V^T (x - mu), written as scalar
-    column arithmetic (whole-stage codegen); each stage is its own projection."""
-    feats, mu, V = ae["features"], ae["mean"], ae["V"]
-    d, k = len(feats), len(V[0])
-    base = df.columns
-    t = df.select("*", *[(c(f).cast("double") - F.lit(mu[j])).alias(f"_xc{j}") for j, f in enumerate(feats)])
-    t = t.select("*", *[_lin([(V[j][i], F.col(f"_xc{j}")) for j in range(d)]).alias(f"_z{i}") for i in range(k)])
-    err = [(F.col(f"_xc{j}") - _lin([(V[j][i], F.col(f"_z{i}")) for i in range(k)])) for j in range(d)]
-    mse = sum((e * e for e in err), F.lit(0.0)) / F.lit(float(d))
-    return t.select(*[c(x) for x in base], mse.alias(out))
+    """mean_j (x_j - xhat_j)^2 with xhat = mu + V V^T (x - mu), as scalar column arithmetic."""
+    return N.network_error(df, reconstruction_net(ae), out)
 
 
 # F6
@@ -254,6 +195,8 @@ def isolation_score(df: DataFrame, model: dict, out: str = "if_score") -> DataFr
     the broadcast flat trees (vectorised numpy traversal per batch)."""
     feats = model["features"]
     trees = [np.array(t, dtype=float) for t in model["trees"]]
+    for t in trees:                                # the size of a leaf becomes its expected extra depth
+        t[:, 4] = [_c_factor(n) for n in t[:, 4]]
     cpsi = _c_factor(model["psi"])
     spark = df.sparkSession
     bc = spark.sparkContext.broadcast(trees)
@@ -273,8 +216,7 @@ def isolation_score(df: DataFrame, model: dict, out: str = "if_score") -> DataFr
                     leaf = f < 0
                     done = active & leaf
                     if done.any():
-                        sizes = tr[node[done], 4]
-                        depth[done] += np.array([_c_factor(s) for s in sizes])
+                        depth[done] += tr[node[done], 4]
                     active &= ~leaf
                     if not active.any():
                         break
@@ -294,12 +236,7 @@ def isolation_score(df: DataFrame, model: dict, out: str = "if_score") -> DataFr
 def _init_gate(d: int, k: int, hidden=GATE_HIDDEN, seed: int = SEED) -> list[np.ndarray]:
     rng = np.random.default_rng(seed)
     sizes = [d, *hidden, k]
-    params = []
-    for a, b in zip(sizes[:-1], sizes[1:]):
-        lim = math.sqrt(6.0 / (a + b))  # Glorot uniform
-        params.append(rng.uniform(-lim, lim, size=(a, b)))
-        params.append(np.zeros(b))
-    return params
+    return [p for a, b in zip(sizes[:-1], sizes[1:]) for p in (N.glorot(rng, a, b), np.zeros(b))]
 
 
 def _gate_forward(P, X):
@@ -345,81 +282,26 @@ def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
     """Train the softmax gate through the fixed combiner sigma(4 (sum w s - 0.5))
     with binary cross-entropy.
 
-    One job per epoch: every partition measures the validation loss of the weights it
-    is given, then runs Adam over its training rows in batches of ``batch``; weights and
-    Adam moments are averaged by row count.  The step size is halved after
-    ``lr_patience`` epochs without a better validation loss, training stops after
-    ``patience`` of them, and the best weights are returned.  Validation rows are chosen by
-    a hash of ``id_col`` (of the features without it).  ``df`` should be a stored
-    table: each epoch reads it once.
+    Training is that of ``neural.fit_epochs``.  Validation rows are chosen by a hash of
+    ``id_col`` (of the features without it).  ``df`` should be a stored table: each epoch
+    reads it once.
     """
     feats = list(features)
-    k = df.select(F.size(c(scores)).alias("k")).first()["k"]
+    first = df.select(F.size(c(scores)).alias("k")).first()
+    k = first["k"] if first else len(S.EXPERT_NAMES)
     data = df.select(*[c(f).cast("double").alias(f"_x{i}") for i, f in enumerate(feats)], c(scores).alias("_s"),
                      c(label).cast("double").alias("_y"),
                      (uniform(c(id_col) if id_col else F.xxhash64(*map(c, feats)), seed + 4_000) < validation).alias("_val")).persist()
     cols = [f"_x{i}" for i in range(len(feats))]
-    params = _init_gate(len(feats), int(k), seed=seed)
-    shapes, zeros = [p.shape for p in params], [np.zeros_like(p) for p in params]
-    moments, steps = (zeros, [z.copy() for z in zeros]), 0
-    best, best_loss, stale = params, math.inf, 0
-    schema = "state binary, n long, steps long, loss double, n_val long"
-    sc = df.sparkSession.sparkContext
-
-    def flat(groups):
-        return np.concatenate([p.ravel() for g in groups for p in g])
-
-    def unflat(v):
-        out, at = [], 0
-        for shape in shapes * 3:
-            size = int(np.prod(shape))
-            out.append(v[at:at + size].reshape(shape))
-            at += size
-        return [out[i:i + len(shapes)] for i in range(0, len(out), len(shapes))]
-
-    for epoch in range(epochs + 1):           # the last round only measures the final weights
-        shared = sc.broadcast((flat([params, *moments]), steps, lr))
-
-        def local(it, shared=shared, train=epoch < epochs, epoch=epoch):
-            state, done, rate = shared.value
-            start = unflat(state)[0]
-            (own, m, v), n, n_val, loss, here = unflat(state.copy()), 0, 0, 0.0, done
-            rng = np.random.default_rng([seed, epoch])
-            for pdf in it:
-                x = np.nan_to_num(pdf[cols].to_numpy(dtype=float))
-                s = np.stack(pdf["_s"].to_numpy()) if len(pdf) else np.zeros((0, 1))
-                y, val = pdf["_y"].to_numpy(), pdf["_val"].to_numpy(bool)
-                if val.any():
-                    loss += _gate_loss(start, x[val], s[val], y[val])[3]
-                    n_val += int(val.sum())
-                order = rng.permutation(np.flatnonzero(~val)) if train else np.zeros(0, int)
-                n += len(order)
-                for at in range(0, len(order), batch):
-                    rows = order[at:at + batch]
-                    here += 1
-                    for i, g in enumerate(_gate_gradient(own, x[rows], s[rows], y[rows])):
-                        m[i] = 0.9 * m[i] + 0.1 * g
-                        v[i] = 0.999 * v[i] + 0.001 * g * g
-                        own[i] = own[i] - rate * (m[i] / (1 - 0.9 ** here)) / (np.sqrt(v[i] / (1 - 0.999 ** here)) + 1e-8)
-            yield pd.DataFrame({"state": [flat([own, m, v]).tobytes()], "n": [n], "steps": [here], "loss": [loss], "n_val": [n_val]})
-
-        parts = data.mapInPandas(local, schema).collect()       # one small row per partition
-        shared.unpersist()
-        loss = sum(r["loss"] for r in parts) / max(1, sum(r["n_val"] for r in parts))
-        if loss < best_loss - 1e-6:
-            best, best_loss, stale = params, loss, 0
-        else:
-            stale += 1
-            if stale >= patience:
-                break
-            if stale % lr_patience == 0:
-                lr = lr / 2
-        rows = sum(r["n"] for r in parts)
-        if not rows:
-            break
-        mean = sum(np.frombuffer(r["state"]) * (r["n"] / rows) for r in parts if r["n"])
-        params, *moments = unflat(mean)
-        steps = max(r["steps"] for r in parts)
+
+    def arrays(pdf):
+        s = np.stack(pdf["_s"].to_numpy()) if len(pdf) else np.zeros((0, int(k)))
+        return np.nan_to_num(pdf[cols].to_numpy(dtype=float)), s, pdf["_y"].to_numpy()
+
+    best, best_loss = N.fit_epochs(
+        data, arrays, _init_gate(len(feats), int(k), seed=seed), lambda p, x, s, y: _gate_loss(p, x, s, y)[3],
+        lambda p, rng, x, s, y: _gate_gradient(p, x, s, y), epochs=epochs, lr=lr, batch=batch, patience=patience,
+        lr_patience=lr_patience, seed=seed)
     data.unpersist()
     layers = [(best[2 * i].tolist(), best[2 * i + 1].tolist(), "relu" if i < len(best) // 2 - 1 else "linear")
               for i in range(len(best) // 2)]
@@ -427,23 +309,9 @@ def train_gate(df: DataFrame, features: Sequence[str], scores: str, label: str,
 
 
 def gate_weights(df: DataFrame, gate: dict, out: str = "weights") -> DataFrame:
-    """Apply the trained gate as scalar column arithmetic (weights as literals,
-    whole-stage codegen); every layer is its own projection, the output is the
-    stable softmax of the last layer as an array."""
-    base = df.columns
-    t = df.select("*", *[c(f).cast("double").alias(f"_h0_{i}") for i, f in enumerate(gate["features"])])
-    prev = [f"_h0_{i}" for i in range(len(gate["features"]))]
-    for li, (W, b, act) in enumerate(gate["layers"]):
-        cols = []
-        for j in range(len(b)):
-            z = _lin([(W[i][j], F.col(prev[i])) for i in range(len(prev))], b[j])
-            cols.append((F.greatest(z, F.lit(0.0)) if act == "relu" else z).alias(f"_h{li + 1}_{j}"))
-        t = t.select("*", *cols)
-        prev = [f"_h{li + 1}_{j}" for j in range(len(b))]
-    m = F.greatest(*[F.col(x) for x in prev])
-    t = t.select("*", *[F.exp(F.col(x) - m).alias(f"_e{j}") for j, x in enumerate(prev)])
-    tot = sum((F.col(f"_e{j}") for j in range(len(prev))), F.lit(0.0))
-    return t.select(*[c(x) for x in base], F.array(*[F.col(f"_e{j}") / tot for j in range(len(prev))]).alias(out))
+    """The gate's softmax weights as an array column."""
+    t, last = N.apply_layers(df, gate["features"], gate["layers"], "_gate")
+    return t.select(*[c(x) for x in df.columns], S.softmax_scalars([F.col(x) for x in last]).alias(out))
 
 
 # F18 / F20 ----------------------------------------------------------------------------
@@ -458,26 +326,3 @@ def pca_2d(df: DataFrame, vec_col: str, k: int = 2) -> tuple[DataFrame, list[flo
     m = PCA(k=k, inputCol="_x", outputCol="_pc").fit(v)
     out = m.transform(v).withColumn("pc", vector_to_array("_pc")).drop("_x", "_pc")
     return out, [float(x) for x in m.explainedVariance.toArray()]
-
-
-# A7 bundle ------------------------------------------------------------------------------
-BUNDLE_VERSION = "1"
-
-
-def save_bundle(spark, path: str, models: dict[str, PipelineModel], manifest: dict) -> None:
-    for name, m in models.items():
-        m.write().overwrite().save(f"{path}/{name}")
-    doc = {**manifest, "bundle_version": BUNDLE_VERSION, "models": sorted(models)}
-    spark.createDataFrame([(json.dumps(doc),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/manifest")
-
-
-def load_bundle(spark, path: str, features: Sequence[str] | None = None) -> tuple[dict, dict]:
-    """Load models and manifest; check the bundle version and the feature order."""
-    doc = json.loads(spark.read.text(f"{path}/manifest").first()["value"])
-    if doc.get("bundle_version") != BUNDLE_VERSION:
-        raise ValueError(f"bundle version {doc.get('bundle_version')} != {BUNDLE_VERSION}")
-    if features is not None and list(features) != doc.get("features"):
-        raise ValueError("feature order of the bundle differs from the caller's")
-    models = {name: PipelineModel.load(f"{path}/{name}") for name in doc["models"]}
-    return models, doc

@@ -1,16 +1,22 @@
 """Catalogue: detectors, calibration, gate, batch scoring and bundles (F1-F9, F13,
 F14, F18, F20, A7).  Training is iterative / seeded, so these queries are
-checked by row count; ``row_mse`` has a SQL oracle."""
+checked by row count; ``row_mse`` and ``bundle_roundtrip`` have a SQL oracle."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.exprs import sig as ssig, uniform
+from flowlens.operators import boosting as Bo
+from flowlens.operators import bundle as B
 from flowlens.operators import clean as C
 from flowlens.operators import evaluate as G
 from flowlens.operators import models as Mo
+from flowlens.operators import neural as N
 from flowlens.operators import project as P
 from flowlens.operators import score as S
 from flowlens.operators import split as E
@@ -21,6 +27,7 @@ from flowlens.plans.views import view
 from flowlens.session import scratch_path
 
 FEATS = P.UNIFIED_FEATURES
+SLICES, MIN_SLICE_ROWS = ("eMBB", "mMTC", "URLLC"), 10
 INJECTION_SEEDS = {"val": 101, "test": 202}
 VALIDATION_SEED, VALIDATION_SHARE = 303, 0.1
 _CACHE: dict = {}
@@ -110,14 +117,22 @@ def q_train_rf(spark, sf):
     return _metrics(Mo.positive_probability(m.transform(table_5g(spark, sf).where("split = 'test'"))))
 
 
+def gbt_model(spark, sf):
+    key = _key(spark, sf, "gbt")
+    if key not in _CACHE:
+        t = table_5g(spark, sf).where("split = 'train'")
+        p = dict(Bo.GBT_PARAMS)
+        _CACHE[key] = Bo.fit_boosted(t, FEATS, "Label", id_col="id", positive_floor=0.0,
+                                     validation=uniform(F.col("id"), VALIDATION_SEED) < VALIDATION_SHARE, **p)[""]
+    return _CACHE[key]
+
+
 @query("train_gbt")
 def q_train_gbt(spark, sf):
-    """F2: boosted trees (500 rounds, lr 0.05, depth 6, 0.8 row / column sampling, positive
-    weight, early stopping on an inner 10 % validation indicator); test metrics."""
-    t = table_5g(spark, sf).where("split = 'train'")
-    t = Mo.positive_weight(t, "Label").withColumn("is_val", uniform(F.col("id"), VALIDATION_SEED) < VALIDATION_SHARE)
-    m = Mo.train_gbt(t, FEATS, "Label", weight="w", validation="is_val")
-    return _metrics(Mo.positive_probability(m.transform(table_5g(spark, sf).where("split = 'test'"))))
+    """F2: second-order boosted trees (up to 500 rounds, lr 0.05, depth 6, 0.8 row / column sampling,
+    leaf L2, positive weight, stop 20 rounds after the best log loss of an inner 10 %); test metrics."""
+    te = table_5g(spark, sf).where("split = 'test'").select("id", "Label", *FEATS)
+    return _metrics(te.withColumn("p", Bo.boosted_probability({"": gbt_model(spark, sf)}, FEATS)[0]))
 
 
 @query("train_lr")
@@ -129,11 +144,13 @@ def q_train_lr(spark, sf):
     return _metrics(Mo.positive_probability(m.transform(te)))
 
 
-def slice_experts(spark, sf):
+def slice_experts(spark, sf) -> dict[str, dict]:
+    """The boosted trees of the three slices, grown in the same jobs (rows of 'ALL' feed every slice)."""
     key = _key(spark, sf, "slices")
     if key not in _CACHE:
         t = scaled(table_5g(spark, sf).where("split = 'train'"), spark, sf)
-        _CACHE[key] = Mo.train_slice_experts(t, FEATS, "Label", "slice")
+        members = {s: F.col("slice").isin(s, "ALL") for s in SLICES}
+        _CACHE[key] = Bo.fit_boosted(t, FEATS, "Label", members, "id", min_rows=MIN_SLICE_ROWS, **Bo.SLICE_GBT_PARAMS)
     return _CACHE[key]
 
 
@@ -141,11 +158,11 @@ def slice_experts(spark, sf):
 def q_train_slice_experts(spark, sf):
     """one boosted-tree expert per slice (200 x depth 5, lr 0.1, positive weight); test metrics per slice."""
     ex = slice_experts(spark, sf)
-    te = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf)
+    te = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf).withColumn("raw", Bo.boosted_probability(ex, FEATS))
+    te = te.select("slice", "Label", "raw").persist()
     out = None
-    for s, m in ex.items():
-        part = Mo.positive_probability(m.transform(te.where(F.col("slice") == s)))
-        r = _metrics(part).select(F.lit(s).alias("slice"), "*")
+    for i, s in enumerate(ex):
+        r = _metrics(te.where(F.col("slice") == s).withColumn("p", F.col("raw")[i])).select(F.lit(s).alias("slice"), "*")
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -171,6 +188,33 @@ def q_recon_error(spark, sf):
     return out
 
 
+def networks(spark, sf) -> dict[str, dict]:
+    """The dense reconstruction detector of each protocol, fit on benign training rows."""
+    key = _key(spark, sf, "nets")
+    if key not in _CACHE:
+        t = scaled(table_6g(spark, sf).where("split = 'train' AND Label = 0"), spark, sf).select("id", "proto", *FEATS).persist()
+
+        def fit(pr):
+            return f"{pr}_AE", N.fit_dense_autoencoder(t.where(F.col("proto") == pr), FEATS, "id")
+
+        with ThreadPoolExecutor(2) as pool:              # two independent fits
+            _CACHE[key] = dict(pool.map(fit, ("TCP", "UDP")))
+        t.unpersist()
+    return _CACHE[key]
+
+
+@query("recon_error_dense")
+def q_recon_error_dense(spark, sf):
+    """F5 (b)/F6: dense network 16-10-6-10-16 per protocol (normalisation, dropout, early stop), fit on
+    benign training rows; per-row reconstruction error on test."""
+    te = scaled(table_6g(spark, sf).where("split = 'test'"), spark, sf)
+    out = None
+    for name, net in networks(spark, sf).items():
+        r = N.network_error(te.where(F.col("proto") == name[:3]), net).select("id", "proto", "Label", "mse")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @query("row_mse", f"""
 WITH x AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS pos FROM embeddings),
 c AS (SELECT label, pos, avg(CAST(v AS DOUBLE)) AS m FROM x GROUP BY label, pos)
@@ -205,9 +249,12 @@ def expert_calibrators(spark, sf):
     """Platt calibrators of the slice experts, fit on the 5G validation rows."""
     key = _key(spark, sf, "cal5")
     if key not in _CACHE:
+        ex = slice_experts(spark, sf)
         val = scaled(table_5g(spark, sf).where("split = 'val'"), spark, sf)
-        _CACHE[key] = {s: Mo.fit_sigmoid_calibrator(Mo.positive_probability(m.transform(val.where(F.col("slice") == s))),
-                                                    "p", "Label") for s, m in slice_experts(spark, sf).items()}
+        val = val.withColumn("raw", Bo.boosted_probability(ex, FEATS)).select("slice", "Label", "raw").persist()
+        _CACHE[key] = {s: Mo.fit_sigmoid_calibrator(val.where(F.col("slice") == s).withColumn("p", F.col("raw")[i]), "p", "Label")
+                       for i, s in enumerate(ex)}
+        val.unpersist()
     return _CACHE[key]
 
 
@@ -216,9 +263,8 @@ def detector_calibrators(spark, sf):
     key = _key(spark, sf, "cal6")
     if key not in _CACHE:
         val = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf)
-        _CACHE[key] = {f"{pr}_AE": Mo.fit_sigmoid_calibrator(
-            Mo.reconstruction_mse(val.where(F.col("proto") == pr), ae), "mse", "Label")
-            for pr, ae in autoencoders(spark, sf).items()}
+        _CACHE[key] = {name: Mo.fit_sigmoid_calibrator(N.network_error(val.where(F.col("proto") == name[:3]), net), "mse", "Label")
+                       for name, net in networks(spark, sf).items()}
     return _CACHE[key]
 
 
@@ -240,24 +286,13 @@ def q_mse_sigmoid(spark, sf):
                                  "expert string, a double, b double")
 
 
+def fitted_pipeline(spark, sf, gate: dict):
+    return B.assemble(scaler(spark, sf), slice_experts(spark, sf), networks(spark, sf), calibrators(spark, sf), gate)
+
+
 def expert_vector(df: DataFrame, spark, sf) -> DataFrame:
-    """calibrated five-expert score vector in fixed order (missing expert -> 0)."""
-    ex, ae, cal = slice_experts(spark, sf), autoencoders(spark, sf), calibrators(spark, sf)
-    d = df
-    cols = []
-    for s in ("eMBB", "mMTC", "URLLC"):
-        if s in ex:
-            d = Mo.positive_probability(ex[s].transform(d), out=f"_raw_{s}").drop("features", "rawPrediction",
-                                                                                   "probability", "prediction")
-            a, b = cal[s]
-            cols.append(S.apply_calibrator(F.col(f"_raw_{s}"), a, b))
-        else:
-            cols.append(None)
-    for pr in ("TCP", "UDP"):
-        d = Mo.reconstruction_mse(d, ae[pr], out=f"_mse_{pr}")
-        a, b = cal[f"{pr}_AE"]
-        cols.append(S.apply_calibrator(F.col(f"_mse_{pr}"), a, b))
-    return d.withColumn("scores", S.expert_score_vector(cols))
+    """calibrated five-expert score vector of scaled rows in fixed order (missing expert -> 0)."""
+    return B.expert_stages(fitted_pipeline(spark, sf, {"layers": [], "features": FEATS})).transform(df)
 
 
 def gate_model(spark, sf):
@@ -265,8 +300,7 @@ def gate_model(spark, sf):
     if key not in _CACHE:
         v5 = scaled(table_5g(spark, sf).where("split = 'val'"), spark, sf).select("id", "Label", *FEATS)
         v6 = scaled(table_6g(spark, sf).where("split = 'val'"), spark, sf).select("id", "Label", *FEATS)
-        val = expert_vector(v5.withColumn("domain", F.lit("5G")).unionByName(v6.withColumn("domain", F.lit("6G"))),
-                            spark, sf)
+        val = expert_vector(v5.unionByName(v6), spark, sf)
         # the frozen expert scores are stored once, so no epoch carries the expert models
         path = scratch_path(spark, "expert_scores")
         val.select("id", "Label", "scores", *FEATS).write.parquet(path)
@@ -279,23 +313,33 @@ def q_train_gate(spark, sf):
     """gate 16-32-16-softmax(5) trained through the combiner on validation rows of both
     generations (frozen expert scores); mean test weight per domain and expert."""
     g = gate_model(spark, sf)
+    w = Mo.gate_weights(test_rows(spark, sf), g)
+    return G.mean_weight_by(w, "weights", "domain", S.EXPERT_NAMES)
+
+
+def test_rows(spark, sf) -> DataFrame:
+    """Scaled test rows of both generations with their domain."""
     t5 = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf).select("id", "Label", *FEATS)
     t6 = scaled(table_6g(spark, sf).where("split = 'test'"), spark, sf).select("id", "Label", *FEATS)
-    te = t5.withColumn("domain", F.lit("5G")).unionByName(t6.withColumn("domain", F.lit("6G")))
-    w = Mo.gate_weights(te, g)
-    return G.mean_weight_by(w, "weights", "domain", S.EXPERT_NAMES)
+    return t5.withColumn("domain", F.lit("5G")).unionByName(t6.withColumn("domain", F.lit("6G")))
+
+
+def stored_bundle(spark, sf) -> str:
+    """Folder of the trained bundle; it is trained and written once per application."""
+    key = _key(spark, sf, "bundle")
+    if key not in _CACHE:
+        path = scratch_path(spark, "bundle")
+        B.save_bundle(spark, path, fitted_pipeline(spark, sf, gate_model(spark, sf)), {"seed": Mo.SEED})
+        _CACHE[key] = path
+    return _CACHE[key]
 
 
 def score_batch(batch: DataFrame, spark, sf, threshold: float = S.DEFAULT_THRESHOLD) -> DataFrame:
-    """detect -> project -> sanitise -> scale -> experts -> gate -> threshold (one narrow plan)."""
-    schema, proj = P.project_auto(batch, keep=[batch.columns[0]])
-    proj = C.sanitize(proj, FEATS).withColumnRenamed(batch.columns[0], "id")
-    d = expert_vector(scaled(proj, spark, sf), spark, sf)
-    d = Mo.gate_weights(d, gate_model(spark, sf))
-    d = d.withColumn("prob", S.weighted_combine(F.col("weights"), F.col("scores")))
-    return d.select("id", F.lit(schema).alias("schema_name"), "prob",
-                    (F.col("prob") >= threshold).cast("int").alias("pred"),
-                    S.dominant_expert(F.col("weights")).alias("dominant_expert"), "scores", "weights")
+    """detect -> project -> sanitise -> scale -> experts -> gate -> threshold (one narrow plan),
+    by the pipeline loaded from the stored bundle."""
+    model, _ = B.load_bundle(spark, stored_bundle(spark, sf), FEATS)
+    out = B.with_threshold(model, threshold).transform(batch)
+    return out.select("id", "schema_name", "prob", "pred", "dominant_expert", "scores", "weights")
 
 
 @query("score_batch")
@@ -307,9 +351,8 @@ def q_score_batch(spark, sf):
 
 @query("expert_scores_trained")
 def q_expert_scores_trained(spark, sf):
-    """F11 with trained experts and calibrators on the 5G test rows."""
-    te = scaled(table_5g(spark, sf).where("split = 'test'"), spark, sf).select("id", "Label", *FEATS)
-    return expert_vector(te, spark, sf).select("id", "Label", "scores")
+    """F11 with trained experts and calibrators on the test rows of both generations."""
+    return expert_vector(test_rows(spark, sf), spark, sf).select("domain", "id", "Label", "scores")
 
 
 @query("importance")
@@ -339,13 +382,19 @@ def q_pca_2d(spark, sf):
     return out.select("vec_id", "label", "pc", F.array(*[F.lit(x) for x in ev]).alias("explained_variance"))
 
 
-@query("bundle_roundtrip")
+@query("bundle_roundtrip", """
+SELECT '5G' AS domain, count(*) AS n_rows, count(*) AS n_equal FROM flows_5g
+UNION ALL SELECT '6G', count(*), count(*) FROM flows_6g""", ("flows_5g", "flows_6g"))
 def q_bundle_roundtrip(spark, sf):
-    """Save the forest and slice experts with a manifest, reload with version and
-    feature-order checks, and score the test rows with the reloaded models."""
-    path = scratch_path(spark, "bundle")
-    models = {"rf": rf_model(spark, sf), **{f"slice_{k}": v for k, v in slice_experts(spark, sf).items()}}
-    Mo.save_bundle(spark, path, models, {"features": FEATS, "seed": Mo.SEED, "scaler": scaler(spark, sf)})
-    loaded, _doc = Mo.load_bundle(spark, path, FEATS)
-    te = table_5g(spark, sf).where("split = 'test'")
-    return Mo.positive_probability(loaded["rf"].transform(te)).select("id", "Label", "p")
+    """Save the whole detector with a manifest, reload it with version, part and feature-order
+    checks, and score every row of both generations with both: rows of equal probability."""
+    kept = fitted_pipeline(spark, sf, gate_model(spark, sf))
+    loaded, _ = B.load_bundle(spark, stored_bundle(spark, sf), FEATS)
+    rows = (table_5g(spark, sf).select("id", *FEATS).withColumn("domain", F.lit("5G"))
+            .unionByName(split_6g(spark, sf).select("id", *FEATS).withColumn("domain", F.lit("6G"))))
+
+    def scored(model, out):
+        return PipelineModel(model.stages[1:]).transform(rows).select("domain", "id", F.col("prob").alias(out))
+
+    both = scored(kept, "p").join(scored(loaded, "q"), ["domain", "id"])
+    return both.groupBy("domain").agg(F.count(F.lit(1)).alias("n_rows"), F.sum((F.col("p") == F.col("q")).cast("long")).alias("n_equal"))
