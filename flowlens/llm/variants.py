@@ -15,7 +15,7 @@ word and once by the mirrored word, and every shard gets its own index.  A query
 half is a prefix in one of the two orders, so its matches lie in one shard or in
 neighbouring ones; a query that reaches over a border visits those too.  Words are
 distinct, so no frequent word makes a shard larger.  Intervals of at most ``SMALL``
-words are ended by comparing the located words.
+words are ended by comparing the located words (longer ones go on).
 
 Words come from whole texts.  A NULL text has none; a NULL id counts as the empty
 string in ``<doc_id>:<run>``; repeated rows count again; of words of equal count the
@@ -44,8 +44,8 @@ RUN = re.compile("[A-Za-zÀ-ÿ]+")
 DAMAGE = 31                  # one in so many (document, run) pairs loses a code point
 MIN_LENGTH, MIN_COUNT, FORM_RATIO = 7, 2, 10
 # --------------------------------------------------------------------------------
-SHARD_WORDS = 100_000
-SMALL = 8
+SHARD_WORDS = 25_000
+SMALL = 1
 HELD = 200_000               # words that a task counts before it passes them on
 QUERIES = 20_000             # queries that a shard searches at once
 _LOWER = bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode())
