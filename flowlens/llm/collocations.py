@@ -10,10 +10,10 @@ Words travel as 64-bit hashes of (language, word).  The table of words, grouped
 shows any two words of one hash; the job then starts again with another seed, so equal
 hashes always mean equal words.
 
-A phrase with at least ``min_count`` occurrences only holds words and word pairs with as
-many, so a window ends before the first word or pair that is proven rarer.  The proof is
+A phrase with at least ``min_count`` occurrences only holds words and shorter phrases with
+as many, so a window ends before the word at which it is proven rarer.  The proof is
 a count per hash bucket (never below the true count); the bitmaps of frequent buckets
-have a fixed largest size (2^27 bits).  They only shorten windows that can't matter: the
+grow with the corpus up to a fixed size (2^28 bits).  They only shorten windows that can't matter: the
 results are the same without them, at any size.
 
 Everything is per language (NULL: ``und``).  A NULL text is empty; repeated rows count
@@ -38,7 +38,8 @@ LONGEST, MIN_COUNT, SCALE, TOP = 4, 30, 2_000_000, 2000
 COVER_PART, COVER_WHOLE = 100, 80          # drop if 100 f(longer) >= 80 f
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 # --------------------------------------------------------------------------------
-LEAST_BITS, MOST_BITS, CELL_BITS = 20, 27, 18
+LEAST_BITS, MOST_BITS, CELL_BITS = 20, 28, 18
+HELD_GRAMS = 6_000_000            # phrases that a task counts before it passes them on
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BREAK = np.zeros(256, bool)
@@ -55,7 +56,7 @@ def cut(texts: list, langs: list, seed: int):
     ok = ~_GAP[data]
     edge = np.diff(ok.astype(np.int8), prepend=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.cumsum(_BREAK[data])[starts]
+    piece = np.searchsorted(np.flatnonzero(_BREAK[data]), starts)
     base = np.cumsum([0] + [len(r) + 1 for r in raw])
     owner = np.searchsorted(base, starts, "right") - 1
     named = {l: run_hashes(np.frombuffer(l.encode("utf-8", "surrogatepass") or b"\0", np.uint8), np.array([0]),
@@ -73,7 +74,7 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def word_table(rows: DataFrame, seed: int) -> DataFrame:
-    """(id, lang, word, n, other): words by hash; other differs from word if two share the hash."""
+    """(id, lang, word, n): all words with their hashes."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, langs = pdf["text"].tolist(), pdf["lang"].tolist()
@@ -88,10 +89,8 @@ def word_table(rows: DataFrame, seed: int) -> DataFrame:
                 yield pd.DataFrame({"id": ids.view(np.int64), "lang": [langs[s + i] for i in owner[at].tolist()],
                                     "word": words, "n": n})
 
-    name = F.struct("lang", "word")
-    return (rows.mapInPandas(count, "id long, lang string, word string, n long").groupBy("id")
-            .agg(F.min(name).alias("a"), F.max(name).alias("b"), F.sum("n").alias("n"))
-            .select("id", "a.lang", "a.word", "n", (F.col("a") != F.col("b")).alias("clash")))
+    return (rows.mapInPandas(count, "id long, lang string, word string, n long")
+            .groupBy("id", "lang", "word").agg(F.sum("n").alias("n")))
 
 
 def frequent_words(words: DataFrame, bits: int, least: int) -> np.ndarray:
@@ -104,16 +103,16 @@ def frequent_words(words: DataFrame, bits: int, least: int) -> np.ndarray:
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         on = np.zeros(1 << CELL_BITS, bool)
         on[pdf["bit"].to_numpy()] = True
-        return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "map": [np.packbits(on).tobytes()]})
+        return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "map": [zstandard.compress(np.packbits(on).tobytes(), 1)]})
 
-    return _assembled(marks.distinct().groupBy("cell").applyInPandas(pack, "cell long, map binary"), bits)
+    return _assembled(marks.distinct().groupBy("cell").applyInPandas(pack, "cell long, map binary").collect(), bits)   # at most 2^MOST_BITS bits
 
 
-def _assembled(maps: DataFrame, bits: int) -> np.ndarray:
+def _assembled(maps: list, bits: int) -> np.ndarray:
     out = np.zeros((1 << bits) // 8, np.uint8)
     size = (1 << CELL_BITS) // 8
-    for r in maps.toLocalIterator():                 # at most 2^MOST_BITS bits
-        out[r["cell"] * size:(r["cell"] + 1) * size] = np.frombuffer(r["map"], np.uint8)
+    for r in maps:
+        out[r["cell"] * size:(r["cell"] + 1) * size] = np.frombuffer(zstandard.decompress(r["map"]), np.uint8)
     return out
 
 
@@ -122,47 +121,68 @@ def _on(bitmap: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def frequent_pairs(rows: DataFrame, seed: int, known, bits: int, least: int) -> np.ndarray:
-    """Packed bitmap of the hash buckets whose word pairs of known words add up to ``least``.
+def gram_hashes(h: np.ndarray, ok: np.ndarray, piece: np.ndarray):
+    """(order, first word of each phrase of known words inside a piece, its hash) for orders 2 to 4."""
+    at, value = np.flatnonzero(ok), h[ok]
+    for k in range(2, LONGEST + 1):
+        inside = at + k - 1 < len(h)
+        at, value = at[inside], value[inside]
+        joined = ok[at + k - 1] & (piece[at] == piece[at + k - 1])
+        at, value = at[joined], pair_hash(value[joined], h[at[joined] + k - 1])
+        yield k, at, value
 
-    Every slice passes on its bucket counts in packed cells of 2^18 buckets; a cell's
-    arrays are added up in one task, so a frequent pair is one number there.
+
+def frequent_grams(rows: DataFrame, seed: int, known, bits: int, least: int) -> list[np.ndarray]:
+    """Packed bitmaps, for phrases of two to four words, of the hash buckets that add up to ``least``.
+
+    A task passes on its bucket counts in packed cells of 2^18 buckets; a cell's arrays are
+    added up in one task, so a frequent phrase is one number there.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         zip_ = zstandard.ZstdCompressor(level=1)
-        for pdf in batches:
-            texts, langs = pdf["text"].tolist(), pdf["lang"].tolist()
-            for s, e in slices(texts, 16_000_000):
-                _, _, _, h, _, piece = cut(texts[s:e], langs[s:e], seed)
-                ok = _on(known.value, bits, h)
-                both = ok[:-1] & ok[1:] & (piece[:-1] == piece[1:])
-                at = (pair_hash(h[:-1][both], h[1:][both]) & np.uint64((1 << bits) - 1)).astype(np.int64)
-                at, n = np.unique(at, return_counts=True)
-                if not len(at):
-                    continue
+
+        def cells(held):
+            for k, parts in held.items():
+                at, n = np.unique(np.concatenate(parts), return_counts=True)
                 n = np.minimum(n, least).astype(np.uint16)
-                cells = at >> CELL_BITS
-                first = np.flatnonzero(np.diff(cells, prepend=-1))
+                cell = at >> CELL_BITS
+                first = np.flatnonzero(np.diff(cell, prepend=-1))
                 for a, b in zip(first.tolist(), [*first[1:].tolist(), len(at)], strict=True):
                     inner = (at[a:b] & ((1 << CELL_BITS) - 1)).astype(np.uint32)
                     gaps = np.diff(inner, prepend=np.uint32(0)).astype(np.uint32)
-                    yield pd.DataFrame({"cell": [int(cells[a])], "size": [b - a],
-                                        "packed": [zip_.compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes() + n[a:b].tobytes())]})
+                    packed = gaps.view(np.uint8).reshape(-1, 4).T.tobytes() + n[a:b].tobytes()
+                    yield pd.DataFrame({"size": [k], "cell": [int(cell[a])], "n": [b - a], "packed": [zip_.compress(packed)]})
+
+        held, room = {}, HELD_GRAMS
+        for pdf in batches:
+            texts, langs = pdf["text"].tolist(), pdf["lang"].tolist()
+            for s, e in slices(texts):
+                _, _, _, h, _, piece = cut(texts[s:e], langs[s:e], seed)
+                for k, at, value in gram_hashes(h, _on(known.value, bits, h), piece):
+                    if len(at):
+                        held.setdefault(k, []).append((value & np.uint64((1 << bits) - 1)).astype(np.int32))
+                        room -= len(at)
+                if room < 0:
+                    yield from cells(held)
+                    held, room = {}, HELD_GRAMS
+        yield from cells(held)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << CELL_BITS, np.int64)
         unzip = zstandard.ZstdDecompressor()
-        for size, packed in zip(pdf["size"].tolist(), pdf["packed"], strict=True):
+        for size, packed in zip(pdf["n"].tolist(), pdf["packed"], strict=True):
             body = unzip.decompress(packed)
             gaps = np.frombuffer(body, np.uint8, 4 * size).reshape(4, size).T.copy().view(np.uint32).ravel()
             total[np.cumsum(gaps, dtype=np.int64)] += np.frombuffer(body, np.uint16, size, 4 * size)
-        return pd.DataFrame({"cell": pdf["cell"].iloc[:1], "map": [np.packbits(total >= least).tobytes()]})
+        return pd.DataFrame({"size": pdf["size"].iloc[:1], "cell": pdf["cell"].iloc[:1],
+                             "map": [zstandard.compress(np.packbits(total >= least).tobytes(), 1)]})
 
-    found = rows.mapInPandas(count, "cell long, size int, packed binary")
-    return _assembled(found.groupBy("cell").applyInPandas(add, "cell long, map binary"), bits)
+    found = rows.mapInPandas(count, "size int, cell long, n int, packed binary")
+    maps = found.groupBy("size", "cell").applyInPandas(add, "size int, cell long, map binary").collect()   # at most 3 * 2^MOST_BITS bits
+    return [_assembled([r for r in maps if r["size"] == k], bits) for k in range(2, LONGEST + 1)]
 
 
-def lead_windows(rows: DataFrame, seed: int, known, pairs, bits: int) -> DataFrame:
+def lead_windows(rows: DataFrame, seed: int, known, grams, bits: int) -> DataFrame:
     """(w1, w2, w3, w4, n): the longest window of every word, padded with NULL."""
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -170,15 +190,13 @@ def lead_windows(rows: DataFrame, seed: int, known, pairs, bits: int) -> DataFra
             for s, e in slices(texts):
                 _, _, _, h, _, piece = cut(texts[s:e], langs[s:e], seed)
                 ok = _on(known.value, bits, h)
-                pad = np.zeros(LONGEST - 1, np.uint64)
-                word = np.concatenate([np.where(ok, h, 0).astype(np.uint64), pad])
-                joined = np.zeros(len(word), bool)                    # a word and the one before it
-                both = np.flatnonzero(ok[:-1] & ok[1:] & (piece[:-1] == piece[1:]))
-                joined[both + 1] = _on(pairs.value, bits, pair_hash(h[both], h[both + 1]))
-                n, lead, go = len(h), [word[:len(h)]], ok
-                for k in range(1, LONGEST):
-                    go = go & joined[k:n + k]
-                    lead.append(np.where(go, word[k:n + k], 0).astype(np.uint64))
+                lead = [np.where(ok, h, 0).astype(np.uint64)]
+                go = ok
+                for (k, at, value), bitmap in zip(gram_hashes(h, ok, piece), grams.value, strict=True):
+                    frequent = np.zeros(len(h), bool)
+                    frequent[at[_on(bitmap, bits, value)]] = True
+                    go = go & frequent
+                    lead.append(np.where(go, np.concatenate([h[k - 1:], np.zeros(min(k - 1, len(h)), np.uint64)])[:len(h)], 0).astype(np.uint64))
                 alone, times = np.unique(lead[0][ok & (lead[1] == 0)], return_counts=True)
                 long = lead[1] != 0
                 cols = [np.concatenate([x[long], alone if i == 0 else np.zeros(len(alone), np.uint64)]).view(np.int64)
@@ -209,14 +227,14 @@ def collocations(df: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) -> D
     seed = 0
     while True:
         words = materialize(word_table(rows, seed), "words")
-        facts = words.agg(F.sum("n").alias("n"), F.max("clash").alias("clash")).first()
-        if not facts["clash"]:
+        if not words.groupBy("id").count().where("count > 1").limit(1).count():
             break
         seed += 1
-    bits = min(MOST_BITS, max(LEAST_BITS, int((facts["n"] or 1) // 4).bit_length()))
+    total = words.agg(F.sum("n")).first()[0] or 1
+    bits = min(MOST_BITS, max(LEAST_BITS, int(total // 4).bit_length()))
     known = spark.sparkContext.broadcast(frequent_words(words, bits, min_count))
-    pairs = spark.sparkContext.broadcast(frequent_pairs(rows, seed, known, bits, min_count))
-    counts = materialize(phrase_counts(lead_windows(rows, seed, known, pairs, bits), min_count), "phrases")
+    grams = spark.sparkContext.broadcast(frequent_grams(rows, seed, known, bits, min_count))
+    counts = materialize(phrase_counts(lead_windows(rows, seed, known, grams, bits), min_count), "phrases")
     kept = materialize(score(counts), "candidates")
 
     names = words.where(F.col("n") >= min_count).select("id", "lang", "word")

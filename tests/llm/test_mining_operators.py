@@ -146,10 +146,9 @@ def test_collocations_do_not_depend_on_bitmaps_or_seed(spark, monkeypatch):
     from flowlens.llm import collocations as c
     rows = collocation_rows()
     want = table_of(c.collocations(frame(spark, rows), 5, 100))
-    monkeypatch.setattr(c, "_on", lambda bitmap, bits, hashes: np.ones(len(hashes), bool))
-    # workers import the module anew: prune nothing by a bound of one occurrence instead
+    # full bitmaps prune nothing
     monkeypatch.setattr(c, "frequent_words", lambda words, bits, least: np.full((1 << bits) // 8, 255, np.uint8))
-    monkeypatch.setattr(c, "frequent_pairs", lambda rows, seed, known, bits, least: np.full((1 << bits) // 8, 255, np.uint8))
+    monkeypatch.setattr(c, "frequent_grams", lambda rows, seed, known, bits, least: [np.full((1 << bits) // 8, 255, np.uint8)] * 3)
     assert table_of(c.collocations(frame(spark, rows), 5, 100)) == want
 
 
