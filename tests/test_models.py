@@ -1,4 +1,4 @@
-"""Detectors, calibrators, gate and bundle on small fits (shapes and ranges)."""
+"""Detectors, calibrators, gate and bundle on small fits."""
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,16 +49,113 @@ def test_gate_weights_are_a_distribution(data):
     assert r[0] < 1e-9 and r[1] >= 0
 
 
-def test_bundle_roundtrip_checks_features(spark, data, tmp_path):
-    m = Mo.train_rf(data, FEATS, "Label", numTrees=5, maxDepth=3)
-    path = str(tmp_path / "bundle")
-    Mo.save_bundle(spark, path, {"rf": m}, {"features": FEATS})
-    models, doc = Mo.load_bundle(spark, path, FEATS)
-    assert "rf" in models and doc["features"] == FEATS
-    with pytest.raises(ValueError):
-        Mo.load_bundle(spark, path, list(reversed(FEATS)))
-
-
 def test_pca_2d(spark):
     out, ev = Mo.pca_2d(view(spark, SF_SMALL, "embeddings"), "embedding", 2)
     assert len(ev) == 2 and out.select(F.size("pc")).first()[0] == 2
+
+
+def test_dense_autoencoder_error_in_sql_and_detection(spark, data):
+    from flowlens.operators import clean as C
+    from flowlens.operators import evaluate as G
+    from flowlens.operators import neural as N
+    scaled = C.standard_scale(data, C.fit_standard_scaler(data.where("Label = 0"), P.NUMERIC_FEATURES)).persist()
+    net = N.fit_dense_autoencoder(scaled.where("Label = 0"), FEATS, "flow_id", epochs=40)
+    got = N.network_error(scaled, net)
+    # the exported weights, written out in SQL
+    got.createOrReplaceTempView("dense_rows")
+    prev, inner = [f"coalesce(CAST(`{f}` AS DOUBLE), 0)" for f in FEATS], "dense_rows"
+    first, sql = [f"f{i}" for i in range(16)], "SELECT flow_id, mse, " + ", ".join(f"{e} AS f{i}" for i, e in enumerate(prev)) + " FROM dense_rows"
+    names = first
+    for k, (w, b, act) in enumerate(net["layers"]):
+        cols = []
+        for j in range(len(b)):
+            z = " + ".join([f"CAST({b[j]!r} AS DOUBLE)", *[f"CAST({w[i][j]!r} AS DOUBLE) * {n}" for i, n in enumerate(names)]])
+            cols.append(f"{f'greatest({z}, 0)' if act == 'relu' else z} AS l{k}_{j}")
+        sql, names = f"SELECT *, {', '.join(cols)} FROM ({sql})", [f"l{k}_{j}" for j in range(len(b))]
+    error = " + ".join(f"({a} - {n}) * ({a} - {n})" for a, n in zip(first, names))
+    worst = spark.sql(f"SELECT max(abs(({error}) / 16 - mse) / (1 + mse)) AS d, count(*) AS n FROM ({sql})").first()
+    assert worst["d"] < 1e-9 and worst["n"] == data.count()
+    assert len(net["layers"]) == 4 and [len(b) for _, b, _ in net["layers"]] == [10, 6, 10, 16]
+    mean = scaled.where("Label = 0").agg(*[F.var_pop(f).alias(f) for f in FEATS]).first()
+    benign = got.where("Label = 0").agg(F.avg("mse")).first()[0]
+    assert benign < sum(mean) / 16                       # better than the mean row
+    assert G.roc_auc(got, "Label", "mse").first()[0] > 0.8
+
+
+def test_many_partitions_train_like_one(data, monkeypatch):
+    from flowlens.operators import neural as N
+    one = N.fit_dense_autoencoder(data.where("Label = 0"), FEATS, "flow_id", epochs=3)
+    monkeypatch.setattr(N, "BLOCK", 200)
+    many = N.fit_dense_autoencoder(data.where("Label = 0").repartition(4), FEATS, "flow_id", epochs=3)
+    assert many["validation_loss"] < 3 * one["validation_loss"] and [len(b) for _, b, _ in many["layers"]] == [10, 6, 10, 16]
+    none = N.fit_dense_autoencoder(data.where("false"), FEATS, "flow_id", epochs=3)
+    assert [len(b) for _, b, _ in none["layers"]] == [10, 6, 10, 16]
+
+
+def small_pipeline(spark, data):
+    from flowlens.operators import boosting as Bo
+    from flowlens.operators import bundle as B
+    from flowlens.operators import neural as N
+    trees = Bo.fit_boosted(data, FEATS, "Label", {"eMBB": F.lit(True), "URLLC": F.lit(True)}, "flow_id", rounds=5, depth=3)
+    net = N.fit_dense_autoencoder(data.where("Label = 0"), FEATS, "flow_id", epochs=2)
+    scored = data.withColumn("scores", F.array(*[F.col(c) for c in ["u_syn", "u_rst", "u_is_tcp", "u_is_udp", "u_is_other"]]).cast("array<double>"))
+    gate = Mo.train_gate(scored, FEATS, "scores", "Label", epochs=2)
+    moments = {f: (0.5, 2.0) for f in P.NUMERIC_FEATURES}
+    return B.assemble(moments, trees, {"TCP_AE": net}, {"eMBB": (3.0, -1.0)}, gate, {"TCP_AE": (0.0, 5.0)})
+
+
+def test_bundle_roundtrip_and_checks(spark, data, tmp_path):
+    import json
+
+    from pyspark.ml import PipelineModel
+
+    from flowlens.operators import bundle as B
+    model, path = small_pipeline(spark, data), str(tmp_path / "bundle")
+    B.save_bundle(spark, path, model, {"seed": 1})
+    again, doc = B.load_bundle(spark, path, FEATS)
+    assert doc["features"] == FEATS and doc["seed"] == 1
+    rows = data.select(F.col("flow_id").alias("id"), *FEATS)
+
+    def probs(m):
+        return [tuple(r) for r in PipelineModel(m.stages[1:]).transform(rows).select("id", "prob", "pred", "dominant_expert", "scores").orderBy("id").collect()]
+
+    first = probs(model)
+    assert probs(again) == first and all(0 < r[1] < 1 and r[4][1] == r[4][4] == 0.0 for r in first)
+    with pytest.raises(ValueError):
+        B.load_bundle(spark, path, list(reversed(FEATS)))
+    other = str(tmp_path / "other")
+    B.save_bundle(spark, other, model)
+    spark.createDataFrame([(json.dumps(doc | {"bundle_version": "0"}),)], "value string").write.mode("overwrite").text(f"{other}/manifest")
+    with pytest.raises(ValueError):
+        B.load_bundle(spark, other)
+
+
+def test_stream_scores_equal_batch_scores(spark, data, tmp_path):
+    from flowlens.operators import bundle as B
+    from flowlens.plans.q_project import cic_flows, clean_6g_rates
+    from flowlens.streaming import stream as ST
+    path = str(tmp_path / "bundle")
+    B.save_bundle(spark, path, small_pipeline(spark, data))
+    flows = clean_6g_rates(cic_flows(spark, SF_SMALL))
+    want = B.load_bundle(spark, path)[0].transform(flows).select("id", "schema_name", "prob", "pred", "dominant_expert")
+    inp, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    flows.repartition(3).write.parquet(inp)
+    ST.run_to_end(ST.score_stream(spark, inp, flows.schema, ST.bundle_scorer(spark, path), sink, str(tmp_path / "ck")))
+    got = spark.read.parquet(sink)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_trained_gate_prefers_the_good_expert(data):
+    from flowlens.operators import clean as C
+    scaled = C.standard_scale(data, C.fit_standard_scaler(data, P.NUMERIC_FEATURES))
+    d = scaled.withColumn("scores", F.array((F.col("Label") * 0.9 + 0.05), *[F.lit(0.5)] * 4))
+    g = Mo.train_gate(d, FEATS, "scores", "Label", "flow_id", epochs=40, lr=0.01)
+    mean = Mo.gate_weights(d, g).agg(F.avg(F.col("weights")[0])).first()[0]
+    assert mean > 0.6
+
+
+def test_calibrator_separates_classes(data):
+    d = data.withColumn("s", F.col("Label") + F.pmod(F.xxhash64("flow_id"), F.lit(100)) / 60)
+    a, b = Mo.fit_sigmoid_calibrator(d, "s", "Label")
+    r = d.groupBy("Label").agg(F.avg(S.apply_calibrator(F.col("s"), a, b)).alias("p")).orderBy("Label").collect()
+    assert a > 0 and r[1]["p"] > r[0]["p"] + 0.2
