@@ -197,9 +197,12 @@ def cv_summary(fold_metrics: DataFrame, model: str = "model",
 
 # G14
 def mean_weight_by(df: DataFrame, weights: str, by: str, names: Sequence[str]) -> DataFrame:
-    ex = df.select(c(by).alias(by), F.posexplode(c(weights)).alias("pos", "w"))
-    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pos") + 1)
-    return ex.groupBy(by, name.alias("expert")).agg(sig(F.avg("w")).alias("mean_weight"))
+    # averages first: a filter that Spark infers from exploding computed weights would repeat
+    # their whole expression once per layer of the gate
+    g = df.groupBy(by).agg(*[F.avg(F.get(c(weights), F.lit(i))).alias(f"_{i}") for i in range(len(names))])
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("expert"), F.col(f"_{i}").alias("w")) for i, n in enumerate(names)]))
+    long = g.select(c(by).alias(by), pairs.alias("_p")).where("_p.w IS NOT NULL")
+    return long.select(by, "_p.expert", sig(F.col("_p.w")).alias("mean_weight"))
 
 
 # G15
