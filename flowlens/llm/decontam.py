@@ -152,7 +152,10 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item."""
     bad = materialize(contaminated(docs, items).select("doc_id", "_text_hash").distinct(), "contaminated")
     bad = small(bad.select(F.col("doc_id").alias("_bad_id"), F.col("_text_hash").alias("_bad_hash")), bad.count())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_hash")), "left_anti")
+    # the row travels as one struct, so that its columns clash with nothing
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"),
+                       F.xxhash64("text").alias("_hash"))
+    return rows.join(bad, F.col("_id").eqNullSafe(F.col("_bad_id")) & (F.col("_hash") == F.col("_bad_hash")), "left_anti").select("_row.*")
 
 
 ORACLE = r"""

@@ -197,5 +197,14 @@ def op1(df: DataFrame) -> DataFrame:
 
 
 def known_language(df: DataFrame) -> DataFrame:
-    """The rows whose text has a language: those without letters are rejected."""
-    return identify(df).where(F.col("_lid.lang_pred") != UND).drop("_lid")
+    """The rows whose text has a predicted language; rows without letters are rejected.
+
+    Where no language could be learned, nothing can be predicted and every row with a letter stays.
+    """
+    model = fit(df.select("doc_id", "text", "lang").where(id_remainder(F.col("doc_id"), 3) != 1))
+    if not model.families:
+        return df.where(F.col("text").rlike(r"\p{L}"))
+    # the row travels as one struct, so that its columns clash with nothing
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+                     predictor(df.sparkSession, model)("text").alias("_lid"))
+    return rows.where(F.col("_lid.lang_pred") != UND).select("_row.*")

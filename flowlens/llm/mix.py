@@ -240,9 +240,8 @@ def op2(df: DataFrame, seed: int = 7) -> DataFrame:
 
 def mixed_corpus(df: DataFrame, seed: int = 7) -> DataFrame:
     """The mix itself: every document as often as the plan takes it, columns unchanged."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    keyed = df.select(*columns, *_keyed(df, seed))
+    # the row travels as one struct, so that its columns clash with nothing
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *_keyed(df, seed))
     plan = plan_mix(materialize(keyed.select("_members", "_size", "_h"), "mix-rows"))
     taken = plan.apply(keyed).where("_passes > 0")
-    return (taken.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_passes"))).alias("_pass"))
-            .select(*columns))
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("_passes"))).alias("_pass")).select("_row.*")

@@ -261,12 +261,19 @@ def op4(df: DataFrame) -> DataFrame:
 
 
 def deduplicated(df: DataFrame) -> DataFrame:
-    """One row of each class: of the smallest id; rows with a NULL text stay."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    found = classes(df.select("doc_id", "text"))
-    kept = found.where("node = class_node").select(F.col("node").alias("_kept"))
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
-    one = (df.where(F.col("text").isNotNull()).groupBy(F.xxhash64("text").alias("_node"))
-           .agg(F.min_by(F.struct(*columns), order).alias("_row")))
-    stay = one.join(kept, F.col("_node") == F.col("_kept"), "left_semi").select("_row.*")
-    return stay.union(df.where(F.col("text").isNull()).select(*columns))
+    """One row of each class: of the smallest id; rows with a NULL text stay.
+
+    The winner is chosen by (text hash, id) alone, so no aggregation holds whole rows; of
+    repeated rows (same id and text) one stays.
+    """
+    # the row travels as one struct, so that its columns clash with nothing
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col("doc_id").alias("_id"),
+                     F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("_node"))
+    found = classes(df.select("doc_id", "text")).where("node = class_node").select(F.col("node").alias("n"), F.col("doc").alias("d"))
+    same = (F.col("n") == F.col("_node")) & F.col("d").eqNullSafe(F.col("_id"))
+    times = df.where(F.col("text").isNotNull()).groupBy(F.xxhash64("text").alias("_node"), F.col("doc_id").alias("_id")).count()
+    kept = materialize(found.join(times, same).select("n", "d", (F.col("count") > 1).alias("_many")), "kept")
+    stay = rows.where(F.col("_node").isNotNull()).join(kept, same)
+    once = stay.where(~F.col("_many")).select("_row.*")
+    first = stay.where("_many").dropDuplicates(["_node", "_id"]).select("_row.*")
+    return once.union(first).union(rows.where(F.col("_node").isNull()).select("_row.*"))
