@@ -1,20 +1,22 @@
 """Splits, partitions and labelled augmentation.
 
 Row choice is deterministic and independent of partitioning: rows are
-ordered by a portable integer hash of their id (ties by id), and ranks
-within a label come from the distributed running count
-(:func:`~flowlens.functions.stats.cumulative`), never from a window over a
-whole label.  Cut points use integer arithmetic, so every engine agrees.
+ordered by a portable integer hash of their id (ties by id).  Cuts into first
+and other rows are found by counting hash prefixes (:func:`first_of_rank`), so
+rows are not moved; full ranks (folds, shuffles) come from the distributed
+running count (:func:`~flowlens.functions.stats.cumulative`), never from a
+window over a whole label.  Cut points use integer arithmetic, so every engine agrees.
 Random draws (noise, uniforms) are pure functions of (id, seed, column).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowlens.functions.exprs import HASH_MULT, HASH_MULT_2, hash32, uniform
 from flowlens.functions.stats import c, cumulative
@@ -36,7 +38,6 @@ CHOICE_STREAM, PROFILE_STREAM, NOISE_STREAM, UNIFORM_STREAM = 1_000, 2_000, 3_00
 
 
 def _orderable(df: DataFrame, exclude) -> list[str]:
-    from pyspark.sql import types as T
     bad = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
     return [f.name for f in df.schema.fields if f.name not in exclude and not isinstance(f.dataType, bad)]
 
@@ -60,27 +61,88 @@ def hash_rank(df: DataFrame, id_col: str, label: str | None = None, seed: int =
     return r.drop("_h", "_one", "_id")
 
 
-def _cut(n: Column, pct: int) -> Column:
+PREFIX_BITS = 12                 # hash prefixes whose counts find the bucket of a cut
+
+
+def first_of_rank(df: DataFrame, id_col: str, label: str | None, seed: int, targets: Sequence[Callable[[int], int]]) -> DataFrame:
+    """``df`` with a boolean column ``_first<i>`` per target: whether the row is among the first
+    ``targets[i](rows of its label)`` in the order of :func:`hash_rank`.
+
+    No row moves: counts per hash prefix (one aggregate, at most 4,096 rows a label) find the
+    bucket in which each cut lies, only the rows of these buckets are ordered, and the
+    cut is a comparison with the one key found there.  Where a cut would part fully
+    identical rows, the rows are ranked instead.
+    """
+    spark = df.sparkSession
+    h, lab = hash32(c(id_col), seed), (c(label) if label else F.lit(0))
+    prefix = F.coalesce(F.shiftright(h, 32 - PREFIX_BITS), F.lit(-1)).cast("int")     # no id: first
+    tie = _orderable(df, {id_col, label})
+    key = F.struct(h.alias("h"), c(id_col).alias("id"), *[c(t).alias(f"t{i}") for i, t in enumerate(tie)])
+    counts: dict = {}
+    for r in df.groupBy(lab.alias("lab"), prefix.alias("p")).count().collect():
+        counts.setdefault(r["lab"], {})[r["p"]] = r["count"]
+    whole, want = {}, []                        # (label, cut) -> all or nothing; (label, cut, bucket, rank in it)
+    for value, by_prefix in counts.items():
+        n = sum(by_prefix.values())
+        for i, target in enumerate(targets):
+            need = target(n)
+            if need <= 0 or need >= n:
+                whole[value, i] = need > 0
+                continue
+            for p in sorted(by_prefix):
+                if need <= by_prefix[p]:
+                    want.append((value, p, i, need))
+                    break
+                need -= by_prefix[p]
+    kind = df.select(lab.alias("lab")).schema["lab"].dataType.simpleString()
+    keyed = df.select(lab.alias("lab"), prefix.alias("p"), key.alias("key"))
+    found = {}
+    if want:
+        asked = F.broadcast(spark.createDataFrame(want, f"al {kind}, ap int, cut int, need long"))   # a row per label and cut
+        same = F.col("lab").eqNullSafe(F.col("al")) & (F.col("p") == F.col("ap"))
+        bucket = keyed.join(F.broadcast(spark.createDataFrame(sorted({w[:2] for w in want}, key=str), f"al {kind}, ap int")), same, "left_semi")
+        run = cumulative(bucket.groupBy("lab", "p", "key").agg(F.count(F.lit(1)).alias("n")), "key", ["n"], key_cols=["lab", "p"])
+        hits = run.join(asked, same).where("n_cum >= need AND n_cum - n < need").collect()
+        if any(r["n_cum"] != r["need"] for r in hits):
+            return _ranked_first(df, id_col, label, seed, targets)
+        found = {(r["lab"], r["cut"]): r["key"] for r in hits}
+    struct = keyed.schema["key"].dataType
+    schema = T.StructType([T.StructField("_lab", keyed.schema["lab"].dataType)] + [
+        f for i in range(len(targets)) for f in (T.StructField(f"_all{i}", T.BooleanType()), T.StructField(f"_key{i}", struct))])
+    rows = [(v, *[x for i in range(len(targets)) for x in (whole.get((v, i), False), found.get((v, i)))]) for v in counts]
+    cuts = spark.createDataFrame(rows, schema)                                      # one row per label
+    out = df.join(F.broadcast(cuts), lab.eqNullSafe(F.col("_lab")))
+    return out.select(*[c(x) for x in df.columns], *[
+        F.when(F.col(f"_all{i}"), True).when(F.col(f"_key{i}").isNull(), False).otherwise(key <= F.col(f"_key{i}")).alias(f"_first{i}")
+        for i in range(len(targets))])
+
+
+def _ranked_first(df, id_col, label, seed, targets) -> DataFrame:
+    r = hash_rank(df, id_col, label, seed)
+    sizes = {x["n_label"] for x in r.select("n_label").distinct().collect()}        # one number per label
+    return r.select(*[c(x) for x in df.columns], *[
+        (F.col("rank") <= F.create_map(*[F.lit(v) for n in sorted(sizes) for v in (n, t(n))])[F.col("n_label")]).alias(f"_first{i}")
+        for i, t in enumerate(targets)])
+
+
+def _share(pct: int) -> Callable[[int], int]:
     """round(n * pct / 100) in integer arithmetic (half up)."""
-    return F.floor((n * F.lit(pct) + F.lit(50)) / F.lit(100)).cast("long")
+    return lambda n: (n * pct + 50) // 100
 
 
 # E1
 def split_stratified(df: DataFrame, id_col: str, label: str, test_pct: int = 20, seed: int = 42,
                      out: str = "split") -> DataFrame:
-    r = hash_rank(df, id_col, label, seed)
-    s = F.when(F.col("rank") <= _cut(F.col("n_label"), 100 - test_pct), "train").otherwise("test")
-    return r.withColumn(out, s).drop("rank", "n_label")
+    r = first_of_rank(df, id_col, label, seed, [_share(100 - test_pct)])
+    return r.withColumn(out, F.when(F.col("_first0"), "train").otherwise("test")).drop("_first0")
 
 
 # E2
 def split_three_way(df: DataFrame, id_col: str, label: str, pcts: Sequence[int] = (80, 10, 10),
                     seed: int = 42, out: str = "split") -> DataFrame:
-    r = hash_rank(df, id_col, label, seed)
-    a, b = pcts[0], pcts[0] + pcts[1]
-    s = (F.when(F.col("rank") <= _cut(F.col("n_label"), a), "train")
-         .when(F.col("rank") <= _cut(F.col("n_label"), b), "val").otherwise("test"))
-    return r.withColumn(out, s).drop("rank", "n_label")
+    r = first_of_rank(df, id_col, label, seed, [_share(pcts[0]), _share(pcts[0] + pcts[1])])
+    s = F.when(F.col("_first0"), "train").when(F.col("_first1"), "val").otherwise("test")
+    return r.withColumn(out, s).drop("_first0", "_first1")
 
 
 # E3
@@ -141,11 +203,10 @@ def gaussian(id_col: Column, seed: int, j: int) -> Column:
 
 def inject_select(df: DataFrame, id_col: str, fraction: float = ANOMALY_FRACTION, seed: int = 42) -> DataFrame:
     """Mark floor(f * n) rows (lowest rank of the choice stream) and give each a profile 0..3."""
-    r = hash_rank(df, id_col, None, seed + CHOICE_STREAM)
-    chosen = F.col("rank") <= F.floor(F.lit(fraction) * F.col("n_label"))
+    r = first_of_rank(df, id_col, None, seed + CHOICE_STREAM, [lambda n: math.floor(fraction * n)])
+    chosen = F.col("_first0")
     prof = F.pmod(hash32(c(id_col), seed + PROFILE_STREAM), F.lit(len(ATTACK_PROFILES))).cast("int")
-    return r.withColumn("injected", chosen.cast("int")).withColumn(
-        "profile", F.when(chosen, prof)).drop("rank", "n_label")
+    return r.withColumn("injected", chosen.cast("int")).withColumn("profile", F.when(chosen, prof)).drop("_first0")
 
 
 def inject_noise(df: DataFrame, id_col: str, label: str, features: Sequence[str],
@@ -180,10 +241,11 @@ def inject_structured(benign: DataFrame, id_col: str, label: str, n_total: int |
     """Append perturbed copies of the first benign rows (hash order): SYN flood
     (+U(3,8) on SYN columns), port scan (x U(0.01,0.1) on duration/IAT columns),
     DDoS (+U(4,10) on byte/packet columns); thirds of ``n_total``."""
-    r = hash_rank(benign, id_col, None, seed)
-    n = F.col("n_label") if n_total is None else F.lit(n_total)
-    base = r.where(F.col("rank") <= n)
-    n_each = F.floor(n / 3)
+    def total(n):
+        return n if n_total is None else n_total
+
+    r = first_of_rank(benign, id_col, None, seed, [total, lambda n: total(n) // 3, lambda n: total(n) - 2 * (total(n) // 3)])
+    base = r.where("_first0")
     cols = [x for x in benign.columns if x not in (id_col, label)]
     syn = [x for x in cols if "SYN" in x.upper()]
     dur = [x for x in cols if "Duration" in x or "IAT" in x]
@@ -199,7 +261,7 @@ def inject_structured(benign: DataFrame, id_col: str, label: str, n_total: int |
 
     ben = base.select(*[c(x) for x in benign.columns if x != label], F.lit(0).alias(label),
                       F.lit("benign").alias("variant"))
-    a = variant("syn_flood", 1, base.where(F.col("rank") <= n_each), syn, "add", *SYN_FLOOD_ADD)
-    b = variant("port_scan", 2, base.where(F.col("rank") <= n_each), dur, "mul", *PORT_SCAN_MUL)
-    d = variant("ddos", 3, base.where(F.col("rank") <= n - 2 * n_each), byt, "add", *DDOS_ADD)
+    a = variant("syn_flood", 1, base.where("_first1"), syn, "add", *SYN_FLOOD_ADD)
+    b = variant("port_scan", 2, base.where("_first1"), dur, "mul", *PORT_SCAN_MUL)
+    d = variant("ddos", 3, base.where("_first2"), byt, "add", *DDOS_ADD)
     return ben.unionByName(a).unionByName(b).unionByName(d)
