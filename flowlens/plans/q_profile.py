@@ -96,25 +96,22 @@ def q_zero_inf_report(spark, sf):
     return B.zero_inf_report(v6(spark, sf))
 
 
-DUP_COLS = ["src", "dst_port", "protocol", "fwd_pkts", "syn", "fin", "rst", "psh", "Label"]
-
-
-@query("duplicate_report", f"""
-WITH g AS (SELECT {', '.join(DUP_COLS)}, count(*) AS n FROM flows_6g GROUP BY ALL HAVING count(*) > 1),
-t AS (SELECT count(*) AS n_rows FROM flows_6g)
+@query("duplicate_report", """
+WITH g AS (SELECT *, count(*) AS n FROM flows_6g_replayed GROUP BY ALL HAVING count(*) > 1),
+t AS (SELECT count(*) AS n_rows FROM flows_6g_replayed)
 SELECT n_rows, CAST(coalesce((SELECT sum(n - 1) FROM g), 0) AS BIGINT) AS n_duplicates,
  (SELECT count(*) FROM g) AS n_groups,
- round(CAST(coalesce((SELECT sum(n - 1) FROM g), 0) AS DOUBLE) * 100 / n_rows, 4) AS pct FROM t""", F6)
+ round(CAST(coalesce((SELECT sum(n - 1) FROM g), 0) AS DOUBLE) * 100 / n_rows, 4) AS pct FROM t""", ("flows_6g", "flows_6g_replayed"))
 def q_duplicate_report(spark, sf):
-    """Exact duplicates over a column subset: count, groups and %."""
-    return B.duplicate_report(v6(spark, sf), DUP_COLS)
+    """Exact duplicates over all columns: count, groups and %."""
+    return B.duplicate_report(view(spark, sf, "flows_6g_replayed"))
 
 
-@query("duplicate_groups", f"""
-SELECT {', '.join(DUP_COLS)}, count(*) AS n_copies FROM flows_6g GROUP BY ALL HAVING count(*) > 1""", F6)
+@query("duplicate_groups", "SELECT *, count(*) AS n_copies FROM flows_6g_replayed GROUP BY ALL HAVING count(*) > 1",
+       ("flows_6g", "flows_6g_replayed"))
 def q_duplicate_groups(spark, sf):
-    """B7 listing: every duplicated row value with its number of copies."""
-    return B.duplicate_groups(v6(spark, sf), DUP_COLS)
+    """B7 listing: every duplicated row, all columns, with its number of copies."""
+    return B.duplicate_groups(view(spark, sf, "flows_6g_replayed"))
 
 
 @query("label_distribution", """

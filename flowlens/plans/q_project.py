@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.functions.exprs import sig as ssig
 from flowlens.operators import clean as C
 from flowlens.operators import project as P
 from flowlens.plans.registry import query
+from flowlens.plans.sqlkit import sig
 from flowlens.plans.views import CIC_NAMES, view
 
 
@@ -133,24 +135,18 @@ def q_proto_onehot(spark, sf_dir):
             .groupBy("Proto", "u_is_tcp", "u_is_udp", "u_is_other").agg(F.count(F.lit(1)).alias("n")))
 
 
-UNION_SQL = f"""
-WITH u AS (
- SELECT 'g5' AS domain, Dur AS u_duration, Load AS u_byte_rate, CAST(Proto='tcp' AS INT) AS u_is_tcp FROM flows_5g
- UNION ALL
- SELECT 'g6', flow_duration, {RATE_SQL.format(c='flow_bytes_s')}, CAST(protocol=6 AS INT) FROM flows_6g WHERE Label IS NOT NULL)
-SELECT domain, CAST(count(*) AS BIGINT) AS n, round(avg(u_duration), 6) AS mean_duration,
- round(avg(ln(1+u_byte_rate)), 6) AS mean_log_byte_rate, CAST(sum(u_is_tcp) AS BIGINT) AS n_tcp
-FROM u GROUP BY domain"""
+FEATURE_LIST = ", ".join(P.UNIFIED_FEATURES)
+UNION_ROWS = f"""u AS (SELECT 'g5' AS domain, {FEATURE_LIST} FROM ({P5_SQL})
+ UNION ALL SELECT 'g6', {FEATURE_LIST} FROM ({P6_SQL}))"""
 
 
-@query("unified_union", UNION_SQL, ("flows_5g", "flows_6g"))
+@query("unified_union", f"""WITH {UNION_ROWS}
+SELECT domain, CAST(count(*) AS BIGINT) AS n, {', '.join(f"{sig(f'avg({f})', 6)} AS {f}" for f in P.UNIFIED_FEATURES)}
+FROM u GROUP BY domain""", ("flows_5g", "flows_6g"))
 def q_unified_union(spark, sf_dir):
-    """Stack both projected generations with a domain column, summarised per domain."""
+    """Stack both projected generations with a domain column; rows and the mean of every feature per domain."""
     u = P.unified_union({"g5": projected_5g(spark, sf_dir), "g6": projected_6g(spark, sf_dir)})
-    return u.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("u_duration"), 6).alias("mean_duration"),
-        F.round(F.avg(F.log1p("u_byte_rate")), 6).alias("mean_log_byte_rate"),
-        F.sum("u_is_tcp").cast("bigint").alias("n_tcp"))
+    return u.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *[ssig(F.avg(f), 6).alias(f) for f in P.UNIFIED_FEATURES])
 
 
 def unified_scaled(spark, sf_dir):
@@ -162,26 +158,21 @@ def unified_scaled(spark, sf_dir):
     return C.standard_scale(u, params), params
 
 
-@query("unified_scale", f"""
-WITH u AS (
- SELECT 'g5' AS domain, UniqueID AS id, coalesce(Dur, 0.0) AS d, Load AS b FROM flows_5g
- UNION ALL
- SELECT 'g6', flow_id, coalesce(flow_duration, 0.0), {RATE_SQL.format(c='flow_bytes_s')} FROM flows_6g WHERE Label IS NOT NULL),
-s AS (SELECT avg(d) AS md, stddev_pop(d) AS sd, avg(b) AS mb, stddev_pop(b) AS sb FROM u)
-SELECT domain, CAST(count(*) AS BIGINT) AS n, round(avg((d-md)/sd), 6) AS mean_z_duration,
- round(max((b-mb)/sb), 6) AS max_z_byte_rate, round(stddev_pop((b-mb)/sb), 6) AS std_z_byte_rate
-FROM u, s GROUP BY domain""", ("flows_5g", "flows_6g"))
+@query("unified_scale", f"""WITH {UNION_ROWS},
+v AS (SELECT domain, {', '.join(f"coalesce({f}, 0.0) AS {f}" for f in P.NUMERIC_FEATURES)} FROM u),
+s AS (SELECT {', '.join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in P.NUMERIC_FEATURES)} FROM v)
+SELECT domain, CAST(count(*) AS BIGINT) AS n,
+ {', '.join(f"round(avg(({f} - m_{f}) / s_{f}), 6) AS mean_{f}, round(max(({f} - m_{f}) / s_{f}), 6) AS max_{f}" for f in P.NUMERIC_FEATURES)}
+FROM v, s GROUP BY domain""", ("flows_5g", "flows_6g"))
 def q_unified_scale(spark, sf_dir):
-    """Scaler on the 9 numeric unified features fit on the union (summarised per domain)."""
+    """Scaler on the 9 numeric unified features fit on the union; mean and maximum of each per domain."""
     df, _ = unified_scaled(spark, sf_dir)
-    return df.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("u_duration"), 6).alias("mean_z_duration"),
-        F.round(F.max("u_byte_rate"), 6).alias("max_z_byte_rate"),
-        F.round(F.stddev_pop("u_byte_rate"), 6).alias("std_z_byte_rate"))
+    return df.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), *[
+        e for f in P.NUMERIC_FEATURES for e in (F.round(F.avg(f), 6).alias(f"mean_{f}"), F.round(F.max(f), 6).alias(f"max_{f}"))])
 
 
-@query("detect_schema", f"SELECT flow_id, 'cic' AS schema_name, u_duration, u_is_tcp FROM ({P6_SQL})", ("flows_6g",))
+@query("detect_schema", f"SELECT 'cic' AS schema_name, * FROM ({P6_SQL})", ("flows_6g",))
 def q_detect_schema(spark, sf):
     """The format found from the columns of the flow table, which is then validated and projected."""
     name, out = P.project_auto(clean_6g_rates(cic_flows(spark, sf)), keep=["Flow ID"])
-    return out.select(F.col("`Flow ID`").alias("flow_id"), F.lit(name).alias("schema_name"), "u_duration", "u_is_tcp")
+    return out.select(F.col("`Flow ID`").alias("flow_id"), F.lit(name).alias("schema_name"), *P.UNIFIED_FEATURES)

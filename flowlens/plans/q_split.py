@@ -10,7 +10,7 @@ from flowlens.functions.exprs import HASH_MULT, HASH_MULT_2, hash32_sql, sig as
 from flowlens.operators import clean as C
 from flowlens.operators import project as P
 from flowlens.operators import split as E
-from flowlens.plans.q_project import cic_flows, clean_6g_rates
+from flowlens.plans.q_project import P6_SQL, cic_flows, clean_6g_rates
 from flowlens.plans.registry import query
 from flowlens.plans.sqlkit import sig
 from flowlens.plans.views import view
@@ -102,12 +102,7 @@ def projected_labelled_6g(spark, sf):
     return p.withColumnRenamed("Flow ID", "flow_id")
 
 
-PROJ6_SQL = """(SELECT flow_id, CAST(lower(Label) <> 'benign' AS INT) AS Label, flow_duration AS u_duration, fwd_pkts AS u_fwd_pkts,
- bwd_pkts AS u_bwd_pkts, fwd_len_mean AS u_fwd_mean_size, bwd_len_mean AS u_bwd_mean_size,
- coalesce(CASE WHEN isnan(flow_bytes_s) OR abs(flow_bytes_s) = 'Infinity'::DOUBLE THEN NULL ELSE flow_bytes_s END, 0.0) AS u_byte_rate,
- coalesce(CASE WHEN isnan(flow_packets_s) OR abs(flow_packets_s) = 'Infinity'::DOUBLE THEN NULL ELSE flow_packets_s END, 0.0) AS u_pkt_rate,
- (abs(fwd_pkts)+1e-6)/((abs(fwd_pkts)+1e-6)+(abs(bwd_pkts)+1e-6)) AS u_pkt_ratio,
- CAST(syn>0 AS INT) AS u_syn, CAST(rst>0 AS INT) AS u_rst FROM flows_6g WHERE Label IS NOT NULL)"""
+PROJ6_SQL = "(" + P6_SQL.replace("flow_id,", "flow_id, CAST(lower(Label) <> 'benign' AS INT) AS Label,", 1) + ")"
 PTIE = ["Label", "u_duration", "u_fwd_pkts", "u_bwd_pkts", "u_fwd_mean_size", "u_bwd_mean_size", "u_byte_rate",
         "u_pkt_rate", "u_pkt_ratio", "u_size_ratio", "u_syn", "u_fin", "u_rst", "u_psh", "u_is_tcp", "u_is_udp",
         "u_is_other"]
@@ -132,14 +127,14 @@ def _gauss_sql(seed, j):
     return f"(sqrt(-2.0 * ln({u1})) * cos({repr(2 * math.pi)} * {u2}))"
 
 
-NOISE_FEATS = ["u_duration", "u_fwd_pkts", "u_byte_rate", "u_pkt_rate", "u_pkt_ratio", "u_syn", "u_rst"]
+NOISE_FEATS = P.UNIFIED_FEATURES
 
 
 def _noise_sql(seed=42):
     names = list(E.ATTACK_PROFILES)
     cols = []
     for j, f in enumerate(NOISE_FEATS):
-        e = "0.0"
+        e = "CAST(0.0 AS DOUBLE)"
         for p, name in enumerate(names):
             prof = E.ATTACK_PROFILES[name]
             if f in prof["features"]:
