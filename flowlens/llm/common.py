@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +39,26 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers stay alive between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
+def releasing(batches_to_batches):
+    """A map function over batches that releases its memory when its partition is done."""
+    @functools.wraps(batches_to_batches)
+    def run(batches):
+        try:
+            yield from batches_to_batches(batches)
+        finally:
+            release()
+    return run
+
+
 def part_count(df: DataFrame, per_part: int, rows: int | None = None) -> int:
     n = df.count() if rows is None else rows
     return max(1, -(-n // per_part))

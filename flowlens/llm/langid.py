@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.llm.common import release
+
 # ISO 639-1 codes by family.  A language not listed is a family of its own.
 FAMILIES = {
     "germanic": "af da de en fy is lb nb nl nn no sv yi",
@@ -160,6 +162,8 @@ def fit(train: DataFrame, max_train_docs: int = 12_000) -> LanguageModel:
         ok = [i for i, f in enumerate(feats) if f is not None]
         hit = [family(x) == a if kind == "family" else x == a for x in pdf["lang"]]
         w = train_svm([feats[i] for i in ok], np.where([hit[i] for i in ok], 1.0, -1.0))
+        del feats, pdf
+        release()
         return pd.DataFrame({"machine": [key[0]], "w": [w.astype(np.float32).tobytes()]})
 
     got = jobs.groupBy("machine").applyInPandas(train_one, "machine int, w binary").collect()
@@ -176,8 +180,11 @@ def predictor(spark, model: LanguageModel):
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        for texts in batches:
-            yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
+        try:
+            for texts in batches:
+                yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score"])
+        finally:
+            release()
 
     return predict
 

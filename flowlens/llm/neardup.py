@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import components, materialize, mix64, shingle_hashes, slices, words_of
+from flowlens.llm.common import components, materialize, mix64, release, releasing, shingle_hashes, slices, words_of
 
 BANDS, ROWS = 16, 4
 HASHES = BANDS * ROWS
@@ -113,7 +113,7 @@ def word_idf(df: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(seen)
         yield pd.DataFrame({"bucket": at.astype(np.int32), "n": seen[at]})
 
-    got = df.select(text).mapInPandas(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = df.select(text).mapInPandas(releasing(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     seen = np.zeros(1 << DF_BITS)
     seen[got["bucket"]] = got["n"]
     return np.log1p(max(1, df.count()) / np.maximum(seen, 1.0))
@@ -133,7 +133,7 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
                     sample(x, n * w).tobytes() if len(x) else None for x, n, w in sets]})
 
     rows = df.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("node"), "text")
-    signed = materialize(rows.mapInPandas(sign, "doc long, node long, sig binary"), "signatures")
+    signed = materialize(rows.mapInPandas(releasing(sign), "doc long, node long, sig binary"), "signatures")
     last = F.lit((1 << 63) - 1)
     nodes = materialize(signed.groupBy("node").agg(
         F.min("doc").alias("doc"), F.count(F.lit(1)).alias("rows"), F.any_value("sig").alias("sig")), "nodes")
@@ -167,7 +167,10 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
                      F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(block_links(pdf, idf.value, threshold), columns=["a", "b", "similarity"])
+        try:
+            return pd.DataFrame(block_links(pdf, idf.value, threshold), columns=["a", "b", "similarity"])
+        finally:
+            release()
 
     second = materialize(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long, similarity double"), "more-links")
     return nodes, first.union(second)
@@ -231,7 +234,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
                 ok = j >= threshold
                 yield pd.DataFrame({"a": part["a"].to_numpy()[ok], "b": part["b"].to_numpy()[ok], "similarity": j[ok]})
 
-    return both.mapInPandas(check, "a long, b long, similarity double")
+    return both.mapInPandas(releasing(check), "a long, b long, similarity double")
 
 
 def classes(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
