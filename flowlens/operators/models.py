@@ -314,6 +314,27 @@ def gate_weights(df: DataFrame, gate: dict, out: str = "weights") -> DataFrame:
     return t.select(*[c(x) for x in df.columns], S.softmax_scalars([F.col(x) for x in last]).alias(out))
 
 
+# Fresh models per fold ------------------------------------------------------------
+def cross_validated_scores(df: DataFrame, features: Sequence[str], label: str, fits: dict, fold: str = "fold", keep: Sequence[str] = ()) -> DataFrame:
+    """(model, fold, *keep, label, score): every row scored by the models of the folds it is not in.
+
+    ``fits`` maps a model's name to ``fit(training rows) -> transform(rows) -> rows with column
+    score``.  ``df`` should be a stored table with a fold column; folds are masks over it.  The
+    fits are independent and submitted together.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    folds = sorted(r[0] for r in df.select(c(fold)).distinct().collect())          # k numbers
+    jobs = [(name, k) for name in fits for k in folds]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        fitted = dict(zip(jobs, pool.map(lambda j: fits[j[0]](df.where(c(fold) != j[1])), jobs), strict=True))
+    out = None
+    for (name, k), transform in fitted.items():
+        r = transform(df.where(c(fold) == k)).select(F.lit(name).alias("model"), c(fold).alias("fold"), *[c(x) for x in keep], c(label), "score")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 # F18 / F20 ----------------------------------------------------------------------------
 def feature_importance(model: PipelineModel, features: Sequence[str], k: int = 20) -> list[tuple[str, float]]:
     imp = model.stages[-1].featureImportances.toArray()

@@ -253,10 +253,7 @@ SELECT m.domain, tp, fp, tn, fn, {sig('accuracy')} AS accuracy, {sig('precision'
  {sig('f1')} AS f1, roc_auc, average_precision FROM m JOIN a ON m.domain = a.domain JOIN p ON m.domain = p.domain""", SC)
 def q_metrics_by_domain(spark, sf):
     """G1-G4 per domain (windows partitioned by domain)."""
-    df = _pred(spark, sf)
-    m = _sig_metrics(G.clf_metrics(df, "y", "pred", ["domain"]), ["domain"])
-    return m.join(G.roc_auc(df, "y", "score", ["domain"]), "domain").join(
-        G.average_precision(df, "y", "score", ["domain"]), "domain")
+    return domain_metrics(_pred(spark, sf), "score")
 
 
 @query("gate_by_domain", EXPERTS_SQL + """,
@@ -364,14 +361,15 @@ SELECT m.config, {sig('f1')} AS f1, {sig('recall')} AS recall, {sig('precision')
  average_precision FROM m JOIN a ON m.config = a.config JOIN p ON m.config = p.config""", SC)
 def q_ablation(spark, sf):
     """trained vs uniform vs hard (argmax) vs oracle single-expert combination."""
-    df = with_experts(spark, sf)
+    return ablation_table(with_experts(spark, sf))
+
+
+def ablation_table(df) -> DataFrame:
+    """F1, recall, precision, AUC and AP of every combination of scores and weights (rows with y)."""
     ab = S.ablation_scores(F.col("weights"), F.col("scores"))
     ab["oracle"] = F.when(F.col("y") == 1, F.array_max("scores")).otherwise(F.array_min("scores"))
-    parts = None
-    for name, e in ab.items():
-        p = df.select("y", F.lit(name).alias("config"), e.alias("p"))
-        parts = p if parts is None else parts.unionByName(p)
-    parts = parts.withColumn("pred", (F.col("p") >= 0.5).cast("int"))
+    pairs = F.array(*[F.struct(F.lit(name).alias("config"), e.alias("p")) for name, e in ab.items()])
+    parts = df.select("y", F.inline(pairs)).withColumn("pred", (F.col("p") >= 0.5).cast("int"))
     m = G.clf_metrics(parts, "y", "pred", ["config"])
     a = G.roc_auc(parts, "y", "p", ["config"])
     ap = G.average_precision(parts, "y", "p", ["config"])
@@ -380,6 +378,13 @@ def q_ablation(spark, sf):
                       "average_precision")
 
 
+def domain_metrics(df, score: str) -> DataFrame:
+    """G1-G4 per domain of rows (domain, y, pred, score)."""
+    m = _sig_metrics(G.clf_metrics(df, "y", "pred", ["domain"]), ["domain"])
+    return m.join(G.roc_auc(df, "y", score, ["domain"]), "domain").join(
+        G.average_precision(df, "y", score, ["domain"]), "domain")
+
+
 @query("overfit_gap", f"""
 WITH sp AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY {hash32_sql('id')}, id, score, domain)
    <= floor((count(*) OVER (PARTITION BY y) * 80 + 50) / 100) THEN 'train' ELSE 'test' END AS split,

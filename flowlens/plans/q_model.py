@@ -20,6 +20,7 @@ from flowlens.operators import neural as N
 from flowlens.operators import project as P
 from flowlens.operators import score as S
 from flowlens.operators import split as E
+from flowlens.plans.q_evaluate import ablation_table, domain_metrics
 from flowlens.plans.q_project import cic_flows, clean_6g_rates
 from flowlens.plans.registry import query
 from flowlens.plans.sqlkit import sig
@@ -355,6 +356,76 @@ def q_expert_scores_trained(spark, sf):
     return expert_vector(test_rows(spark, sf), spark, sf).select("domain", "id", "Label", "scores")
 
 
+def scored_tests(spark, sf) -> DataFrame:
+    """Test rows of both generations scored by the stored bundle (y, scores, weights, prob), stored once."""
+    key = _key(spark, sf, "scored")
+    if key not in _CACHE:
+        model, _ = B.load_bundle(spark, stored_bundle(spark, sf), FEATS)
+        path = scratch_path(spark, "scored_tests")
+        rows = PipelineModel([s for s in model.stages if not isinstance(s, (B.FlowProjector, B.UnifiedScaler))]).transform(test_rows(spark, sf))
+        rows.select("domain", "id", F.col("Label").alias("y"), "prob", "pred", "scores", "weights").write.parquet(path)
+        _CACHE[key] = path
+    return spark.read.parquet(_CACHE[key])
+
+
+@query("metrics_by_domain_trained")
+def q_metrics_by_domain_trained(spark, sf):
+    """G13 with the trained detector: G1-G4 per generation on the test rows."""
+    return domain_metrics(scored_tests(spark, sf), "prob")
+
+
+@query("ablation_trained")
+def q_ablation_trained(spark, sf):
+    """F21 with the trained experts and gate: trained, uniform, hard and oracle combination."""
+    return ablation_table(scored_tests(spark, sf))
+
+
+def cv_rows(spark, sf) -> DataFrame:
+    """Scaled 5G rows with class weights and five stratified folds, stored once."""
+    key = _key(spark, sf, "cv")
+    if key not in _CACHE:
+        t = E.kfold(E.with_class_weight(scaled(table_5g(spark, sf), spark, sf).drop("split"), "Label", "w"), "id", "Label", 5)
+        path = scratch_path(spark, "cv_rows")
+        t.select("id", "Label", "w", "fold", "slice", *FEATS).write.parquet(path)
+        _CACHE[key] = path
+    return spark.read.parquet(_CACHE[key])
+
+
+def cv_scores(spark, sf) -> DataFrame:
+    """Held-out scores of fresh boosted trees (without early stop) and logistic regressions per fold."""
+    key = _key(spark, sf, "cv_scores")
+    if key not in _CACHE:
+        def boosted(train):
+            p = {k: v for k, v in Bo.SLICE_GBT_PARAMS.items()}
+            m = Bo.fit_boosted(train, FEATS, "Label", id_col="id", row_share=0.8, column_share=0.8, **p)
+            return lambda d: d.withColumn("score", Bo.boosted_probability(m, FEATS)[0])
+
+        def logistic(train):
+            m = Mo.train_lr(train, FEATS, "Label", "w")
+            return lambda d: Mo.positive_probability(m.transform(d), out="score")
+
+        path = scratch_path(spark, "cv_scores")
+        got = Mo.cross_validated_scores(cv_rows(spark, sf), FEATS, "Label", {"boosted": boosted, "logistic": logistic}, keep=["id", "slice"])
+        got.withColumn("pred", (F.col("score") >= 0.5).cast("int")).write.parquet(path)
+        _CACHE[key] = path
+    return spark.read.parquet(_CACHE[key])
+
+
+@query("cv_trained")
+def q_cv_trained(spark, sf):
+    """Five stratified folds, fresh models per fold; mean, std, min and max of each metric."""
+    d = cv_scores(spark, sf)
+    return G.cv_summary(G.clf_metrics(d, "Label", "pred", ["model", "fold"]).join(
+        G.roc_auc(d, "Label", "score", ["model", "fold"]), ["model", "fold"]), "model")
+
+
+@query("slice_quality_trained")
+def q_slice_quality_trained(spark, sf):
+    """H6: recall and precision per model and slice on held-out folds of freshly trained models."""
+    m = G.clf_metrics(cv_scores(spark, sf), "Label", "pred", ["model", "slice"])
+    return m.select("model", "slice", *[ssig(F.col(x)).alias(x) for x in ("recall", "precision", "f1")])
+
+
 @query("importance")
 def q_importance(spark, sf):
     """random-forest feature importance, top 20."""
