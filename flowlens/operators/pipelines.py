@@ -8,9 +8,12 @@ table so the same pipeline can be replayed on new data.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from flowlens.functions.stats import numeric_columns
+from flowlens.functions.stats import c, numeric_columns
 from flowlens.operators import clean as C
 from flowlens.session import persist_input
 
@@ -102,3 +105,35 @@ def pipeline_5g(df: DataFrame, dataset: str = "Global", label: str = "Label") ->
         p["slices"] = C.fit_categories(d, ["predicted"])
         d = C.onehot(d, p["slices"], drop_first=True, prefix={"predicted": "slice"})
     return C.binarize_label(d, label, "5g"), p
+
+
+# fixed values: the datasets of the 5G family and the slice that each holds
+FAMILY_5G = {"Global": None, "eMBB": "1:eMBB", "mMTC": "2:mMTC", "URLLC": "3:URLLC"}
+
+
+def pipeline_5g_family(df: DataFrame, slice_col: str = "predicted", datasets: dict | None = None,
+                       label: str = "Label") -> tuple[DataFrame, dict]:
+    """Steps 1-9: the pipeline for every dataset of the family with parameters of its own, aligned to the
+    cleaned Global table (its column order; a column that a dataset lacks is 0, others go) and stacked
+    under ``dataset``.  Returns the table and the parameters by dataset.
+
+    The datasets are filters of one stored table and their fits are independent, so they are
+    submitted together.  A dataset without rows contributes none.
+    """
+    stored = persist_input(df)
+    wanted = datasets or FAMILY_5G
+
+    def clean(name):
+        part = stored if wanted[name] is None else stored.where(c(slice_col) == wanted[name])
+        return pipeline_5g(part, name, label)
+
+    with ThreadPoolExecutor(max_workers=len(wanted)) as pool:
+        cleaned = dict(zip(wanted, pool.map(clean, wanted), strict=True))
+    reference = next(iter(cleaned.values()))[0]
+    types = dict(reference.dtypes)
+    out = None
+    for name, (table, _) in cleaned.items():                                           # step 9
+        table = C.align_schema(table, reference.columns)
+        table = table.select(F.lit(name).alias("dataset"), *[c(x).cast(types[x]).alias(x) for x in reference.columns])
+        out = table if out is None else out.unionByName(table)
+    return out, {name: p for name, (_, p) in cleaned.items()}

@@ -469,7 +469,8 @@ def q_pipeline_6g(spark, sf):
 
 @query("pipeline_5g")
 def q_pipeline_5g(spark, sf):
-    """The 5G cleaning pipeline (steps 2-8, notebook variant) over the Global flows."""
-    from flowlens.operators.pipelines import pipeline_5g
-    out, _params = pipeline_5g(v5(spark, sf), "Global")
+    """The 5G cleaning pipeline (steps 1-9, notebook variant) over Global and its three slices, each
+    with its own parameters, aligned to the Global columns."""
+    from flowlens.operators.pipelines import pipeline_5g_family
+    out, _params = pipeline_5g_family(v5(spark, sf))
     return out
