@@ -29,12 +29,13 @@ import zstandard
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import materialize, run_hashes
+from flowlens.llm.common import materialize, release, releasing, run_hashes
 from flowlens.llm.langid import id_remainder
 
 DEPTH = 5
 END = 0xFF                         # never occurs in UTF-8
 GRAM, WORDS = 0, 1
+BUCKET_GRAMS = 50_000              # distinct grams of a group, about (one context pair is never split)
 ALPHA = 0.1                        # of the unigram base, fixed by the query contract
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -241,7 +242,7 @@ def make_chunks(df: DataFrame, chunk_bytes: int = 32_000_000) -> DataFrame:
         if ids:
             yield chunk()
 
-    return materialize(rows.mapInPandas(build, CHUNK_SCHEMA), "ctw-chunks")
+    return materialize(rows.mapInPandas(releasing(build), CHUNK_SCHEMA), "ctw-chunks")
 
 
 def _task() -> int:
@@ -259,13 +260,14 @@ def list_keys(chunks: DataFrame, kind: int) -> DataFrame:
                     yield pd.DataFrame({"chunk": r.chunk, "key": key[s:s + 200_000].view(np.int64),
                                         "n": n[s:s + 200_000].astype(np.int32),
                                         "at": np.arange(s, min(s + 200_000, len(key)), dtype=np.int32)})
-    return chunks.select("chunk", "learn", "size", "blob").mapInPandas(keys, "chunk long, key long, n int, at int")
+    return chunks.select("chunk", "learn", "size", "blob").mapInPandas(releasing(keys), "chunk long, key long, n int, at int")
 
 
 def tree_values(grams: DataFrame) -> DataFrame:
     """(key, value): log10 probability of every listed gram, from rows (key, n)."""
     near = F.shiftright("key", 8).bitwiseAND(0xFFFF)
-    grouped = grams.withColumn("bucket", F.pmod(F.xxhash64(near), F.lit(512)).cast("int"))
+    buckets = max(512, min(1 << 16, grams.count() // BUCKET_GRAMS))
+    grouped = grams.withColumn("bucket", F.pmod(F.xxhash64(near), F.lit(buckets)).cast("int"))
 
     def ordered(pdf):
         pdf = pdf.sort_values("key")
@@ -274,6 +276,7 @@ def tree_values(grams: DataFrame) -> DataFrame:
     def summary(pdf: pd.DataFrame) -> pd.DataFrame:
         (uid, n0, n1, log_w), _, _, _ = deep_tree(*ordered(pdf))
         one = ((uid >> np.uint64(8) & np.uint64(255)) << np.uint64(8) | uid & np.uint64(255)).astype(np.int64)
+        release()
         return pd.DataFrame({"uid": one, "n0": n0, "n1": n1, "log_w": log_w})
 
     tops = (grouped.groupBy("bucket").applyInPandas(summary, "uid int, n0 double, n1 double, log_w double")
@@ -316,7 +319,9 @@ def op10(df: DataFrame) -> DataFrame:
         value[at[gram]] = right["value"].to_numpy()[gram]
         total = at[~gram], right["total"].to_numpy()[~gram]
         del right, gram, at
+        release()
         out = [score_chunk(r, value, total, tokens, distinct, ends) for r in left.itertuples(index=False)]
+        release()
         return pd.concat(out) if out else pd.DataFrame(columns=[x.split()[0] for x in SCORE_SCHEMA.split(", ")])
 
     return chunks.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(score, SCORE_SCHEMA)
