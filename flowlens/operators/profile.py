@@ -419,10 +419,19 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 # B27
 def kde(df: DataFrame, col: str, points: int = 200) -> DataFrame:
-    """Gaussian KDE on an equal grid over [min, max], Scott bandwidth n^(-1/5)*std."""
+    """Gaussian KDE on an equal grid over [min, max], Scott bandwidth n^(-1/5)*std.
+
+    No rows without values; the density is NULL where it has no bandwidth (one value, or all equal).
+    """
     x = clean_double(c(col))
     st = agg_row(df, {"lo": F.min(x), "hi": F.max(x), "n": F.count(x), "sd": F.stddev_samp(x)})
     n, sd = st["n"], st["sd"]
+    if not n:
+        return df.sparkSession.createDataFrame([], "i int, x double, density double")
+    if not sd:
+        step = (st["hi"] - st["lo"]) / (points - 1)
+        flat = [(i, float(st["lo"] + i * step), None) for i in range(points)]
+        return df.sparkSession.createDataFrame(flat, "i int, x double, density double")
     h = (n ** (-0.2)) * sd
     step = (st["hi"] - st["lo"]) / (points - 1)
     grid = st["lo"] + np.arange(points) * step

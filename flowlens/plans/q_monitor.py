@@ -211,7 +211,8 @@ FROM (SELECT min(ts) AS st FROM scored_ts GROUP BY domain, strftime(ts, '%Y-%m')
        ("scored_ts",))
 def q_model_age(spark, sf):
     """Model age = fixed now - start of the newest run."""
-    return M.model_age(runs(spark, sf), FIXED_NOW)
+    starts = view(spark, sf, "scored_ts").groupBy("domain", F.date_format("ts", "yyyy-MM")).agg(F.min("ts").alias("start_time"))
+    return M.model_age(starts, FIXED_NOW)
 
 
 @query("daily_totals", """

@@ -55,3 +55,12 @@ def test_bracketed_quantiles_equal_numpy(spark):
         assert got[("z",)] == [None] * 7
     inf = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,), (float("inf"),)], "x double")
     assert _bracketed_quantiles(inf, ["x"], [0.0, 0.5, 1.0])[("x",)] == [float("-inf"), 1.5, float("inf")]
+
+
+def test_kde_without_spread(spark):
+    from flowlens.operators.profile import kde
+    df = spark.createDataFrame([(None, 1.0, 2.0), (None, None, 2.0)], "a double, b double, c double")
+    assert kde(df, "a").collect() == []
+    for name in ("b", "c"):
+        rows = kde(df, name, 5).collect()
+        assert len(rows) == 5 and all(r["density"] is None for r in rows)
