@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.stats import (agg_row, c, clean_double, numeric_columns,
+from flowlens.functions.stats import (agg_row, c, clean_double, cumulative, numeric_columns,
                                       partition_sums, quantiles_of, sample_skew_from_pop, top_value)
 
 # ---------------------------------------------------------------- fixed values
@@ -149,7 +149,9 @@ def protocol_label(col: Column) -> Column:
 
 
 def fit_protocol_categories(df: DataFrame, col: str = "Protocol") -> list[str]:
-    rows = df.select(protocol_label(c(col)).alias("v")).where("v IS NOT NULL").distinct().collect()
+    rows = df.select(protocol_label(c(col)).alias("v")).where("v IS NOT NULL").distinct().limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError("too many protocol codes to become columns")
     return sorted(r["v"] for r in rows)
 
 
@@ -519,24 +521,38 @@ def log1p_only(df: DataFrame, cols: Sequence[str], suffix: str = "_log",
 
 
 # C23 / C24 / C25 / C26 -----------------------------------------------------
-def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int | None = None) -> dict[str, list[str]]:
+MAX_CATEGORIES = 4096            # values of a column that may become columns
+
+
+def fit_categories(df: DataFrame, cols: Sequence[str], max_categories: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct non-null values per column, one shuffle for all columns.
 
-    The values become columns or codes, so they reach the driver; with
-    ``max_categories`` a wider column is refused before that."""
+    The values become columns, so they reach the driver; a column with more than
+    ``max_categories`` of them is refused (``ordinal_codes`` encodes any number)."""
     from flowlens.functions.stats import value_counts
     cols = _present(df, cols)
     out = {x: [] for x in cols}
-    vc = value_counts(df, cols).select("column", "value")
-    if max_categories is not None:
-        big = vc.groupBy("column").count().where(F.col("count") > max_categories).collect()
-        if big:
-            raise ValueError(f"too many categories to encode: {[(r[0], r[1]) for r in big]}")
-    for r in vc.collect():
+    for r in value_counts(df, cols).select("column", "value").limit(len(cols) * max_categories + 1).collect():
         out[r["column"]].append(r["value"])
+    wide = [x for x, v in out.items() if len(v) > max_categories]
+    if wide:
+        raise ValueError(f"too many categories to become columns: {wide}")
     return {k: sorted(v) for k, v in out.items()}
 
 
+def ordinal_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Each column replaced by the 0-based rank of its value among the distinct values (missing: -1).
+
+    The ranks are running counts over the distinct values, joined back, so a column may have
+    any number of values."""
+    for x in _present(df, cols):
+        values = df.where(c(x).isNotNull()).select(c(x).alias("_value")).distinct().withColumn("_one", F.lit(1))
+        codes = cumulative(values, "_value", ["_one"]).select("_value", (F.col("_one_cum") - 1).cast("int").alias("_code"))
+        joined = df.join(codes, c(x) == F.col("_value"), "left").withColumn("_code", F.coalesce("_code", F.lit(-1)))
+        df = joined.select(*[F.col("_code").alias(x) if y == x else c(y) for y in df.columns])
+    return df
+
+
 def onehot(df: DataFrame, categories: dict[str, list[str]], drop_first: bool = True,
            prefix: dict[str, str] | None = None) -> DataFrame:
     new, drop = {}, []

@@ -364,8 +364,7 @@ WITH d AS (SELECT sDSb, CAST(row_number() OVER (ORDER BY sDSb) - 1 AS INT) AS co
 SELECT f.UniqueID, coalesce(d.code, -1) AS sDSb FROM flows_5g f LEFT JOIN d ON f.sDSb = d.sDSb""", F5)
 def q_ordinal_encode(spark, sf):
     """Ordinal codes over sorted categories (missing -> -1)."""
-    df = v5(spark, sf)
-    return C.ordinal_encode(df, C.fit_categories(df, ["sDSb"])).select("UniqueID", "sDSb")
+    return C.ordinal_codes(v5(spark, sf).select("UniqueID", "sDSb"), ["sDSb"])
 
 
 @query("binary_indicator", "SELECT UniqueID, CAST(coalesce(sDSb = 'cs0', false) AS INT) AS sDSb_is_cs0 FROM flows_5g", F5)

@@ -64,3 +64,16 @@ def test_kde_without_spread(spark):
     for name in ("b", "c"):
         rows = kde(df, name, 5).collect()
         assert len(rows) == 5 and all(r["density"] is None for r in rows)
+
+
+def test_ordinal_codes_of_many_values_and_refused_categories(spark):
+    import pytest
+
+    from flowlens.operators import clean as C
+    df = spark.range(500).selectExpr("id", "CASE WHEN id % 50 = 0 THEN NULL ELSE concat('v', id % 77) END AS s", "id % 5 AS k")
+    got = {(r["id"]): r["s"] for r in C.ordinal_codes(df, ["s"]).collect()}
+    values = sorted({f"v{i % 77}" for i in range(500) if i % 50})
+    assert got == {i: -1 if i % 50 == 0 else values.index(f"v{i % 77}") for i in range(500)}
+    assert C.fit_categories(df, ["s"], 77)["s"] == values
+    with pytest.raises(ValueError):
+        C.fit_categories(df, ["s", "k"], 76)
