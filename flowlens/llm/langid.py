@@ -68,7 +68,7 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
                 break
             gram = gram[:-1] | (b[n - 1:] << np.uint32(8 * (n - 1)))
         counts += np.bincount(((gram + np.uint32(n)) * _MULT) >> np.uint32(32 - BITS), minlength=1 << BITS)
-    ids = np.flatnonzero(counts)
+    ids = np.flatnonzero(counts).astype(np.int32)
     values = np.sqrt(counts[ids] / counts[ids].sum())
     return ids, values
 

@@ -39,6 +39,7 @@ POOL_BITS = 13           # rows of the table of random draws that shingle hashes
 THRESHOLD = 0.8
 SCREEN = 0.58            # share of equal samples below which a pair is not verified (4.4 sigma under 0.8)
 BLOCK = 500
+SLICE = 400_000          # characters hashed at once; every one takes some 40 bytes of a task
 _draws: tuple | None = None
 
 
@@ -106,7 +107,7 @@ def word_idf(df: DataFrame, text: str = "text") -> np.ndarray:
         seen = np.zeros(1 << DF_BITS, np.int64)
         for pdf in batches:
             texts = pdf[text].tolist()
-            for s, e in slices(texts):
+            for s, e in slices(texts, SLICE):
                 words, owner, _, _ = words_of(texts[s:e])
                 pair = np.unique(owner.astype(np.int64) << DF_BITS | (words >> np.uint64(64 - DF_BITS)).astype(np.int64))
                 seen += np.bincount(pair & ((1 << DF_BITS) - 1), minlength=1 << DF_BITS)
@@ -127,7 +128,7 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for s, e in slices(texts):
+            for s, e in slices(texts, SLICE):
                 part, sets = pdf.iloc[s:e], text_sets(texts[s:e], idf.value)
                 yield pd.DataFrame({"doc": part["doc"], "node": part["node"], "sig": [
                     sample(x, n * w).tobytes() if len(x) else None for x, n, w in sets]})
@@ -170,7 +171,8 @@ def near_links(df: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
         try:
             return pd.DataFrame(block_links(pdf, idf.value, threshold), columns=["a", "b", "similarity"])
         finally:
-            release()
+            if len(pdf) > BLOCK // 2:
+                release()
 
     second = materialize(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long, similarity double"), "more-links")
     return nodes, first.union(second)
@@ -226,7 +228,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for s, e in slices((pdf["ta"] + pdf["tb"]).tolist()):
+            for s, e in slices((pdf["ta"] + pdf["tb"]).tolist(), SLICE):
                 part = pdf.iloc[s:e]
                 seen = dict(zip(part["a"], part["ta"], strict=True)) | dict(zip(part["b"], part["tb"], strict=True))
                 sets = dict(zip(seen, text_sets(list(seen.values()), idf.value), strict=True))
