@@ -1,6 +1,6 @@
-"""Training-data operators: language ID, mixing, de-duplication, sharding, search, scoring.
+"""Training-data operators: language ID, mixing, de-duplication, sharding, search, scoring, mining.
 
-Ten operators that share nothing with the flow-analytics half of the library;
+Thirteen operators that share nothing with the flow-analytics half of the library;
 ``queries()`` and ``oracle_sql()`` hand their registered queries to the entry
 module.  Nothing outside this package imports it.
 """
