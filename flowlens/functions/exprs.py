@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +37,16 @@ def hash32(id_col: Column, seed: int = 42, mult: int = HASH_MULT) -> Column:
     return x.bitwiseXOR(F.shiftright(x, 16))
 
 
+def hash32_array(ids: np.ndarray, seed: int = 42, mult: int = HASH_MULT) -> np.ndarray:
+    """:func:`hash32` of an int64 array."""
+    def mixed(x):
+        return ((x ^ (x >> 16)) * MIX) & MASK_32
+
+    x = mixed(mixed((ids & MASK_32) ^ _stream_key(seed, mult)))
+    x = mixed(x ^ ((ids >> 32) & MASK_32))
+    return x ^ (x >> 16)
+
+
 def hash32_sql(id_expr: str, seed: int = 42, mult: int = HASH_MULT) -> str:
     def mixed(x: str) -> str:
         return f"((xor({x}, ({x}) >> 16) * {MIX}) & {MASK_32})"

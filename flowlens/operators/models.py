@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.functions.exprs import hash32, uniform
+from flowlens.functions.exprs import hash32_array, uniform
 from flowlens.functions.stats import c
 from flowlens.operators import neural as N
 from flowlens.operators import score as S
@@ -141,14 +141,21 @@ def fit_isolation_forest(df: DataFrame, id_col: str, features: Sequence[str], n_
     psi = min(sample, n)
     thr = min(1.0, 2.0 * sample / max(n, 1)) * 4294967296.0
     feats = list(features)
-    def tree_hash(idc, t):  # second hashing round: independent order per tree
-        return hash32(hash32(idc, seed) + t * F.lit(97531), seed + 1)
-
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: tree_hash(F.col("_id"), t).cast("double") < F.lit(thr))
-    cand = (df.select(c(id_col).alias("_id"), *[c(f).cast("double").alias(f) for f in feats])
-            .withColumn("tree", F.explode(trees))
-            .withColumn("_h", tree_hash(F.col("_id"), F.col("tree"))))
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    rows = df.where(c(id_col).cast("bigint").isNotNull()).select(
+        c(id_col).cast("bigint").alias("_i"), c(id_col).alias("_id"), *[c(f).cast("double").alias(f) for f in feats])
+
+    def candidates(batches):
+        for pdf in batches:
+            once = hash32_array(pdf.pop("_i").to_numpy(np.int64), seed)
+            for at in range(0, len(pdf), 4096):
+                # second hashing round: independent order per tree
+                h = hash32_array(once[at:at + 4096, None] + np.arange(n_trees) * 97531, seed + 1)
+                row, tree = np.nonzero(h < thr)
+                yield pdf.iloc[at + row].assign(tree=tree.astype(np.int32), _h=h[row, tree])
+
+    doubles = ", ".join(f"`{f}` double" for f in feats)
+    cand = rows.mapInPandas(candidates, f"_id {types[id_col]}, {doubles}, tree int, _h bigint")
     height_limit = int(math.ceil(math.log2(max(psi, 2))))
     schema = "tree int, node int, feature int, threshold double, left int, right int, size long"
 

@@ -1,7 +1,9 @@
 """Detectors, calibrators, gate and bundle on small fits."""
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowlens.functions.exprs import hash32, hash32_array
 from flowlens.operators import models as Mo
 from flowlens.operators import project as P
 from flowlens.operators import score as S
@@ -159,3 +161,15 @@ def test_calibrator_separates_classes(data):
     a, b = Mo.fit_sigmoid_calibrator(d, "s", "Label")
     r = d.groupBy("Label").agg(F.avg(S.apply_calibrator(F.col("s"), a, b)).alias("p")).orderBy("Label").collect()
     assert a > 0 and r[1]["p"] > r[0]["p"] + 0.2
+
+
+def test_sample_of_the_isolation_forest_is_that_of_the_column_hash(spark):
+    ids = [-5, 0, 7, 2 ** 33 + 1, 2 ** 62, *range(100, 700)]
+    df = spark.createDataFrame([(i, float(k % 17)) for k, i in enumerate(ids)] + [(None, 1.0)], "id long, x double")
+    once = [r[0] for r in df.where("id IS NOT NULL").select(hash32(F.col("id"), 9)).collect()]
+    assert hash32_array(np.array(ids), 9).tolist() == once
+    m = Mo.fit_isolation_forest(df, "id", ["x"], n_trees=6, sample=16, seed=9)
+    again = spark.createDataFrame([(h,) for h in once], "h long")
+    for t, tree in enumerate(m["trees"]):
+        below = again.where(hash32(F.col("h") + t * 97531, 10) < 2.0 * 16 / len(ids + [None]) * 2 ** 32).count()
+        assert sum(size for feature, _, _, _, size in tree if feature < 0) == min(16, below)
