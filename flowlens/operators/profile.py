@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.functions.exprs import sig
-from flowlens.functions.stats import (agg_row, c, clean_double, long_format, numeric_columns, partition_sums,
+from flowlens.functions.stats import (agg_row, c, clean_double, held, long_format, numeric_columns, partition_sums,
                                       pearson, quantiles_of, sample_skew_from_pop, string_columns,
                                       value_counts)
 from flowlens.operators.clean import fit_corr_matrix
@@ -57,6 +57,11 @@ def dataset_summary(frames: dict[str, DataFrame]) -> DataFrame:
 # B2
 def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols) if cols is not None else numeric_columns(df)
+    with held(df, *[c(x) for x in cols]) as d:        # read by several passes
+        return _describe_numeric(d, cols).checkpoint()                # a row per feature
+
+
+def _describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     q = quantiles_of(df, cols, [0.25, 0.5, 0.75])
     qdf = _small(df.sparkSession, [(k, *v) for k, v in q.items()],
                  "feature string, p25 double, p50 double, p75 double")
@@ -197,6 +202,11 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None,
 # B12
 def feature_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols) if cols is not None else numeric_columns(df)
+    with held(df, *[c(x) for x in cols]) as d:        # read by several passes
+        return _feature_summary(d, cols).checkpoint()                # a row per feature
+
+
+def _feature_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     q = quantiles_of(df, cols, [0.25, 0.5, 0.75])
     fences = {k: (v[0] - 1.5 * (v[2] - v[0]), v[2] + 1.5 * (v[2] - v[0])) if v[0] is not None else (None, None)
               for k, v in q.items()}
@@ -217,6 +227,11 @@ def feature_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 # B13
 def outlier_report(df: DataFrame, cols: Sequence[str] | None = None, z: float = 3.0) -> DataFrame:
     cols = list(cols) if cols is not None else numeric_columns(df)
+    with held(df, *[c(x) for x in cols]) as d:        # read by several passes
+        return _outlier_report(d, cols, z).checkpoint()                # a row per feature
+
+
+def _outlier_report(df: DataFrame, cols: Sequence[str], z: float) -> DataFrame:
     q = quantiles_of(df, cols, [0.25, 0.75])
     mom = agg_row(df, {**{(x, "m"): F.avg(clean_double(c(x))) for x in cols},
                        **{(x, "s"): F.stddev_pop(clean_double(c(x))) for x in cols}})
@@ -401,6 +416,11 @@ def clean_report(before: DataFrame, after: DataFrame, label: str = "Label") -> D
 # B26
 def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols) if cols is not None else numeric_columns(df)
+    with held(df, *[c(x) for x in cols]) as d:        # read by several passes
+        return _boxplot_stats(d, cols).checkpoint()                # a row per feature
+
+
+def _boxplot_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     q = quantiles_of(df, cols, [0.25, 0.5, 0.75])
     rows = []
     for x, (q1, med, q3) in q.items():

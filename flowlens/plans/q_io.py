@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowlens.functions.exprs import hash32_sql, sig as ssig
+from flowlens.functions.stats import held
 from flowlens.operators import evaluate as G
 from flowlens.operators import split as E
 from flowlens.plans.q_evaluate import conf_sql, metrics_sql
@@ -49,10 +50,10 @@ def q_load_family(spark, sf):
     """A2: load the per-dataset files that exist (an absent one is skipped) with shapes."""
     base = scratch_path(spark, "family")
     cols = [x.split()[0] for x in SCAN_COLS.split(", ")]
-    df = view(spark, sf, "flows_5g").select(*cols)
-    A.write_table(df, f"{base}/Global", "csv")
-    for name, code in SLICES.items():
-        A.write_table(df.where(F.col("predicted") == code), f"{base}/{name}", "csv")
+    with held(view(spark, sf, "flows_5g"), *map(F.col, cols)) as df:               # four files of one join
+        A.write_table(df, f"{base}/Global", "csv")
+        for name, code in SLICES.items():
+            A.write_table(df.where(F.col("predicted") == code), f"{base}/{name}", "csv")
     fam, _found = A.load_family(spark, base, ["Global", *SLICES, "Extra"], SCAN_COLS)
     return A.family_shapes(fam)
 

@@ -77,3 +77,26 @@ def test_ordinal_codes_of_many_values_and_refused_categories(spark):
     assert C.fit_categories(df, ["s"], 77)["s"] == values
     with pytest.raises(ValueError):
         C.fit_categories(df, ["s", "k"], 76)
+
+
+def test_fits_of_several_passes_read_their_input_once(spark):
+    from flowlens.operators import clean as C
+    from flowlens.operators import profile as B
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    def rows():
+        return spark.range(300, numPartitions=2).mapInPandas(counted, "id long").selectExpr(
+            "CAST(id AS DOUBLE) AS x", "CASE WHEN id % 3 > 0 THEN CAST(id % 37 AS DOUBLE) END AS y")
+
+    fits = [lambda d: B.describe_numeric(d).collect(), lambda d: B.feature_summary(d).collect(), lambda d: B.outlier_report(d).collect(),
+            lambda d: B.boxplot_stats(d).collect(), lambda d: C.fit_medians(d), lambda d: C.fit_winsor_bounds(d, ["x", "y"])]
+    for fit in fits:
+        df, before = rows(), read.value
+        assert fit(df)
+        assert read.value - before == 300 and not df.storageLevel.useMemory
