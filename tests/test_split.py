@@ -2,6 +2,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from flowlens import session
+from flowlens.functions.exprs import MIX, hash32
 from flowlens.operators import split as E
 
 
@@ -28,3 +30,20 @@ def test_cut_through_identical_rows(spark):
     got = E.first_of_rank(same, "id", "y", 7, [lambda n: n // 2])
     assert sorted((r["y"], r["n"]) for r in got.where("_first0").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()) == [(0, 5), (1, 1)]
     assert E.first_of_rank(same.where("false"), "id", "y", 7, [lambda n: n // 2]).count() == 0
+
+
+def test_a_cut_computes_the_hash_of_a_row_once(rows):
+    cut = E.first_of_rank(rows, "id", "y", 7, [lambda n: n // 3, lambda n: n // 2, lambda n: 2 * n // 3])
+    hashes = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count(str(MIX))
+    assert hashes(cut) <= hashes(rows.select(hash32(F.col("id"), 7)))
+
+
+def test_a_table_of_one_part_is_dealt_over_several(spark, monkeypatch):
+    monkeypatch.setattr(session, "PART_ROWS", 100)
+    one = spark.createDataFrame([(i // 2 if i % 7 else None, f"s{i % 6}") for i in range(1000)], "id long, `a.b` string").coalesce(1)
+    dealt = session.persist_dealt(one)
+    key = lambda r: (r[0] is None, r)
+    assert dealt.rdd.getNumPartitions() == 10
+    assert sorted(map(tuple, dealt.fillna(-1, ["id"]).collect()), key=key) == sorted(map(tuple, one.fillna(-1, ["id"]).collect()), key=key)
+    dealt.unpersist()
+    assert session.persist_dealt(one.limit(50)).rdd.getNumPartitions() == 1
