@@ -173,3 +173,23 @@ def test_sample_of_the_isolation_forest_is_that_of_the_column_hash(spark):
     for t, tree in enumerate(m["trees"]):
         below = again.where(hash32(F.col("h") + t * 97531, 10) < 2.0 * 16 / len(ids + [None]) * 2 ** 32).count()
         assert sum(size for feature, _, _, _, size in tree if feature < 0) == min(16, below)
+
+
+def test_logistic_regression_on_nearly_separable_rows_takes_few_passes(spark, monkeypatch):
+    passes, sums = [], Mo.partition_sums
+    monkeypatch.setattr(Mo, "partition_sums", lambda *a, **k: passes.append(1) or sums(*a, **k))
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=600), rng.integers(0, 2, 600), rng.exponential(50.0, 600), np.full(600, 3.0)])
+    y = ((x[:, 1] > 0) | (rng.random(600) < .2)).astype(int)
+    w = np.where(y > 0, 0.7, 1.4)
+    df = spark.createDataFrame([(*map(float, r), int(k), float(v)) for r, k, v in zip(x, y, w)], "a double, b double, c double, d double, y int, w double")
+    m = Mo.train_lr(df, ["a", "b", "c", "d"], "y", "w")
+    b, z = np.array(m.coefficients), x @ np.array(m.coefficients) + m.intercept
+    p = 1 / (1 + np.exp(-z))
+    assert b[3] == 0 and len(passes) < 40
+    slope = np.append((x[:, :3].T @ (w * (p - y)) + b[:3]) / x[:, :3].std(0), (w * (p - y)).sum())      # at the least loss: none
+    assert np.allclose(slope, 0, atol=0.05)
+    got = Mo.positive_probability(m.transform(df)).select("p").toPandas()["p"]
+    assert np.allclose(got, p)
+    with pytest.raises(ValueError):
+        Mo.train_lr(df.withColumn("a", F.when(F.col("a") > 0, F.col("a"))), ["a", "b"], "y", "w")
