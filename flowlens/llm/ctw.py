@@ -9,10 +9,12 @@ logs over all decisions, so a byte's code length is -score / bytes.
 
 How it runs: texts are packed into chunks (a table in the shared folder, so that
 later passes see the same chunks).  Every chunk lists its distinct (DEPTH + 1)-grams
-and words; grouped sums give corpus counts, with no bound on their number.  The
+and words once, as packed arrays, one row for each part of the keys.  The lists of a
+part are added up to corpus counts, with no bound on their number.  The
 context tree is built per group of the two nearest context bytes, where the deep
 contexts are complete; only the 65,536 decisions of depths 1 and 0 pass through
-the driver.  Each chunk is then sent the values of its own grams and words.
+the driver.  A part then answers each of its lists with the values in the list's
+order, and each chunk is sent its own lists and answers.
 
 Nulls: a NULL text is the empty text (only its end mark is scored).  A row without
 id is scored but not learned from.  Repeated rows are all counted.  An empty table
@@ -26,16 +28,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.common import materialize, release, releasing, run_hashes
+from flowlens.llm.common import materialize, mix64, release, releasing, run_hashes
 from flowlens.llm.langid import id_remainder
 
 DEPTH = 5
 END = 0xFF                         # never occurs in UTF-8
 GRAM, WORDS = 0, 1
 BUCKET_GRAMS = 50_000              # distinct grams of a group, about (one context pair is never split)
+PART_BYTES = 8_000_000             # text bytes for each part of the keys
+COUNTS = 4096                      # counts whose log Gamma is looked up
 ALPHA = 0.1                        # of the unigram base, fixed by the query contract
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -128,9 +132,20 @@ def lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + series - np.log(shift)
 
 
+_LGAMMA = {x: lgamma(np.arange(COUNTS) + x) for x in (0.5, 1.0)}
+
+
+def lgamma_count(n: np.ndarray, x: float) -> np.ndarray:
+    """log Gamma(n + x) of whole numbers n."""
+    out = _LGAMMA[x][np.minimum(n, COUNTS - 1).astype(np.int64)]
+    high = n >= COUNTS
+    out[high] = lgamma(n[high] + x)
+    return out
+
+
 def kt_log(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """log of the Krichevsky-Trofimov probability of n0 zeros and n1 ones."""
-    return lgamma(n0 + 0.5) + lgamma(n1 + 0.5) - lgamma(n0 + n1 + 1.0) - 1.1447298858494002
+    return lgamma_count(n0, 0.5) + lgamma_count(n1, 0.5) - lgamma_count(n0 + n1, 1.0) - 1.1447298858494002
 
 
 def decisions(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,34 +165,56 @@ def mix(n0: np.ndarray, n1: np.ndarray, below: np.ndarray | None) -> tuple[np.nd
     return both, np.exp(own - np.log(2.0) - both), one
 
 
-def deep_tree(keys: np.ndarray, counts: np.ndarray):
+def level_nodes(codes: np.ndarray, counts: np.ndarray):
+    """(node of each code and decision, first code, uid, n0, n1 and decision of each node) of one depth.
+
+    ``codes`` are ascending contexts with their byte, so the codes of a node lie together.
+    """
+    index = np.empty((len(codes), 8), np.int64)
+    first, uid, n0, n1 = [], [], [], []
+    at = 0
+    for j in range(8):
+        prefix = codes >> np.uint64(8 - j)                      # the context and the first j bits
+        new = np.append(True, prefix[1:] != prefix[:-1])
+        index[:, j] = np.cumsum(new) - 1 + at
+        start = np.flatnonzero(new)
+        ones = np.add.reduceat(np.where(codes >> np.uint64(7 - j) & np.uint64(1), counts, 0.0), start)
+        first.append(start)
+        uid.append((codes[start] >> np.uint64(8)) << np.uint64(8)
+                   | np.uint64(1 << j) | (codes[start] & np.uint64(255)) >> np.uint64(8 - j))
+        n0.append(np.add.reduceat(counts, start) - ones)
+        n1.append(ones)
+        at += len(start)
+    decision = np.repeat(np.arange(8), list(map(len, first)))
+    return index, *map(np.concatenate, (first, uid, n0, n1)), decision
+
+
+def deep_tree(keys: np.ndarray, counts: np.ndarray, mixed: bool = True):
     """Levels DEPTH..2 over sorted keys that are complete for their two nearest bytes.
 
     Returns the depth-2 nodes (uid, n0, n1, log P_w) and, for each key and decision,
-    the probability of a one mixed over these levels.
+    the probability of a one mixed over these levels (None unless ``mixed``).
     """
     node, bit = decisions(keys)
-    flat_n = np.repeat(counts.astype(np.float64), 8)
-    flat_bit = bit.ravel().astype(bool)
-    context = keys >> np.uint64(8)
-    levels, low = [], None
+    codes, total = keys, counts.astype(np.float64)
+    of_key = np.arange(len(keys))
+    p = low = uid = n0 = n1 = log_w = None
     for d in range(DEPTH, 1, -1):
-        uid = (((context & np.uint64((1 << 8 * d) - 1)) << np.uint64(8))[:, None] | node.astype(np.uint64)).ravel()
-        uniq, inverse = np.unique(uid, return_inverse=True)
-        n1 = np.bincount(inverse, flat_n * flat_bit, len(uniq))
-        n0 = np.bincount(inverse, flat_n * ~flat_bit, len(uniq))
+        if low is not None:
+            codes, up = np.unique(codes & np.uint64((1 << 8 * (d + 1)) - 1), return_inverse=True)
+            total = np.bincount(up, total, len(codes))
+            of_key = up[of_key]
+        index, first, uid, n0, n1, decision = level_nodes(codes, total)
         below = None
         if low is not None:
-            below_uid, below_log = low
-            parent = (below_uid >> np.uint64(8) & np.uint64((1 << 8 * d) - 1)) << np.uint64(8) | below_uid & np.uint64(255)
-            below = np.bincount(np.searchsorted(uniq, parent), below_log, len(uniq))
+            below = np.bincount(index[up[low[0]], low[1]], low[2], len(uid))
         log_w, own, one = mix(n0, n1, below)
-        levels.append((inverse, own, one))
-        low = (uniq, log_w)
-    p = None
-    for inverse, own, one in levels:
-        p = one[inverse] if p is None else own[inverse] * one[inverse] + (1 - own[inverse]) * p
-    return (uniq, n0, n1, log_w), p, node, flat_bit
+        low = first, decision, log_w
+        if mixed:
+            one = one[index][of_key]
+            own = own[index][of_key]
+            p = one if p is None else own * one + (1 - own) * p
+    return (uid, n0, n1, log_w), None if p is None else p.ravel(), node, bit.ravel().astype(bool)
 
 
 def shallow_tree(uid: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray):
@@ -210,7 +247,7 @@ def key_scores(keys: np.ndarray, counts: np.ndarray, shallow) -> np.ndarray:
 CHUNK_SCHEMA = "chunk long, doc_id array<long>, held array<boolean>, learn array<boolean>, size array<long>, blob binary"
 
 
-def make_chunks(df: DataFrame, chunk_bytes: int = 32_000_000) -> DataFrame:
+def make_chunks(df: DataFrame, chunk_bytes: int = 16_000_000) -> DataFrame:
     """Texts packed into compressed chunks of up to about ``chunk_bytes``, as a stored table.
 
     The larger a chunk, the fewer grams are listed twice, and the more memory a task takes.
@@ -250,21 +287,71 @@ def _task() -> int:
     return TaskContext.get().partitionId()
 
 
-def list_keys(chunks: DataFrame, kind: int) -> DataFrame:
-    """(chunk, key, n, at) of the distinct grams or words of each chunk: training count, rank in the chunk."""
+def packed(x: np.ndarray) -> bytes:
+    """The array, compressed byte place by byte place."""
+    return zstandard.ZstdCompressor(level=1).compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+
+
+def unpacked(blob: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(unpack(blob).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob, np.uint64), dtype=np.uint64)
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(keys) % np.uint64(parts)).astype(np.int64)
+
+
+LIST_SCHEMA = "chunk long, part long, grams binary, gram_counts binary, words binary, word_counts binary"
+
+
+def list_keys(chunks: DataFrame, parts: int) -> DataFrame:
+    """The distinct grams and words of each chunk with their counts in its training texts, a row for each part."""
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                key, n = chunk_counts(unpack(r.blob), np.asarray(r.size, np.int64), np.asarray(r.learn, bool), kind)
-                for s in range(0, len(key), 200_000):
-                    yield pd.DataFrame({"chunk": r.chunk, "key": key[s:s + 200_000].view(np.int64),
-                                        "n": n[s:s + 200_000].astype(np.int32),
-                                        "at": np.arange(s, min(s + 200_000, len(key)), dtype=np.int32)})
-    return chunks.select("chunk", "learn", "size", "blob").mapInPandas(releasing(keys), "chunk long, key long, n int, at int")
+                data, size, learn = unpack(r.blob), np.asarray(r.size, np.int64), np.asarray(r.learn, bool)
+                lists = []
+                for kind in (GRAM, WORDS):
+                    key, n = chunk_counts(data, size, learn, kind)
+                    part = part_of(key, parts)
+                    by = np.argsort(part, kind="stable")        # the keys of a part stay ascending
+                    lists.append((key[by], n[by], np.searchsorted(part[by], np.arange(parts + 1))))
+                for s in range(0, parts, 256):
+                    rows = [(r.chunk, i, *(x for key, n, cut in lists for x in (packed_keys(key[cut[i]:cut[i + 1]]),
+                                                                                packed(n[cut[i]:cut[i + 1]]))))
+                            for i in range(s, min(s + 256, parts))]
+                    yield pd.DataFrame(rows, columns=[x.split()[0] for x in LIST_SCHEMA.split(", ")])
+    return chunks.select("chunk", "learn", "size", "blob").mapInPandas(releasing(keys), LIST_SCHEMA)
+
+
+def summed(keys: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct keys of many packed lists and the sums of their counts."""
+    empty = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    lists = empty + [(unpacked_keys(k), unpacked(n, np.int64)) for k, n in zip(keys, counts, strict=True)]
+    return _add(empty[0], *map(np.concatenate, zip(*lists, strict=True)))
+
+
+def corpus_counts(lists: DataFrame) -> DataFrame:
+    """(key, n, kind): training count of every gram; per part of the words, their number and the sum of their counts."""
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        key, n = summed(pdf["grams"], pdf["gram_counts"])
+        _, total = summed(pdf["words"], pdf["word_counts"])
+        release()
+        return pd.DataFrame({"key": np.append(key.view(np.int64), (total > 0).sum()), "n": np.append(n, total.sum()),
+                             "kind": np.append(np.full(len(key), GRAM), WORDS)})
+    return lists.groupBy("part").applyInPandas(add, "key long, n long, kind int")
 
 
-def tree_values(grams: DataFrame) -> DataFrame:
-    """(key, value): log10 probability of every listed gram, from rows (key, n)."""
+def tree_values(grams: DataFrame, parts: int) -> DataFrame:
+    """(part, key, value): log10 probability of every listed gram, from rows (key, n)."""
     near = F.shiftright("key", 8).bitwiseAND(0xFFFF)
     buckets = max(512, min(1 << 16, grams.count() // BUCKET_GRAMS))
     grouped = grams.withColumn("bucket", F.pmod(F.xxhash64(near), F.lit(buckets)).cast("int"))
@@ -274,9 +361,8 @@ def tree_values(grams: DataFrame) -> DataFrame:
         return pdf["key"].to_numpy().view(np.uint64), pdf["n"].to_numpy()
 
     def summary(pdf: pd.DataFrame) -> pd.DataFrame:
-        (uid, n0, n1, log_w), _, _, _ = deep_tree(*ordered(pdf))
+        (uid, n0, n1, log_w), *_ = deep_tree(*ordered(pdf), mixed=False)
         one = ((uid >> np.uint64(8) & np.uint64(255)) << np.uint64(8) | uid & np.uint64(255)).astype(np.int64)
-        release()
         return pd.DataFrame({"uid": one, "n0": n0, "n1": n1, "log_w": log_w})
 
     tops = (grouped.groupBy("bucket").applyInPandas(summary, "uid int, n0 double, n1 double, log_w double")
@@ -287,68 +373,82 @@ def tree_values(grams: DataFrame) -> DataFrame:
 
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, n = ordered(pdf)
-        return pd.DataFrame({"key": keys.view(np.int64), "value": key_scores(keys, n, shared.value)})
+        return pd.DataFrame({"part": part_of(keys, parts), "key": keys.view(np.int64), "value": key_scores(keys, n, shared.value)})
 
-    return grouped.groupBy("bucket").applyInPandas(score, "key long, value double")
+    return grouped.groupBy("bucket").applyInPandas(score, "part long, key long, value float")
 
 
 def op10(df: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text."""
     chunks = make_chunks(df)
-    # Words: a word of one chunk alone has its corpus count there; only shared ones are sent back.
-    words = list_keys(chunks, WORDS)
-    seen = Observation()
-    shared = materialize(
-        words.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("chunks"))
-        .observe(seen, F.sum("total").alias("n"), F.count_if(F.col("total") > 0).alias("v"))
-        .where("chunks > 1").select("key", "total"), "ctw-words")
-    ends = chunks.agg(F.sum(F.size(F.filter("learn", lambda x: x))).alias("n")).first()["n"] or 0
-    tokens, distinct = (seen.get["n"] or 0) + ends, seen.get["v"] + (ends > 0)
-    grams = list_keys(chunks, GRAM)
-    values = tree_values(materialize(grams.groupBy("key").agg(F.sum("n").alias("n")), "ctw-grams"))
-    # back to the chunks goes the rank of the gram or word there, not the key
-    sent = (grams.select("chunk", "key", "at").join(values, "key")
-            .select("chunk", "at", F.col("value").cast("float").alias("value"), F.lit(None).cast("long").alias("total"))
-            .union(words.select("chunk", "key", "at").join(shared, "key")
-                   .select("chunk", "at", F.lit(None).cast("float"), "total")))
+    total = chunks.agg(F.sum(F.size(F.filter("learn", lambda x: x))).alias("ends"),
+                       F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b)).alias("bytes")).first()
+    ends, parts = total["ends"] or 0, max(1, -(-(total["bytes"] or 0) // PART_BYTES))
+    lists = materialize(list_keys(chunks, parts), "ctw-lists")
+    counts = materialize(corpus_counts(lists), "ctw-counts")
+    words = counts.where(f"kind = {WORDS}").agg(F.sum("n").alias("n"), F.sum("key").alias("v")).first()
+    tokens, distinct = (words["n"] or 0) + ends, (words["v"] or 0) + (ends > 0)
+    values = tree_values(counts.where(f"kind = {GRAM}").select("key", "n"), parts)
+
+    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        by = right["key"].to_numpy().argsort()
+        key, value = right["key"].to_numpy()[by].view(np.uint64), right["value"].to_numpy(np.float32)[by]
+        word, n = summed(left["words"], left["word_counts"])
+        out = pd.DataFrame({"chunk": left["chunk"], "grams": left["grams"],
+                            "value": [packed(value[np.searchsorted(key, unpacked_keys(x))]) for x in left["grams"]],
+                            "words": left["words"],
+                            "total": [packed(n[np.searchsorted(word, unpacked_keys(x))]) for x in left["words"]]})
+        release()
+        return out
+
+    sent = lists.select("chunk", "part", "grams", "words", "word_counts").groupBy("part").cogroup(
+        values.groupBy("part")).applyInPandas(answer, "chunk long, grams binary, value binary, words binary, total binary")
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        gram = right["total"].isna().to_numpy()
-        at = right["at"].to_numpy()
-        value = np.zeros(gram.sum(), np.float32)
-        value[at[gram]] = right["value"].to_numpy()[gram]
-        total = at[~gram], right["total"].to_numpy()[~gram]
-        del right, gram, at
+        gram = joined(right["grams"], right["value"], np.float32)
+        word = joined(right["words"], right["total"], np.int64)
+        del right
         release()
-        out = [score_chunk(r, value, total, tokens, distinct, ends) for r in left.itertuples(index=False)]
+        out = [score_chunk(r, gram, word, tokens, distinct, ends) for r in left.itertuples(index=False)]
         release()
         return pd.concat(out) if out else pd.DataFrame(columns=[x.split()[0] for x in SCORE_SCHEMA.split(", ")])
 
     return chunks.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInPandas(score, SCORE_SCHEMA)
 
 
+def joined(keys: list, values: list, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of packed lists in one ascending array, and their values."""
+    if not len(keys):
+        return np.zeros(0, np.uint64), np.zeros(0, kind)
+    key = np.concatenate([unpacked_keys(x) for x in keys])
+    by = key.argsort()
+    return key[by], np.concatenate([unpacked(x, kind) for x in values])[by]
+
+
+def looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The values of keys that are all in the table."""
+    if not len(keys):
+        return np.zeros(0, table[1].dtype)
+    place, distinct = pd.factorize(keys)
+    return table[1][np.searchsorted(table[0], distinct)][place]
+
+
 SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")
 
 
-def score_chunk(r, value: np.ndarray, shared: tuple, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
-    """Scores of the texts of one chunk, given the values of its grams and its shared words by rank."""
-    sizes, learn = np.asarray(r.size, np.int64), np.asarray(r.learn, bool)
+def score_chunk(r, grams: tuple, words: tuple, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
+    """Scores of the texts of one chunk, given the values of its grams and the corpus counts of its words."""
+    sizes = np.asarray(r.size, np.int64)
     data, base = unpack(r.blob), np.concatenate([[0], np.cumsum(sizes)])
     n_words, known, unigram, model = (np.zeros(len(sizes)) for _ in range(4))
     below = tokens + ALPHA * (distinct + 1)
-    key = chunk_counts(data, sizes, learn, GRAM)[0]
-    own, counts = chunk_counts(data, sizes, learn, WORDS)
-    counts = counts.astype(float)
-    counts[shared[0]] = shared[1]
-    for s, e in text_slices(sizes, 500_000):      # several arrays of 8 bytes a byte each
+    for s, e in text_slices(sizes, 1_000_000):    # several arrays of 8 bytes a byte each
         d = data[base[s]:base[e]]
         code, per = gram_codes(d, sizes[s:e])
-        model[s:e] = np.add.reduceat(value[np.searchsorted(key, code)], np.cumsum(per) - per, dtype=np.float64)
+        model[s:e] = np.add.reduceat(looked_up(grams, code), np.cumsum(per) - per, dtype=np.float64)
         word, per = word_keys(d, sizes[s:e])
-        c = np.zeros(len(word))
-        if len(word):
-            c = counts[np.searchsorted(own, word)]
+        c = looked_up(words, word).astype(float)
         owner = np.repeat(np.arange(e - s), per)
         n_words[s:e] = per
         known[s:e] = np.bincount(owner, c > 0, e - s)

@@ -277,3 +277,29 @@ def test_scores(docs, no_docs, rows):
         assert r["score"] < 0
     assert {k: sorted(x) for k, x in have.items()} == {k: sorted(x) for k, x in expect.items()}
     assert op10(no_docs).collect() == []
+
+
+def test_scores_through_packed_lists_of_many_parts(docs, rows, monkeypatch):
+    """A row per chunk and part, not per gram; the scores are those of one tree over the whole corpus."""
+    from flowlens.llm import ctw
+    monkeypatch.setattr(ctw, "PART_BYTES", 3000)
+    chunks = ctw.make_chunks(docs, 30_000)
+    lists = ctw.list_keys(chunks, 7)
+    assert chunks.count() > 3 and lists.count() == 7 * chunks.count()
+    data, sizes = ctw.pack([t for _, t, *_ in rows])
+    codes, per = ctw.gram_codes(np.frombuffer(data, np.uint8), sizes)
+    learn = np.repeat([d is not None and crc(str(d)) % 10 != 0 for d, *_ in rows], per)
+    keys, inverse = np.unique(codes, return_inverse=True)
+    n = np.bincount(inverse, learn).astype(np.int64)
+    counts = ctw.corpus_counts(lists)
+    assert sorted((r["key"], r["n"]) for r in counts.where("kind = 0").collect()) == list(zip(keys.tolist(), n.tolist(), strict=True))
+    (uid, n0, n1, log_w), *_ = ctw.deep_tree(keys, n)
+    u, inv = np.unique((uid >> np.uint64(8) & np.uint64(255)) << np.uint64(8) | uid & np.uint64(255), return_inverse=True)
+    shallow = ctw.shallow_tree(u.astype(np.int64), *(np.bincount(inv, v) for v in (n0, n1, log_w)))
+    value = ctw.key_scores(keys, n, shallow)
+    score = np.add.reduceat(value[inverse], np.cumsum(per) - per)
+    by = lambda x: (x[0] is not None, x)
+    have = sorted(((r["doc_id"], r["score"]) for r in ctw.op10(docs).collect()), key=by)
+    expect = sorted(((d, s) for (d, *_), s in zip(rows, score.tolist(), strict=True)), key=by)
+    assert [d for d, _ in have] == [d for d, _ in expect]
+    assert [s for _, s in have] == pytest.approx([s for _, s in expect], rel=1e-6)
