@@ -279,6 +279,28 @@ def test_passages_whose_pieces_occur_in_earlier_documents(spark, monkeypatch, bl
     assert len(pairs) >= 20                                    # two of four functions must agree in 46 or more tokens
 
 
+def test_leftover_pairs_of_documents_are_asked_once(spark, monkeypatch):
+    """Keys by the hundred ask for the same pairs of a group of documents; each stretch is verified once, no link is lost."""
+    from flowlens.llm import passages as ps
+    lines, asked = [], []
+    for k in range(4):                                      # earlier documents that hold pieces of the long passage
+        lines.append(" ".join([*[f"e{k}x{i}" for i in range(60)], *[f"w{i}" for i in range(90 * k, 90 * k + 30)], *[f"f{k}x{i}" for i in range(60)]]))
+    for k in range(6):
+        lines.append(" ".join([*[f"l{k}x{i}" for i in range(40)], *[f"w{i}" for i in range(400)], *[f"m{k}x{i}" for i in range(40)]]))
+    lines.append(" ".join(["again"] * 4000))                # a repeated word is one window of each stretch of REACH tokens
+    lines.append(" ".join(["again"] * 4000))
+    fetched = ps.fetched
+    monkeypatch.setattr(ps, "fetched", lambda chunks, sides: fetched(chunks, (asked.append(sides.select("doc", "other", "s", "e", "os", "oe", "side")), sides)[1]))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").coalesce(1)
+    got = ps.near_passages(docs).collect()
+    root = components_of(len(lines), [(r["doc_id"], r["match_doc_id"]) for r in got])
+    assert len(set(root[4:10])) == 1 and root[10] == root[11] and len({*root[:4], root[4], root[10]}) == 6
+    rows = [tuple(r) for a in asked for r in a.where("side = 0 and doc <> other").collect()]
+    assert len(rows) == len(set(rows))
+    windows = ps.list_windows(ps.make_chunks(docs.where("doc_id = 10"))).groupBy("fn").count().collect()
+    assert windows and max(r["count"] for r in windows) <= -(-4000 // ps.REACH)
+
+
 # --- 9 -------------------------------------------------------------------------
 
 def test_nearest_neighbours(spark):
