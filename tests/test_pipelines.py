@@ -29,3 +29,12 @@ def test_family_with_an_empty_dataset(spark):
     df = view(spark, SF_SMALL, "flows_5g").where("predicted <> '3:URLLC'")
     out, _ = PL.pipeline_5g_family(df)
     assert out.where("dataset = 'URLLC'").count() == 0 and out.where("dataset = 'eMBB'").count() > 0
+
+
+def test_only_the_last_step_of_each_dataset_stays_cached(spark):
+    kept = lambda: set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+    spark.catalog.clearCache()                       # an equal step that another test cached would be shared
+    before = kept()
+    out, _ = PL.pipeline_5g_family(view(spark, SF_SMALL, "flows_5g"))
+    assert len(kept() - before) == len(PL.FAMILY_5G)
+    assert out.where("dataset = 'Global'").count() == view(spark, SF_SMALL, "flows_5g").count()
