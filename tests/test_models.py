@@ -193,3 +193,13 @@ def test_logistic_regression_on_nearly_separable_rows_takes_few_passes(spark, mo
     assert np.allclose(got, p)
     with pytest.raises(ValueError):
         Mo.train_lr(df.withColumn("a", F.when(F.col("a") > 0, F.col("a"))), ["a", "b"], "y", "w")
+
+
+def test_gate_trains_on_scalar_columns(spark, monkeypatch):
+    from flowlens.operators import neural as N
+    sent, fit = [], N.fit_epochs
+    monkeypatch.setattr(N, "fit_epochs", lambda data, *a, **k: sent.append(data.dtypes) or fit(data, *a, **k))
+    rows = [(i, float(i % 7), [float(i % 2), 0.5, 0.25], i % 2) for i in range(200)]
+    g = Mo.train_gate(spark.createDataFrame(rows, "id long, x double, s array<double>, y int"), ["x"], "s", "y", "id", epochs=2)
+    assert {t for n, t in sent[0] if n.startswith("_s")} == {"double"} and len([n for n, _ in sent[0] if n.startswith("_s")]) == 3
+    assert np.array(g["layers"][-1][0]).shape[1] == 3

@@ -100,3 +100,26 @@ def test_fits_of_several_passes_read_their_input_once(spark):
         df, before = rows(), read.value
         assert fit(df)
         assert read.value - before == 300 and not df.storageLevel.useMemory
+
+
+def test_sums_of_a_cached_table_take_one_stage(spark):
+    import numpy as np
+
+    from flowlens.functions.stats import partition_sums
+
+    df = spark.range(1000).repartition(5)
+    total = lambda pdf: np.array([pdf["id"].sum(), len(pdf)], float)
+    cached = df.persist()
+    cached.count()
+    sc = spark.sparkContext
+    sc.setJobGroup("sums_of_cached", "")
+    try:
+        assert partition_sums(cached, total, 2).tolist() == [499500.0, 1000.0]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup("sums_of_cached")]
+    ran = {s for j in jobs for s in j.stageIds if sc.statusTracker().getStageInfo(s)}
+    assert len(jobs) == 1 and len([s for s in ran if sc.statusTracker().getStageInfo(s).numCompletedTasks]) == 1
+    assert partition_sums(cached, total, 2, fan_in=2).tolist() == [499500.0, 1000.0]
+    cached.unpersist()
+    assert partition_sums(spark.range(1000), total, 2).tolist() == [499500.0, 1000.0]
